@@ -72,5 +72,5 @@ def scd_history(events: DataFrame, keys: Sequence[str], order: Sequence[str],
     """Position of every change, first to last and last to first, and the current state."""
     ranked = ordered_by_key(events, keys, order)
     state = F.when((F.col("rn_desc") == 1) & deleted, F.lit("Deleted")).otherwise(F.lit("Active"))
-    return ranked.withColumnsRenamed(
-        {"rn": "change_rank", "rn_desc": "recency_rank"}).withColumn("is_deleted", state)
+    return ranked.withColumn("is_deleted", state).withColumnsRenamed(
+        {"rn": "change_rank", "rn_desc": "recency_rank"})

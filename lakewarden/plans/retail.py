@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lakewarden.functions import at
 from lakewarden.operators.joins import left_lookup, lookup_join
 
-ORDER_COUNT = F.count("order_id").alias("order_count")
+
+def order_count() -> Column:
+    return F.count("order_id").alias("order_count")
 
 
 def revenue(amount: str = "total_amount") -> Column:
@@ -26,7 +28,7 @@ def monthly_sales(orders: DataFrame, start: datetime, until: datetime | None = N
         rows = rows.filter(F.col("order_timestamp") < at(orders, "order_timestamp", until))
     return (
         rows.groupBy("region", "channel", F.date_trunc("month", "order_timestamp").alias("month"))
-        .agg(ORDER_COUNT, revenue(), F.countDistinct("customer_id").alias("unique_customers"))
+        .agg(order_count(), revenue(), F.countDistinct("customer_id").alias("unique_customers"))
         .orderBy("month", "region")
     )
 
@@ -35,7 +37,7 @@ def channel_month(orders: DataFrame, amount: str) -> DataFrame:
     """Monthly revenue per channel; ``amount`` is the amount column of the schema in use."""
     return (
         orders.groupBy("channel", F.date_trunc("month", "order_timestamp").alias("month"))
-        .agg(ORDER_COUNT, revenue(amount)).orderBy("month", "channel")
+        .agg(order_count(), revenue(amount)).orderBy("month", "channel")
     )
 
 
@@ -66,7 +68,7 @@ def enrich(staging: DataFrame, customer_segments: DataFrame) -> DataFrame:
 
 def segment_report(enriched: DataFrame) -> DataFrame:
     return (
-        enriched.groupBy("segment", "region", "channel").agg(ORDER_COUNT, revenue())
+        enriched.groupBy("segment", "region", "channel").agg(order_count(), revenue())
         .orderBy(F.desc("total_revenue"))
     )
 
@@ -96,7 +98,7 @@ def channel_report(orders: DataFrame, region: str, start: datetime | date) -> Da
     return orders.filter(
         (F.col("region") == region)
         & (F.col("order_timestamp") >= at(orders, "order_timestamp", start))
-    ).groupBy("channel").agg(ORDER_COUNT, revenue())
+    ).groupBy("channel").agg(order_count(), revenue())
 
 
 def stock_lookup(stock: DataFrame, city: str | None = None, term: str | None = None) -> DataFrame:
