@@ -671,20 +671,20 @@ def j41(lake):
 
 
 DAILY_SQL = ("SELECT CAST(order_timestamp AS DATE) AS order_date, region, channel, count(*) AS"
-             " order_count, count(DISTINCT customer_id) AS unique_customers, round(sum("
-             "total_amount), 2) AS total_revenue, round(avg(total_amount), 2) AS avg_order_value"
+             " order_count, count(DISTINCT customer_id) AS unique_customers, sum(total_amount) AS"
+             " total_revenue, avg(total_amount) AS avg_order_value"
              " FROM v_orders GROUP BY ALL")
 
 
 @query("j42_daily_sales", DAILY_SQL, "total_revenue avg_order_value")
 def j42(lake):
-    return retail.daily_sales(lake.orders())
+    return retail.daily_sales(lake.orders(), digits=None)
 
 
 @query("j42_recent_sales", f"SELECT * FROM ({DAILY_SQL}) WHERE order_date >= DATE '2001-07-26'",
        "total_revenue avg_order_value")
 def j42_recent(lake):
-    stored = tables.refresh(retail.daily_sales(lake.orders()), fresh_dir(lake.spark, "daily"),
+    stored = tables.refresh(retail.daily_sales(lake.orders(), digits=None), fresh_dir(lake.spark, "daily"),
                             ORDERS_AS_OF)
     return retail.recent_sales(stored, ORDERS_AS_OF).drop("_last_refreshed")
 
@@ -693,7 +693,7 @@ def j42_recent(lake):
        f"SELECT region, CAST(sum(order_count) AS BIGINT) AS order_count FROM ({DAILY_SQL})"
        " GROUP BY region")
 def j42_region(lake):
-    return retail.region_rollup(retail.daily_sales(lake.orders()))
+    return retail.region_rollup(retail.daily_sales(lake.orders(), digits=None))
 
 
 PERFORMANCE_SQL = (

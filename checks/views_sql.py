@@ -45,6 +45,21 @@ VIEWS = {
                l.status AS order_status, l.region AS order_region
         FROM v_lines AS l LEFT JOIN v_customers AS c ON l.customer_id = c.customer_id
                           LEFT JOIN v_products AS p ON l.product_id = p.product_id""",
+    "v_dirty": """
+        SELECT l_orderkey * 10 + l_linenumber AS order_id,
+               CASE WHEN l_orderkey % 50 <> 0 THEN l_suppkey END AS customer_id,
+               CASE WHEN l_partkey % 40 <> 0 THEN l_partkey END AS product_id,
+               CAST(CASE WHEN l_orderkey % 100 = 7 THEN -l_quantity ELSE l_quantity END
+                    AS INTEGER) AS quantity,
+               CASE WHEN l_orderkey % 90 = 4 THEN 0::DOUBLE ELSE l_extendedprice END
+               AS unit_price, l_returnflag AS channel,
+               CAST(l_shipdate AS DATE)
+               + CASE WHEN l_orderkey % 200 = 11 THEN 36500 ELSE 0 END AS order_date,
+               CASE WHEN l_orderkey % 500 = 1 THEN '{"x":1}' END AS rescued
+        FROM lineitem""",
+    "v_dirty_silver": """
+        SELECT * FROM v_dirty WHERE customer_id IS NOT NULL AND product_id IS NOT NULL
+                                AND quantity > 0 AND unit_price > 0""",
     "v_inventory": """
         SELECT CASE WHEN event_id % 97 <> 0 THEN event_id END AS event_id,
                CASE WHEN event_id % 89 <> 0 THEN user_id END AS product_id,

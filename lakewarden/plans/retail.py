@@ -159,15 +159,18 @@ def weekly_region(gold: DataFrame, region: str, start: datetime) -> DataFrame:
     ).orderBy(F.desc("week"), F.desc("total_revenue"))
 
 
-def daily_sales(orders: DataFrame) -> DataFrame:
-    """Daily summary per region and channel, meant to be stored (see ``stored``)."""
+def daily_sales(orders: DataFrame, digits: int | None = 2) -> DataFrame:
+    """Daily summary per region and channel, meant to be stored; ``digits=None`` does not round."""
+    def rounded(c: Column) -> Column:
+        return c if digits is None else F.round(c, digits)
+
     return orders.groupBy(
         F.to_date("order_timestamp").alias("order_date"), "region", "channel",
     ).agg(
         F.count("*").alias("order_count"),
         F.countDistinct("customer_id").alias("unique_customers"),
-        F.round(F.sum("total_amount"), 2).alias("total_revenue"),
-        F.round(F.avg("total_amount"), 2).alias("avg_order_value"))
+        rounded(F.sum("total_amount")).alias("total_revenue"),
+        rounded(F.avg("total_amount")).alias("avg_order_value"))
 
 
 def recent_sales(daily: DataFrame, as_of: datetime, days: int = 7) -> DataFrame:

@@ -88,6 +88,21 @@ class Lake:
         heads = self.orders().drop("quantity", "unit_price", "total_amount")
         return lines.join(heads, "order_id")
 
+    def dirty_orders(self) -> DataFrame:
+        """Order lines with planted defects for the quality layers."""
+        return self.table("lineitem").selectExpr(
+            "l_orderkey * 10 + l_linenumber AS order_id",
+            "CASE WHEN l_orderkey % 50 <> 0 THEN l_suppkey END AS customer_id",
+            "CASE WHEN l_partkey % 40 <> 0 THEN l_partkey END AS product_id",
+            "CAST(CASE WHEN l_orderkey % 100 = 7 THEN -l_quantity ELSE l_quantity END AS INT)"
+            " AS quantity",
+            "CASE WHEN l_orderkey % 90 = 4 THEN 0.0D ELSE l_extendedprice END AS unit_price",
+            "l_returnflag AS channel",
+            "date_add(CAST(l_shipdate AS DATE), CASE WHEN l_orderkey % 200 = 11 THEN 36500 ELSE 0"
+            " END) AS order_date",
+            "CASE WHEN l_orderkey % 500 = 1 THEN '{\"x\":1}' END AS _rescued_data",
+        )
+
     def inventory_events(self) -> DataFrame:
         return self.table("events").selectExpr(*INVENTORY_COLUMNS)
 
