@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from checks.registry import query
-from lakewarden.functions import ago, at, bucket, first_present, minute_of, since
+from lakewarden.functions import ago, at, bucket, first_present, since, trunc
 from lakewarden.operators.aggregates import count_where, pctl, share
 from lakewarden.operators.sets import keyless_diff, snapshot_diff
 from lakewarden.operators.shape import domain, evolve, first_rows, flatten_params, replicate
@@ -622,11 +622,11 @@ def h05(lake):
        " AS date, CAST(ts AS DATE) + 7 AS next_week,"
        " CAST(floor(epoch(TIMESTAMP '2024-02-01' - ts) / 60) AS BIGINT) AS minutes FROM events")
 def h06(lake):
-    ts = F.col("ts")
-    return lake.table("events").select(
-        "event_id", *[F.date_trunc(u, ts).cast("timestamp_ntz").alias(u)
-                      for u in ("month", "week", "day", "hour")],
-        minute_of(ts).cast("timestamp_ntz").alias("minute"), F.to_date(ts).alias("date"),
+    events, ts = lake.table("events"), F.col("ts")
+    return events.select(
+        "event_id", *[trunc(events, u, "ts").alias(u)
+                      for u in ("month", "week", "day", "hour", "minute")],
+        F.to_date(ts).alias("date"),
         F.date_add(F.to_date(ts), 7).alias("next_week"),
         F.expr("timestampdiff(MINUTE, ts, TIMESTAMP_NTZ '2024-02-01 00:00:00')").alias("minutes"))
 

@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 from checks.registry import query
 from lakewarden.operators import joins
 from lakewarden.operators.aggregates import consecutive, share
-from lakewarden.operators.latest import latest, with_latest
+from lakewarden.operators.latest import latest, top_per_key, with_latest
 from lakewarden.operators.lineage import lineage_edges, upstream
-from lakewarden.operators.ranking import ordered_by_key
 from lakewarden.operators.skew import key_skew, partition_skew
 from lakewarden.plans import access, cost, retail
 from lakewarden.sources import generators
@@ -226,8 +225,7 @@ def e01(lake):
 def e02(lake):
     orders = lake.orders().filter("customer_id IS NOT NULL").select(
         "customer_id", "order_id", "total_amount")
-    ranked = ordered_by_key(orders, ["customer_id"], [F.desc("total_amount"), F.col("order_id")])
-    return ranked.filter("rn <= 3").select("customer_id", "order_id", "total_amount")
+    return top_per_key(orders, ["customer_id"], [F.desc("total_amount"), F.col("order_id")], 3)
 
 
 CREATES = "action_name IN ('createWarehouse', 'createEndpoint')"

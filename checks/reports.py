@@ -272,8 +272,7 @@ def j15(lake):
        " (waiting_at_capacity_duration_ms > 5000) AS long_waits FROM v_history WHERE start_time >="
        " TIMESTAMP '2024-01-29' GROUP BY ALL", "avg_queue_wait_ms")
 def j16(lake):
-    report = queries.queue_by_hour(lake.query_history(), EVENTS_AS_OF, 48)
-    return report.withColumn("hour", F.col("hour").cast("timestamp_ntz"))
+    return queries.queue_by_hour(lake.query_history(), EVENTS_AS_OF, 48)
 
 
 @query("j17_status_by_warehouse",
@@ -397,8 +396,7 @@ MINUTES_SQL = ("SELECT date_trunc('minute', start_time)::TIMESTAMP AS start_time
 @query("j27_queries_per_minute",
        f"{MINUTES_SQL} ORDER BY start_time_minute DESC LIMIT 100")
 def j27(lake):
-    report = capacity.qpm(lake.query_history(), EVENTS_AS_OF)
-    return report.withColumn("start_time_minute", F.col("start_time_minute").cast("timestamp_ntz"))
+    return capacity.qpm(lake.query_history(), EVENTS_AS_OF)
 
 
 @query("j28_cluster_need",
@@ -606,8 +604,7 @@ def j35(lake):
        " customer_id) AS unique_customers FROM v_orders WHERE order_timestamp >= TIMESTAMP"
        " '1998-01-01' GROUP BY ALL", "total_revenue")
 def j36(lake):
-    report = retail.monthly_sales(lake.orders(), datetime(1998, 1, 1))
-    return report.withColumn("month", F.col("month").cast("timestamp_ntz"))
+    return retail.monthly_sales(lake.orders(), datetime(1998, 1, 1))
 
 
 @query("j37_segment_report",
@@ -650,8 +647,7 @@ def j39(lake):
        " stddev(total_amount) AS stddev_amount FROM v_gold GROUP BY ALL",
        "total_revenue total_profit avg_price min_price max_price stddev_amount")
 def j40(lake):
-    report = retail.daily_wide(gold(lake))
-    return report.withColumn("day", F.col("day").cast("timestamp_ntz"))
+    return retail.daily_wide(gold(lake))
 
 
 def gold(lake):
@@ -666,8 +662,7 @@ def gold(lake):
        " '1998-06-01' AND customer_region = 'ASIA' GROUP BY ALL",
        "total_revenue total_profit avg_unit_price")
 def j41(lake):
-    report = retail.weekly_region(gold(lake), "ASIA", datetime(1998, 6, 1))
-    return report.withColumn("week", F.col("week").cast("timestamp_ntz"))
+    return retail.weekly_region(gold(lake), "ASIA", datetime(1998, 6, 1))
 
 
 DAILY_SQL = ("SELECT CAST(order_timestamp AS DATE) AS order_date, region, channel, count(*) AS"
@@ -730,8 +725,7 @@ def j44(lake):
        " avg(unit_price) AS avg_price, count(DISTINCT customer_id) AS unique_customers FROM v_gold"
        " GROUP BY ALL", "revenue profit avg_price")
 def j44_month(lake):
-    report = retail.category_month(gold(lake))
-    return report.withColumn("month", F.col("month").cast("timestamp_ntz"))
+    return retail.category_month(gold(lake))
 
 
 @query("j45_channel_status",
@@ -759,5 +753,4 @@ def j47(lake):
        " AS order_count, sum(total_amount) AS total_revenue FROM v_orders GROUP BY ALL",
        "total_revenue")
 def j49(lake):
-    report = retail.channel_month(lake.orders_v2(), "order_total")
-    return report.withColumn("month", F.col("month").cast("timestamp_ntz"))
+    return retail.channel_month(lake.orders_v2(), "order_total")

@@ -6,9 +6,9 @@ from lakewarden.functions.text import (
     query_tag,
     unit_hash,
 )
-from lakewarden.functions.times import ago, at, minute_of, seconds_between, since
+from lakewarden.functions.times import ago, at, seconds_between, since, trunc
 
 __all__ = [
     "ago", "at", "bucket", "comment_json", "error_class", "first_present", "json_field",
-    "minute_of", "query_tag", "seconds_between", "since", "unit_hash",
+    "query_tag", "seconds_between", "since", "trunc", "unit_hash",
 ]

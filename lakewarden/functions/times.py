@@ -24,8 +24,9 @@ def since(df: DataFrame, column: str, as_of: datetime, n: int, unit: str = "days
     return df.filter(F.col(column) > edge if strict else F.col(column) >= edge)
 
 
-def minute_of(column: str | Column) -> Column:
-    return F.date_trunc("minute", column)
+def trunc(df: DataFrame, unit: str, column: str) -> Column:
+    """Start of the calendar unit, in the column's own type (``date_trunc`` adds a time zone)."""
+    return F.date_trunc(unit, column).cast(df.schema[column].dataType)
 
 
 def seconds_between(start: str, end: str) -> Column:

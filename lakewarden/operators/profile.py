@@ -10,8 +10,8 @@ MEASURES = ["num_rows", "num_nulls", "null_percentage", "num_zeros", "distinct_c
             "max", "mean", "stddev", "percentile_25", "percentile_75"]
 
 
-def _measures(df: DataFrame, name: str, approx: bool) -> Column:
-    """All measures of one column as a struct aggregate; numeric ones are NULL for other types."""
+def _measures(df: DataFrame, name: str) -> Column:
+    """Mergeable measures of one column; numeric ones are NULL for other types."""
     kind = df.schema[name].dataType
     c = F.col(f"`{name}`")
     numeric = isinstance(kind, T.NumericType)
@@ -23,7 +23,6 @@ def _measures(df: DataFrame, name: str, approx: bool) -> Column:
         rows.alias("num_rows"), nulls.alias("num_nulls"),
         (nulls * 100.0 / rows).alias("null_percentage"),
         (F.count_if(value == 0) if numeric else F.lit(None).cast("long")).alias("num_zeros"),
-        (F.approx_count_distinct(c) if approx else F.countDistinct(c)).alias("distinct_count"),
         (F.min(value) if numeric else none).alias("min"),
         (F.max(value) if numeric else none).alias("max"),
         (F.avg(value) if numeric else none).alias("mean"),
@@ -33,21 +32,37 @@ def _measures(df: DataFrame, name: str, approx: bool) -> Column:
     )
 
 
+def _stacked(df: DataFrame, window: Column, items: Sequence[Column]) -> DataFrame:
+    """Struct aggregates per window as one row per window and column."""
+    names = [f"m{i}" for i in range(len(items))]
+    wide = df.groupBy(window.alias("window")).agg(*[c.alias(n) for c, n in zip(items, names)])
+    return wide.select("window", F.explode(F.array(*names)).alias("m")).select("window", "m.*")
+
+
 def profile(df: DataFrame, columns: Sequence[str], ts: str | None = None, width: str = "1 day",
             approx: bool = False) -> DataFrame:
     """One row per column (and window): nulls, zeros, distinct values, range and spread.
 
-    One grouped aggregate computes every measure, then the structs are turned into rows. Exact
-    distinct counts repeat each row once per column before the shuffle; ``approx`` uses sketches
-    instead and does not.
+    Sketches and sums come from one grouped aggregate that combines on the map side. Exact
+    distinct counts repeat each row once per column, so they run in an aggregate of their own that
+    carries nothing else; ``approx`` counts with sketches in a single pass instead.
     """
-    measured = [_measures(df, c, approx).alias(f"m{i}") for i, c in enumerate(columns)]
-    stacked = F.explode(F.array(*[F.col(f"m{i}") for i in range(len(columns))])).alias("m")
+    window = F.lit("all") if ts is None else F.window(ts, width)
+
+    def counted(name: str) -> Column:
+        c = F.col(f"`{name}`")
+        return F.approx_count_distinct(c) if approx else F.countDistinct(c)
+
+    measured = _stacked(df, window, [_measures(df, c) for c in columns])
+    distinct = _stacked(df, window, [
+        F.struct(F.lit(c).alias("column_name"), counted(c).alias("distinct_count"))
+        for c in columns])
+    rows = measured.join(distinct, ["window", "column_name"])
     if ts is None:
-        return df.agg(*measured).select(stacked).select("m.*")
-    return df.groupBy(F.window(ts, width).alias("window")).agg(*measured).select(
-        "window", stacked).select(
-        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "m.*")
+        return rows.select("column_name", "data_type", *MEASURES)
+    return rows.select(
+        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+        "column_name", "data_type", *MEASURES)
 
 
 def worst_window(profiles: DataFrame, column: str, n: int = 1) -> DataFrame:

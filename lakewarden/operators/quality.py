@@ -91,24 +91,28 @@ class Layers:
     bronze: DataFrame
     silver: DataFrame
     gold: DataFrame
+    drops: list[Rule]
 
     def counts(self) -> DataFrame:
-        """Rows per layer and rows dropped on the way to silver, in one table."""
-        def count(df: DataFrame, name: str) -> DataFrame:
-            return df.agg(F.count("*").alias("row_count")).select(F.lit(name).alias("layer"),
-                                                                 "row_count")
-        bronze, silver = count(self.bronze, "bronze"), count(self.silver, "silver")
-        both = bronze.unionByName(silver)
-        dropped = both.agg(F.sum(F.when(F.col("layer") == "bronze", F.col("row_count"))
-                                 .otherwise(-F.col("row_count"))).alias("row_count"))
-        return both.unionByName(count(self.gold, "gold")).unionByName(
-            dropped.select(F.lit("dropped").alias("layer"), "row_count"))
+        """Rows per layer and rows dropped on the way to silver. Bronze is read once for three."""
+        kept = F.lit(True)
+        for rule in self.drops:
+            kept = kept & rule.holds()
+        rows = F.count(F.lit(1))
+        passed = F.count_if(kept)
+        items = {"bronze": rows, "silver": passed, "dropped": rows - passed}
+        seen = self.bronze.agg(*[c.alias(name) for name, c in items.items()])
+        gold = self.gold.agg(rows.alias("row_count")).select(F.lit("gold").alias("layer"),
+                                                             "row_count")
+        return seen.unpivot([], list(items), "layer", "row_count").unionByName(gold)
 
 
 def dq_layers(orders: DataFrame, as_of: str, check: bool = True) -> Layers:
     """Bronze keeps all rows, silver drops invalid ones, gold fails on an empty day."""
-    silver = apply_drops(orders, [*SILVER_RULES, reasonable_date(as_of)])
+    checks = [*SILVER_RULES, reasonable_date(as_of)]
+    silver = apply_drops(orders, checks)
     gold = silver.groupBy("order_date", "channel").agg(
         F.count("*").alias("order_count"),
         F.sum(F.col("quantity") * F.col("unit_price")).alias("revenue"))
-    return Layers(orders, silver, require(gold, GOLD_RULES) if check else gold)
+    return Layers(orders, silver, require(gold, GOLD_RULES) if check else gold,
+                  [r for r in checks if r.action == DROP])

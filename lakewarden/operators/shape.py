@@ -18,12 +18,13 @@ def evolve(df: DataFrame, rename: Mapping[str, str] | None = None,
 def replicate(df: DataFrame, copies: int, id_name: str, key: Sequence[str]) -> DataFrame:
     """Every row ``copies`` times with a new id.
 
-    The copies are made by a generator inside the scan stage, so nothing is shuffled. The id is a
-    hash of the row key and the copy number: a retried task writes the same ids again.
+    The copies are made by a generator inside the scan stage, so nothing is shuffled. The id is
+    made of two 64-bit hashes of the row key and the copy number: a retried task writes the same
+    ids again.
     """
     numbered = df.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
-    parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in (*key, "_copy")]
-    return numbered.withColumn(id_name, F.md5(F.concat_ws(":", *parts))).drop("_copy")
+    first, second = F.xxhash64(*key, "_copy"), F.xxhash64("_copy", *key, F.lit("second"))
+    return numbered.withColumn(id_name, F.concat_ws("-", F.hex(first), F.hex(second))).drop("_copy")
 
 
 def domain(df: DataFrame, column: str) -> DataFrame:

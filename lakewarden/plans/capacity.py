@@ -7,7 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakewarden.functions import minute_of, since
+from lakewarden.functions import since, trunc
 from lakewarden.operators.shape import first_rows
 
 # Estimated queries per minute one cluster of each size handles.
@@ -19,7 +19,7 @@ CAPACITY = {
 
 def _per_minute(history: DataFrame, as_of: datetime, days: int) -> DataFrame:
     return since(history, "start_time", as_of, days).groupBy(
-        minute_of("start_time").alias("start_time_minute")).agg(F.count("*").alias("query_count"))
+        trunc(history, "minute", "start_time").alias("start_time_minute")).agg(F.count("*").alias("query_count"))
 
 
 def qpm(history: DataFrame, as_of: datetime, days: int = 30, n: int | None = 100) -> DataFrame:

@@ -6,7 +6,7 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakewarden.functions import at
+from lakewarden.functions import at, trunc
 from lakewarden.operators.joins import left_lookup, lookup_join
 
 
@@ -27,7 +27,7 @@ def monthly_sales(orders: DataFrame, start: datetime, until: datetime | None = N
     if until is not None:
         rows = rows.filter(F.col("order_timestamp") < at(orders, "order_timestamp", until))
     return (
-        rows.groupBy("region", "channel", F.date_trunc("month", "order_timestamp").alias("month"))
+        rows.groupBy("region", "channel", trunc(orders, "month", "order_timestamp").alias("month"))
         .agg(order_count(), revenue(), F.countDistinct("customer_id").alias("unique_customers"))
         .orderBy("month", "region")
     )
@@ -36,7 +36,7 @@ def monthly_sales(orders: DataFrame, start: datetime, until: datetime | None = N
 def channel_month(orders: DataFrame, amount: str) -> DataFrame:
     """Monthly revenue per channel; ``amount`` is the amount column of the schema in use."""
     return (
-        orders.groupBy("channel", F.date_trunc("month", "order_timestamp").alias("month"))
+        orders.groupBy("channel", trunc(orders, "month", "order_timestamp").alias("month"))
         .agg(order_count(), revenue(amount)).orderBy("month", "channel")
     )
 
@@ -133,7 +133,7 @@ def daily_wide(gold: DataFrame) -> DataFrame:
     """Seven keys, nine measures."""
     return gold.groupBy(
         "product_category", "product_color", "customer_region", "customer_country",
-        "loyalty_tier", "channel", F.date_trunc("day", "order_timestamp").alias("day"),
+        "loyalty_tier", "channel", trunc(gold, "day", "order_timestamp").alias("day"),
     ).agg(
         F.count("*").alias("order_count"),
         F.countDistinct("customer_id").alias("unique_customers"),
@@ -150,7 +150,7 @@ def weekly_region(gold: DataFrame, region: str, start: datetime) -> DataFrame:
         & (F.col("customer_region") == region)
     ).groupBy(
         "product_category", "customer_region", "loyalty_tier",
-        F.date_trunc("week", "order_timestamp").alias("week"),
+        trunc(gold, "week", "order_timestamp").alias("week"),
     ).agg(
         F.count("*").alias("order_count"),
         F.countDistinct("customer_id").alias("unique_customers"),
@@ -225,7 +225,7 @@ def tier_region(orders: DataFrame, customers: DataFrame, start: datetime) -> Dat
 def category_month(gold: DataFrame) -> DataFrame:
     return gold.groupBy(
         "product_category", "customer_region",
-        F.date_trunc("month", "order_timestamp").alias("month"),
+        trunc(gold, "month", "order_timestamp").alias("month"),
     ).agg(
         F.count("*").alias("orders"), F.sum("total_amount").alias("revenue"),
         F.sum("profit").alias("profit"), F.avg("unit_price").alias("avg_price"),

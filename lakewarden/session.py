@@ -24,19 +24,19 @@ def local_session(cores: str = "*", partitions: int = 8, name: str = "lakewarden
 
 
 def work_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``, or the context's checkpoint folder.
 
     Only a local session may fall back to a temporary folder: on a cluster other executors
     could not read it back, so a missing setting is an error there.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="lakewarden-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="lakewarden-"))
+    return context.getCheckpointDir()
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:

@@ -26,7 +26,9 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
 def _newest(spark: SparkSession, path: str) -> int:
     try:
         return manifest(spark, path).agg(F.max("version").alias("v")).first()["v"]
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return -1
 
 

@@ -37,7 +37,9 @@ class SchemaStore:
     def newest(self) -> tuple[int, T.StructType] | None:
         try:
             row = self.versions().orderBy(F.desc("version")).first()
-        except AnalysisException:
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None
         if row is None:
             return None
@@ -62,7 +64,7 @@ class Ingest:
     typed: bool = True
     hints: Mapping[str, str] = field(default_factory=dict)
     max_files: int | None = 1000
-    max_bytes: str | None = None
+    max_bytes: int | None = None
     clean: str = "off"
     archive: str | None = None
     max_age: str | None = None
