@@ -422,6 +422,22 @@ def j28_sizes(lake):
     return capacity.need_by_size(capacity.qpm_stats(lake.query_history(), EVENTS_AS_OF))
 
 
+FIVE_SIZES = ["Small", "Medium", "Large", "X-Large", "2X-Large"]
+
+
+@query("g02_union_per_size",
+       " UNION ALL ".join(
+           f"SELECT '{size}' AS warehouse_size, {capacity.CAPACITY[size]} AS"
+           f" queries_per_min_capacity, round(min(query_count) / {capacity.CAPACITY[size]}, 2) AS"
+           f" min_clusters, round(max(query_count) / {capacity.CAPACITY[size]}, 2) AS max_clusters,"
+           f" round(avg(query_count) / {capacity.CAPACITY[size]}, 2) AS avg_clusters"
+           f" FROM ({MINUTES_SQL})" for size in FIVE_SIZES),
+       "min_clusters max_clusters avg_clusters")
+def g02(lake):
+    ladder = {size: capacity.CAPACITY[size] for size in FIVE_SIZES}
+    return capacity.need_by_size(capacity.qpm_stats(lake.query_history(), EVENTS_AS_OF), ladder)
+
+
 @query("j29_load_by_hour",
        "SELECT CAST(hour(start_time_minute) AS INTEGER) AS hour_of_day, round(avg(query_count), 1)"
        " AS avg_queries_per_min, max(query_count) AS peak_queries_per_min, count(*) AS"

@@ -172,6 +172,20 @@ def a19(lake):
         "batches", batches.scalar())
 
 
+@query("a20_source_cleanup",
+       "SELECT event_type, count(*) AS row_count FROM events GROUP BY event_type")
+def a20(lake):
+    # Files of a finished batch are moved away while later ones arrive; no row is lost or repeated.
+    setup = job(lake, ingest.ADD, clean="archive", max_age="30d")
+    setup.archive = f"{setup.source}-archive"
+    for part in halves(lake):
+        land(part, setup.source, *BASE)
+        setup.run(lake.spark)
+    setup.run(lake.spark)
+    return ingest.read_ingested(lake.spark, setup).groupBy("event_type").agg(
+        F.count("*").alias("row_count"))
+
+
 @query("a21_reprocess",
        "SELECT 'appended' AS target, 2 * count(*) AS row_count, count(*) AS ids FROM events UNION"
        " ALL SELECT 'created anew', count(*), count(*) FROM events")

@@ -121,18 +121,20 @@ def guarded_join(left: DataFrame, right: DataFrame, on: Sequence[str], max_rows:
 
 def validity_join(fact: DataFrame, dim: DataFrame, on: Sequence[str], moment: str, start: str,
                   end: str, how: str = "left", closed: str = "left",
-                  width: str = "month") -> DataFrame:
+                  width: str = "month", newest: Column | None = None) -> DataFrame:
     """Rows of ``dim`` in force at ``moment`` (``end`` NULL means still in force).
 
     ``closed="left"`` treats the interval as ``[start, end)``; ``"both"`` includes the end.
     Intervals are laid out on calendar buckets and joined by key and bucket, so a key with many
-    rows is divided by time and nothing needs to be broadcast. Open intervals reach to the newest
-    fact row.
+    rows is divided by time and nothing needs to be broadcast. Open intervals reach to ``newest``,
+    by default the newest ``moment``; pass it when ``fact`` is expensive to compute twice.
     """
     def slot(c: Column) -> Column:
         return F.date_trunc(width, c).cast("date")
 
-    last = fact.agg(F.max(slot(F.col(moment))).alias("m")).scalar()
+    if newest is None:
+        newest = fact.agg(F.max(moment).alias("m")).scalar()
+    last = slot(newest)
     first_slot = slot(F.col(start))
     last_slot = F.least(F.coalesce(slot(F.col(end)), last), last)
     step = {"day": "INTERVAL 1 DAY", "week": "INTERVAL 7 DAY", "month": "INTERVAL 1 MONTH",

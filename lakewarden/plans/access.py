@@ -10,6 +10,7 @@ from lakewarden.functions import ago, bucket, json_field, since
 from lakewarden.operators.latest import latest
 from lakewarden.operators.ranking import scd_history
 from lakewarden.operators.shape import first_rows
+from lakewarden.session import durable
 
 # Audit actions that create, edit and delete a warehouse.
 CREATES = ["createWarehouse", "createEndpoint"]
@@ -67,8 +68,13 @@ def refine_warehouse_events(audit: DataFrame, service: str) -> DataFrame:
 
 
 def warehouse_scd(changes: DataFrame) -> DataFrame:
-    """Change history per warehouse: the latest create event and all edits and deletes."""
+    """Change history per warehouse: the latest create event and all edits and deletes.
+
+    The changes are a small part of the audit log and are needed several times, so they are
+    written out once instead of scanning the log again.
+    """
     action = F.col("action_name")
+    changes = durable(changes, "changes")
     created = latest(changes.filter(action.isin(CREATES)), ["warehouse_id"],
                      ["event_time", "event_id"])
     history = created.unionByName(changes.filter(action.isin([*EDITS, *DELETES])))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lakewarden.functions import ago
 from lakewarden.operators.joins import validity_join
@@ -15,12 +15,12 @@ RUN = ["workspace_id", "job_id", "run_id"]
 
 
 def price_at(usage: DataFrame, prices: DataFrame, currency: str = "USD", closed: str = "left",
-             width: str = "month") -> DataFrame:
+             width: str = "month", newest: Column | None = None) -> DataFrame:
     """Usage with the price in force at its start; usage without a price is kept."""
     card = prices.filter(F.col("currency_code") == currency).select(
         "sku_name", "price_start_time", "price_end_time", F.col("pricing.default").alias("price"))
     return validity_join(usage, card, ["sku_name"], "usage_start_time", "price_start_time",
-                         "price_end_time", closed=closed, width=width)
+                         "price_end_time", closed=closed, width=width, newest=newest)
 
 
 def cost_per_run(usage: DataFrame, prices: DataFrame, runs: DataFrame, product: str = "JOBS",
@@ -37,7 +37,8 @@ def cost_per_run(usage: DataFrame, prices: DataFrame, runs: DataFrame, product:
         "usage_quantity", F.col("identity_metadata.run_as").alias("run_as"))
     summed = flat.groupBy(*RUN, "sku_name", "usage_start_time").agg(
         F.sum("usage_quantity").alias("usage_quantity"), F.max("run_as").alias("run_as"))
-    priced = price_at(summed, prices, currency, closed).groupBy(*RUN, "sku_name").agg(
+    newest = usage.agg(F.max("usage_start_time").alias("m")).scalar()
+    priced = price_at(summed, prices, currency, closed, newest=newest).groupBy(*RUN, "sku_name").agg(
         F.max("run_as").alias("run_as"),
         F.sum(F.col("usage_quantity") * F.col("price")).alias("usage_cost"),
         F.sum("usage_quantity").alias("usage_quantity"))

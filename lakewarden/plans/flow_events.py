@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from lakewarden.functions import json_field
 from lakewarden.operators.shape import first_rows
 
-EXPECTATIONS = "array<struct<name:string,dataset:string,passed_records:bigint,failed_records:bigint>>"
+# Fields of the JSON details that the reports read. Spark parses only those a report uses.
+DETAILS = (
+    "flow_progress struct<status:string,"
+    "metrics:struct<num_output_rows:bigint,num_upserted_rows:bigint,num_deleted_rows:bigint>,"
+    "data_quality:struct<expectations:array<struct<"
+    "name:string,dataset:string,passed_records:bigint,failed_records:bigint>>>>,"
+    " update_progress struct<state:string>, create_update struct<cause:string>,"
+    " error struct<message:string,exceptions:string>"
+)
 
 
-def _detail(path: str, kind: str = "string") -> Column:
-    value = json_field(F.col("details"), path)
-    return value if kind == "string" else value.try_cast(kind)
+def _parsed(events: DataFrame, *kinds: str) -> DataFrame:
+    """Events of the given types (all when none is given) with their details as ``d``."""
+    rows = events.filter(F.col("event_type").isin(*kinds)) if kinds else events
+    return rows.withColumn("d", F.from_json("details", DETAILS))
 
 
 def event_overview(events: DataFrame, n: int | None = 50) -> DataFrame:
@@ -30,27 +38,28 @@ def event_counts(events: DataFrame) -> DataFrame:
 
 def flow_rows(events: DataFrame, n: int | None = 30) -> DataFrame:
     """Rows written, upserted and deleted per progress event."""
-    report = events.filter("event_type = 'flow_progress'").select(
+    metrics = "d.flow_progress.metrics"
+    report = _parsed(events, "flow_progress").select(
         "timestamp", F.col("origin.flow_name").alias("table_name"),
-        _detail("flow_progress.status").alias("flow_status"),
-        _detail("flow_progress.metrics.num_output_rows", "long").alias("rows_written"),
-        _detail("flow_progress.metrics.num_upserted_rows", "long").alias("rows_upserted"),
-        _detail("flow_progress.metrics.num_deleted_rows", "long").alias("rows_deleted"))
+        F.col("d.flow_progress.status").alias("flow_status"),
+        F.col(f"{metrics}.num_output_rows").alias("rows_written"),
+        F.col(f"{metrics}.num_upserted_rows").alias("rows_upserted"),
+        F.col(f"{metrics}.num_deleted_rows").alias("rows_deleted"))
     return first_rows(report, [F.desc("timestamp"), F.col("table_name")], n)
 
 
 def rows_per_run(events: DataFrame) -> DataFrame:
-    return events.filter("event_type = 'flow_progress'").groupBy(
+    return _parsed(events, "flow_progress").groupBy(
         F.col("origin.update_id").alias("update_id"), F.col("origin.flow_name").alias("table_name"),
-    ).agg(F.coalesce(F.sum(_detail("flow_progress.metrics.num_output_rows", "long")), F.lit(0))
+    ).agg(F.coalesce(F.sum("d.flow_progress.metrics.num_output_rows"), F.lit(0))
           .alias("rows_written"))
 
 
 def flow_errors(events: DataFrame, n: int | None = 20) -> DataFrame:
-    report = events.filter(F.col("level").isin("ERROR", "WARN")).select(
+    report = _parsed(events.filter(F.col("level").isin("ERROR", "WARN"))).select(
         "timestamp", "level", F.col("origin.flow_name").alias("table_name"), "message",
-        _detail("error.message").alias("error_detail"),
-        _detail("error.exceptions").alias("exceptions"))
+        F.col("d.error.message").alias("error_detail"),
+        F.col("d.error.exceptions").alias("exceptions"))
     return first_rows(report, [F.desc("timestamp"), F.col("message")], n)
 
 
@@ -63,17 +72,17 @@ def errors_of_latest_run(events: DataFrame) -> DataFrame:
 
 
 def update_lifecycle(events: DataFrame, n: int | None = 20) -> DataFrame:
-    report = events.filter(F.col("event_type").isin("update_progress", "create_update")).select(
+    report = _parsed(events, "update_progress", "create_update").select(
         "timestamp", "event_type", "message",
-        _detail("update_progress.state").alias("update_state"),
-        _detail("create_update.cause").alias("trigger_cause"))
+        F.col("d.update_progress.state").alias("update_state"),
+        F.col("d.create_update.cause").alias("trigger_cause"))
     return first_rows(report, [F.desc("timestamp"), F.col("message")], n)
 
 
 def update_durations(events: DataFrame) -> DataFrame:
     """Seconds from the first RUNNING to the last COMPLETED state of each update."""
-    state = _detail("update_progress.state")
-    per_update = events.filter("event_type = 'update_progress'").groupBy(
+    state = F.col("d.update_progress.state")
+    per_update = _parsed(events, "update_progress").groupBy(
         F.col("origin.update_id").alias("update_id")
     ).agg(
         F.min(F.when(state == "RUNNING", F.col("timestamp"))).alias("started_at"),
@@ -84,9 +93,9 @@ def update_durations(events: DataFrame) -> DataFrame:
 
 def expectation_results(events: DataFrame) -> DataFrame:
     """One row per expectation and progress event."""
-    parsed = F.from_json(_detail("flow_progress.data_quality.expectations"), EXPECTATIONS)
-    return events.filter("event_type = 'flow_progress'").select(
-        "timestamp", F.col("origin.flow_name").alias("table_name"), F.explode(parsed).alias("e"),
+    return _parsed(events, "flow_progress").select(
+        "timestamp", F.col("origin.flow_name").alias("table_name"),
+        F.explode("d.flow_progress.data_quality.expectations").alias("e"),
     ).select("timestamp", "table_name", F.col("e.name").alias("expectation_name"),
              F.col("e.dataset").alias("dataset"), "e.passed_records", "e.failed_records")
 

@@ -36,7 +36,8 @@ def costliest_job_user(usage: DataFrame, prices: DataFrame, as_of: datetime, day
     ).groupBy(F.col("usage_metadata.job_id").alias("job_id"),
               F.col("identity_metadata.run_as").alias("run_as"), "sku_name", "usage_start_time"
               ).agg(F.sum("usage_quantity").alias("usage_quantity"))
-    cost = price_at(summed, prices).groupBy("job_id", "run_as").agg(
+    newest = usage.agg(F.max("usage_start_time").alias("m")).scalar()
+    cost = price_at(summed, prices, newest=newest).groupBy("job_id", "run_as").agg(
         F.sum(F.col("usage_quantity") * F.col("price")).alias("cost"))
     return first_rows(cost, [F.desc_nulls_last("cost"), F.col("job_id"), F.col("run_as")], n)
 
