@@ -44,11 +44,21 @@ def inventory_summary(events: DataFrame) -> DataFrame:
         F.max("event_timestamp").alias("last_event"))
 
 
-def dedup_stream(stream: DataFrame, key: str, ts: str, delay: str = "1 hour") -> DataFrame:
-    """One row per key in a stream; state is kept for ``delay`` of event time."""
-    timed = stream.withColumn("_event_time", F.col(ts).cast("timestamp"))
-    return timed.withWatermark("_event_time", delay).dropDuplicatesWithinWatermark(
-        [key]).drop("_event_time")
+def dedup_stream(stream: DataFrame, key: str, ts: str, delay: str = "1 hour",
+                 salts: int = 16) -> DataFrame:
+    """One row per key in a stream; state is kept for ``delay`` of event time.
+
+    Copies are removed in two steps. The first works per key and salt, where the salt is the input
+    partition and does not depend on the row, so many copies of one key are divided over tasks.
+    The second sees at most ``salts`` of them. ``salts=1`` saves the first step.
+    """
+    timed = stream.withColumn("_event_time", F.col(ts).cast("timestamp")).withWatermark(
+        "_event_time", delay)
+    if salts > 1:
+        salt = F.pmod(F.spark_partition_id(), F.lit(salts))
+        timed = timed.withColumn("_salt", salt).dropDuplicatesWithinWatermark(
+            [key, "_salt"]).drop("_salt")
+    return timed.dropDuplicatesWithinWatermark([key]).drop("_event_time")
 
 
 def dedup_batch(rows: DataFrame, key: str, ts: str) -> DataFrame:

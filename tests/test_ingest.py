@@ -203,6 +203,20 @@ def test_medallion_is_incremental(spark):
         ("W1", "p1", "SALE", 8, 2, datetime(2024, 5, 1), datetime(2024, 5, 2))]
 
 
+@pytest.mark.parametrize("salts", [1, 4])
+def test_stream_dedup_of_a_hot_key(spark, salts):
+    root = fresh_dir(spark, "test-dedup")
+    df = spark.range(0, 3000, 1, 6).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN -1 ELSE id % 100 END AS event_id",
+        "TIMESTAMP_NTZ '2024-01-01 00:00:00' AS ts")
+    df.write.parquet(f"{root}/in")
+    stream = spark.readStream.schema(df.schema).parquet(f"{root}/in")
+    medallion.run_once(medallion.dedup_stream(stream, "event_id", "ts", salts=salts),
+                       f"{root}/out", f"{root}/ck")
+    got = spark.read.parquet(f"{root}/out")
+    assert got.count() == got.select("event_id").distinct().count() == 101
+
+
 def test_log_files(spark):
     root = fresh_dir(spark, "test-logs")
     os.makedirs(f"{root}/c1/driver")
