@@ -196,7 +196,7 @@ J10_SQL = """
           GROUP BY workspace_id, job_id, run_id, sku_name) AS t
     LEFT JOIN (SELECT workspace_id, job_id, run_id, min(period_start_time) AS run_start_time,
                       max(period_end_time) AS run_end_time, (
-                      list(result_state ORDER BY period_end_time DESC, period_start_time DESC)
+                      list(result_state ORDER BY period_end_time DESC, result_state DESC)
                       FILTER (result_state IS NOT NULL))[1] AS result_state
                FROM v_runs GROUP BY workspace_id, job_id, run_id) AS r
     USING (workspace_id, job_id, run_id)"""

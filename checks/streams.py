@@ -287,6 +287,14 @@ def i02_counts(lake):
                                       medallion.silver_rules(EVENTS_AS_OF), "inventory")
 
 
+@query("i02_streamed_rule_counts",
+       f"SELECT name, passed_records, failed_records FROM ({dropped_sql()})")
+def i02_streamed(lake):
+    return layers(lake)["rules"].groupBy("name").agg(
+        F.sum("passed_records").alias("passed_records"),
+        F.sum("failed_records").alias("failed_records"))
+
+
 @query("i03_inventory_summary",
        "SELECT warehouse, product_id, event_type, CAST(sum(quantity_change) AS BIGINT) AS"
        " total_quantity_change, count(*) AS event_count, min(event_timestamp) AS first_event,"
@@ -350,12 +358,14 @@ def i07_events(lake):
     return access.warehouse_scd(changes)
 
 
-@query("i08_progress", "SELECT count(*) AS input_rows FROM events")
+@query("i08_progress", "SELECT count(*) AS input_rows, true AS timed FROM events")
 def i08(lake):
     root = fresh_dir(lake.spark, "progress")
     run = medallion.run_once(streamed(lake, "events").select("event_id"), f"{root}/table",
                              f"{root}/checkpoint")
-    return ledger.progress_table(lake.spark, run).agg(F.sum("input_rows").alias("input_rows"))
+    return ledger.progress_table(lake.spark, run).agg(
+        F.sum("input_rows").alias("input_rows"),
+        (F.max("duration_ms") > 0).alias("timed"))
 
 
 @query("i09_restart", "SELECT count(*) AS row_count, count(*) AS ids FROM events")

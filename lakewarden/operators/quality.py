@@ -43,6 +43,11 @@ def expect(df: DataFrame, checks: list[Rule]) -> tuple[DataFrame, Observation]:
     return apply_drops(observed, checks), seen
 
 
+def expect_stream(stream: DataFrame, checks: list[Rule], name: str) -> DataFrame:
+    """The same for a stream: the counters are reported with every batch under ``name``."""
+    return apply_drops(stream.observe(name, *_counters(checks)), checks)
+
+
 def apply_drops(df: DataFrame, checks: list[Rule]) -> DataFrame:
     for rule in checks:
         if rule.action == DROP:

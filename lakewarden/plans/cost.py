@@ -27,27 +27,32 @@ def cost_per_run(usage: DataFrame, prices: DataFrame, runs: DataFrame, product:
                  currency: str = "USD", closed: str = "left", n: int | None = 100) -> DataFrame:
     """Cost per job run and SKU with start, end and final state of the run.
 
-    Usage is summed per run, SKU and start time before it meets the prices, which keeps the
-    interval join small; runs are reduced to one row each before the last join. The state is the
-    one of the latest period of the run.
+    Usage is summed per run, SKU, user and start time before it meets the prices, which keeps the
+    interval join small. Runs are reduced per state, then to one row each, before the last join;
+    the state is the one that ended last. Names and states are grouping keys in the first step:
+    text in an aggregate would make Spark sort all rows instead of hashing them.
     """
     flat = usage.filter(F.col("billing_origin_product") == product).select(
         "workspace_id", F.col("usage_metadata.job_id").alias("job_id"),
         F.col("usage_metadata.job_run_id").alias("run_id"), "sku_name", "usage_start_time",
         "usage_quantity", F.col("identity_metadata.run_as").alias("run_as"))
-    summed = flat.groupBy(*RUN, "sku_name", "usage_start_time").agg(
-        F.sum("usage_quantity").alias("usage_quantity"), F.max("run_as").alias("run_as"))
+    summed = flat.groupBy(*RUN, "sku_name", "usage_start_time", "run_as").agg(
+        F.sum("usage_quantity").alias("usage_quantity"))
     newest = usage.agg(F.max("usage_start_time").alias("m")).scalar()
-    priced = price_at(summed, prices, currency, closed, newest=newest).groupBy(*RUN, "sku_name").agg(
-        F.max("run_as").alias("run_as"),
+    priced = price_at(summed, prices, currency, closed, newest=newest).groupBy(
+        *RUN, "sku_name", "run_as").agg(
         F.sum(F.col("usage_quantity") * F.col("price")).alias("usage_cost"),
         F.sum("usage_quantity").alias("usage_quantity"))
-    last = F.struct("period_end_time", "period_start_time", "result_state")
-    state = F.max_by("result_state", F.when(F.col("result_state").isNotNull(), last))
-    run_rows = runs.groupBy(*RUN).agg(
-        F.min("period_start_time").alias("run_start_time"),
-        F.max("period_end_time").alias("run_end_time"), state.alias("result_state"))
-    report = priced.join(run_rows, RUN, "left").select(
+    costs = priced.groupBy(*RUN, "sku_name").agg(
+        F.max("run_as").alias("run_as"), F.sum("usage_cost").alias("usage_cost"),
+        F.sum("usage_quantity").alias("usage_quantity"))
+    per_state = runs.groupBy(*RUN, "result_state").agg(
+        F.min("period_start_time").alias("start"), F.max("period_end_time").alias("end"))
+    ended = F.when(F.col("result_state").isNotNull(), F.struct("end", "result_state"))
+    run_rows = per_state.groupBy(*RUN).agg(
+        F.min("start").alias("run_start_time"), F.max("end").alias("run_end_time"),
+        F.max_by("result_state", ended).alias("result_state"))
+    report = costs.join(run_rows, RUN, "left").select(
         *RUN, "sku_name", "run_as", "usage_cost", "usage_quantity", "run_start_time",
         "run_end_time", "result_state")
     order = [F.desc_nulls_last("usage_cost"), *map(F.col, (*RUN, "sku_name"))]

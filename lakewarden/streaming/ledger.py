@@ -50,9 +50,26 @@ def backlog(spark: SparkSession, source: str, checkpoint: str) -> DataFrame:
 
 
 def progress_table(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Recent progress of a query, one row per micro-batch; Spark keeps a bounded number."""
-    rows = [(p["batchId"], p["timestamp"], p["numInputRows"],
-             int(p.get("durationMs", {}).get("triggerExecution", 0)))
-            for p in query.recentProgress]
+    """Recent progress of a query, one row per micro-batch; Spark keeps a bounded number.
+
+    Add up over the rows: the last batch may be an empty one.
+    """
+    rows = [(p["batchId"], p["timestamp"], p["numInputRows"], p["sink"]["numOutputRows"],
+             int(p["durationMs"].get("triggerExecution", 0))) for p in query.recentProgress]
+    return spark.createDataFrame(
+        rows, "batch_id bigint, timestamp string, input_rows bigint, output_rows bigint,"
+        " duration_ms bigint")
+
+
+def rule_progress(spark: SparkSession, query: StreamingQuery, name: str) -> DataFrame:
+    """Passed and failed rows per rule and micro-batch of a query with observed rules."""
+    rows = []
+    for p in query.recentProgress:
+        seen = p["observedMetrics"].get(name)
+        if seen is not None:
+            counts = seen.asDict()
+            total = counts.pop("rows")
+            rows += [(p["batchId"], rule.removeprefix("failed_"), total - failed, failed)
+                     for rule, failed in counts.items()]
     return spark.createDataFrame(
-        rows, "batch_id bigint, timestamp string, input_rows bigint, duration_ms bigint")
+        rows, "batch_id bigint, name string, passed_records bigint, failed_records bigint")
