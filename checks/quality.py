@@ -193,6 +193,27 @@ def k09(lake):
     return tables.freshness(stored, ORDERS_AS_OF)
 
 
+@query("k09_refresh_parts",
+       "SELECT date_trunc('month', order_timestamp)::DATE AS month, region, count(*) AS"
+       " order_count, sum(total_amount) AS total_revenue, TIMESTAMP '2001-08-02' - CASE WHEN"
+       " order_timestamp < TIMESTAMP '2001-07-01' THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY"
+       " END AS _last_refreshed FROM v_orders GROUP BY ALL", "total_revenue")
+def k09_parts(lake):
+    path = fresh_dir(lake.spark, "by-month")
+    orders = lake.orders()
+
+    def monthly(rows):
+        month = F.trunc(F.to_date("order_timestamp"), "month").alias("month")
+        return rows.groupBy(month, "region").agg(
+            F.count("*").alias("order_count"), F.sum("total_amount").alias("total_revenue"))
+
+    # First all months, with wrong recent ones; then the recent months again.
+    recent = F.col("order_timestamp") >= F.lit("2001-07-01").cast("timestamp_ntz")
+    wrong = orders.withColumn("total_amount", F.when(recent, 0.0).otherwise(F.col("total_amount")))
+    tables.refresh_parts(monthly(wrong), path, "month", ORDERS_AS_OF - timedelta(days=1))
+    return tables.refresh_parts(monthly(orders.filter(recent)), path, "month", ORDERS_AS_OF)
+
+
 # -- drift --------------------------------------------------------------------------------------
 
 def numeric_drift_sql(column: str) -> str:

@@ -10,6 +10,7 @@ from checks.views_sql import with_views
 from lakewarden.plans.views import Lake
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+PLAIN: dict[str, Callable[[Lake], DataFrame]] = {}  # the same without rounding, for timing
 ORACLES: dict[str, str] = {}
 
 # Doubles are compared at four digits, or two from a million on. The small offset keeps values that
@@ -40,6 +41,7 @@ def settled_sql(sql: str, doubles: str) -> str:
 def query(name: str, sql: str | None = None, doubles: str = ""):
     """Register a Spark query and, if it can be written in SQL, its oracle."""
     def register(fn: Callable[[Lake], DataFrame]):
+        PLAIN[name] = fn
         QUERIES[name] = lambda spark, folder: settled(fn(Lake(spark, folder)))
         if sql is not None:
             ORACLES[name] = with_views(settled_sql(sql, doubles))

@@ -13,6 +13,7 @@ from lakewarden.plans.views import EVENTS_AS_OF, INVENTORY_COLUMNS
 from lakewarden.session import fresh_dir
 from lakewarden.sources.jsonlines import unrescue
 from lakewarden.streaming import ingest, ledger, logs, medallion, refine
+from lakewarden.streaming.profile import profile_stream
 
 BASE = ["event_id", "event_type", "value"]
 
@@ -307,6 +308,16 @@ def i03(lake):
     return lake.spark.read.parquet(f"{root}/table")
 
 
+@query("e05_streamed_windows",
+       "SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, count(*) AS num_rows,"
+       " count(*) FILTER (event_id % 89 = 0) AS nulls_product_id FROM events GROUP BY 1"
+       " HAVING window_start + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR")
+def e05_streamed(lake):
+    stream = streamed(lake, "events").selectExpr(
+        "ts", "CASE WHEN event_id % 89 <> 0 THEN user_id END AS product_id")
+    return project(stream, lambda s: profile_stream(s, "ts", ["product_id"]), "profile")
+
+
 @query("i04_dedup_stream", "SELECT event_id, ts, user_id, event_type, value FROM events", "value")
 def i04(lake):
     # Every event twice: the same rows arrive from two files of one folder.

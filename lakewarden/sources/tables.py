@@ -83,6 +83,18 @@ def refresh(df: DataFrame, path: str, now: datetime) -> DataFrame:
     return materialise(df.withColumn("_last_refreshed", stamp), path)
 
 
+def refresh_parts(df: DataFrame, path: str, part: str, now: datetime) -> DataFrame:
+    """Replace only the days or months that occur in ``df``, one folder per value of ``part``.
+
+    Compute ``df`` from the changed part of the source; the other folders stay as they are.
+    """
+    stamp = F.lit(now.isoformat(sep=" ")).cast("timestamp_ntz")
+    stamped = df.withColumn("_last_refreshed", stamp)
+    stamped.repartition(part).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
+    return df.sparkSession.read.schema(stamped.schema).parquet(path)
+
+
 def freshness(stored: Mapping[str, DataFrame], as_of: datetime) -> DataFrame:
     """Last refresh, age and status of each stored aggregate."""
     now = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
