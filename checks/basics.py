@@ -556,16 +556,23 @@ def g04(lake):
                                        "target_table_full_name").distinct()
 
 
-OLD_SQL = "SELECT * FROM v_orders WHERE order_id % 11 <> 3"
-NEW_SQL = ("SELECT * REPLACE (CASE WHEN order_id % 7 = 2 THEN 'X' ELSE status END AS status)"
-           " FROM v_orders WHERE order_id % 13 <> 5")
+# Two states of the orders: the old one ends with the year 2000, the new one has the rest, lacks
+# the low-priority orders of one region, and has another status for open orders.
+OLD_SQL = "SELECT * FROM v_orders WHERE order_timestamp < TIMESTAMP '2001-01-01'"
+NEW_SQL = ("SELECT * REPLACE (CASE WHEN status = 'P' THEN 'X' ELSE status END AS status)"
+           " FROM v_orders WHERE NOT (channel = '5-LOW' AND region = 'LATAM')")
+
+
+def until_2000(orders):
+    return orders.filter(F.col("order_timestamp") < at(orders, "order_timestamp",
+                                                       datetime(2001, 1, 1)))
 
 
 def two_states(lake):
     orders = lake.orders()
-    new = orders.filter("order_id % 13 <> 5").withColumn(
-        "status", F.when(F.col("order_id") % 7 == 2, "X").otherwise(F.col("status")))
-    return orders.filter("order_id % 11 <> 3"), new
+    new = orders.filter("NOT (channel = '5-LOW' AND region = 'LATAM')").withColumn(
+        "status", F.when(F.col("status") == "P", "X").otherwise(F.col("status")))
+    return until_2000(orders), new
 
 
 @query("g05_snapshot_diff",

@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F, types as T
 
-from checks.basics import OLD_SQL
+from checks.basics import OLD_SQL, until_2000
 from checks.registry import query
 from lakewarden.operators import alerts, quality
 from lakewarden.operators.aggregates import windowed_metrics
@@ -15,7 +15,7 @@ from lakewarden.operators.drift import drift
 from lakewarden.operators.profile import profile, worst_window
 from lakewarden.operators.sets import delete, insert, update, upsert
 from lakewarden.plans import flow_events, retail
-from lakewarden.plans.views import EVENTS_AS_OF, ORDERS_AS_OF
+from lakewarden.plans.views import ORDERS_AS_OF
 from lakewarden.session import fresh_dir
 from lakewarden.sources import snapshots, tables
 
@@ -401,7 +401,7 @@ def k17(lake):
 # -- row changes --------------------------------------------------------------------------------
 
 SOURCE_SQL = ("SELECT * REPLACE ('Returned' AS status, total_amount * 2 AS total_amount) FROM"
-              " v_orders WHERE order_id % 5 = 0")
+              " v_orders WHERE status = 'P'")
 
 
 @query("k18_upsert",
@@ -409,34 +409,37 @@ SOURCE_SQL = ("SELECT * REPLACE ('Returned' AS status, total_amount * 2 AS total
        f" IN (SELECT order_id FROM ({SOURCE_SQL}))", "unit_price total_amount")
 def k18(lake):
     orders = lake.orders()
-    source = orders.filter("order_id % 5 = 0").withColumns(
+    source = orders.filter("status = 'P'").withColumns(
         {"status": F.lit("Returned"), "total_amount": F.col("total_amount") * 2})
-    return upsert(orders.filter("order_id % 11 <> 3"), source, ["order_id"])
+    return upsert(until_2000(orders), source, ["order_id"])
+
+
+def from_2001(orders):
+    return orders.filter(F.col("order_timestamp") >= F.lit("2001-01-01").cast("timestamp_ntz"))
 
 
 @query("k19_insert_update_delete",
        "SELECT * REPLACE (CASE WHEN status = 'F' THEN 'Cancelled' ELSE status END AS status, CASE"
-       " WHEN status = 'F' THEN 0 ELSE total_amount END AS total_amount) FROM (SELECT * FROM"
-       f" ({OLD_SQL}) UNION ALL SELECT * FROM v_orders WHERE order_id % 11 = 3) WHERE NOT"
-       " coalesce(customer_id % 7 = 1, false)", "unit_price total_amount")
+       " WHEN status = 'F' THEN 0 ELSE total_amount END AS total_amount) FROM v_orders WHERE NOT"
+       " coalesce(customer_id < 100 AND region = 'APAC', false)", "unit_price total_amount")
 def k19(lake):
     orders = lake.orders()
-    rows = insert(orders.filter("order_id % 11 <> 3"), orders.filter("order_id % 11 = 3"))
+    rows = insert(until_2000(orders), from_2001(orders))
     rows = update(rows, F.col("status") == "F",
                   {"status": F.lit("Cancelled"), "total_amount": F.lit(0.0)})
-    return delete(rows, F.col("customer_id") % 7 == 1)
+    return delete(rows, (F.col("customer_id") < 100) & (F.col("region") == "APAC"))
 
 
 T0 = datetime(2024, 1, 1)
 
 
 def versions(lake):
-    """Four versions: a part of the orders, an insert, an update and a delete."""
+    """Four versions: the orders up to 2000, an insert of the rest, an update and a delete."""
     path = fresh_dir(lake.spark, "versions")
-    orders = lake.orders().select("order_id", "status", "total_amount")
-    v0 = orders.filter("order_id % 11 <> 3")
-    v1 = insert(v0, orders.filter("order_id % 11 = 3"))
-    v2 = update(v1, F.col("order_id") % 7 == 2, {"status": F.lit("Cancelled")})
+    orders = lake.orders().select("order_id", "status", "total_amount", "order_timestamp")
+    v0 = until_2000(orders)
+    v1 = insert(v0, from_2001(orders))
+    v2 = update(v1, F.col("status") == "P", {"status": F.lit("Cancelled")})
     v3 = delete(v2, F.col("status") == "Cancelled")
     for i, (rows, name) in enumerate([(v0, "CREATE"), (v1, "INSERT"), (v2, "UPDATE"),
                                       (v3, "DELETE")]):
@@ -444,13 +447,14 @@ def versions(lake):
     return path
 
 
-COUNT = "SELECT count(*) FROM orders WHERE "
+COUNT = "SELECT count(*) FROM v_orders WHERE "
+EARLY = "order_timestamp < TIMESTAMP '2001-01-01'"
 
 
 @query("k20_read_past_version",
        f"SELECT 'v1' AS read, ({COUNT} true) AS row_count UNION ALL SELECT 'half past two',"
-       f" ({COUNT} true) UNION ALL SELECT 'now', ({COUNT} o_orderkey % 7 <> 2) UNION ALL SELECT"
-       f" 'deleted', ({COUNT} o_orderkey % 7 = 2)")
+       f" ({COUNT} true) UNION ALL SELECT 'now', ({COUNT} status <> 'P') UNION ALL SELECT"
+       f" 'deleted', ({COUNT} status = 'P')")
 def k20(lake):
     path = versions(lake)
     v1 = snapshots.as_of(lake.spark, path, version=1)
@@ -465,8 +469,8 @@ def k20(lake):
     return out
 
 
-@query("k21_restore", "SELECT o_orderkey AS order_id, o_orderstatus AS status, o_totalprice AS"
-       " total_amount FROM orders", "total_amount")
+@query("k21_restore", "SELECT order_id, status, total_amount, order_timestamp FROM v_orders",
+       "total_amount")
 def k21(lake):
     path = versions(lake)
     snapshots.restore(lake.spark, path, 1, T0 + timedelta(hours=9))
@@ -479,11 +483,11 @@ def k21(lake):
        " (2::BIGINT, TIMESTAMP '2024-01-01 02:00:00', 'UPDATE'),"
        " (3::BIGINT, TIMESTAMP '2024-01-01 03:00:00', 'DELETE'))"
        " AS t(version, committed_at, operation) JOIN (SELECT 0::BIGINT AS version,"
-       f" ({COUNT} o_orderkey % 11 <> 3) AS row_count, NULL::BIGINT AS rows_added, NULL::BIGINT AS"
+       f" ({COUNT} {EARLY}) AS row_count, NULL::BIGINT AS rows_added, NULL::BIGINT AS"
        f" rows_removed, NULL::BIGINT AS rows_changed UNION ALL SELECT 1, ({COUNT} true), ({COUNT}"
-       f" o_orderkey % 11 = 3), 0, 0 UNION ALL SELECT 2, ({COUNT} true), 0, 0, ({COUNT} o_orderkey"
-       f" % 7 = 2) UNION ALL SELECT 3, ({COUNT} o_orderkey % 7 <> 2), 0, ({COUNT} o_orderkey % 7 ="
-       " 2), 0) USING (version)")
+       f" NOT ({EARLY})), 0, 0 UNION ALL SELECT 2, ({COUNT} true), 0, 0, ({COUNT} status = 'P')"
+       f" UNION ALL SELECT 3, ({COUNT} status <> 'P'), 0, ({COUNT} status = 'P'), 0)"
+       " USING (version)")
 def k22(lake):
     return snapshots.history(lake.spark, versions(lake), ["order_id"])
 

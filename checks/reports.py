@@ -412,11 +412,16 @@ def j28(lake):
 LADDER_SQL = ", ".join(f"('{s}', {q})" for s, q in capacity.CAPACITY.items())
 
 
+def of_minutes(aggregate: str) -> str:
+    return f"(SELECT {aggregate}(query_count) FROM ({MINUTES_SQL}))"
+
+
 @query("j28_need_by_size",
-       "SELECT size AS warehouse_size, qpm AS queries_per_min_capacity, round(lo / qpm, 2) AS"
-       " min_clusters, round(hi / qpm, 2) AS max_clusters, round(mean / qpm, 2) AS avg_clusters"
-       " FROM (SELECT min(query_count) AS lo, max(query_count) AS hi, avg(query_count) AS mean"
-       f" FROM ({MINUTES_SQL})) CROSS JOIN (VALUES {LADDER_SQL}) AS t(size, qpm)",
+       "SELECT size AS warehouse_size, qpm AS queries_per_min_capacity,"
+       f" round({of_minutes('min')} / qpm, 2) AS min_clusters,"
+       f" round({of_minutes('max')} / qpm, 2) AS max_clusters,"
+       f" round({of_minutes('avg')} / qpm, 2) AS avg_clusters"
+       f" FROM (VALUES {LADDER_SQL}) AS t(size, qpm)",
        "min_clusters max_clusters avg_clusters")
 def j28_sizes(lake):
     return capacity.need_by_size(capacity.qpm_stats(lake.query_history(), EVENTS_AS_OF))

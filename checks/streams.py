@@ -30,9 +30,10 @@ def land(df, path, *columns):
 
 
 def halves(lake):
-    """All events as two arrivals."""
+    """All events as two arrivals, the first up to the middle of the month."""
     events = lake.table("events")
-    return events.filter("event_id % 2 = 0"), events.filter("event_id % 2 = 1")
+    early = F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")
+    return events.filter(early), events.filter(~early)
 
 
 def two_batches(lake, mode, *second, **settings):
@@ -60,7 +61,7 @@ def a09(lake):
 
 
 @query("a11_evolve_add",
-       "SELECT event_id, event_type, value, CASE WHEN event_id % 2 = 1 THEN user_id % 5 + 1 END AS"
+       "SELECT event_id, event_type, value, CASE WHEN ts >= TIMESTAMP '2024-01-15' THEN user_id % 5 + 1 END AS"
        " score FROM events", "value")
 def a11(lake):
     rows = two_batches(lake, ingest.ADD, *BASE, named("user_id % 5 + 1", "score"))
@@ -76,14 +77,14 @@ def renamed(lake):
 
 
 @query("a12_rescue",
-       "SELECT event_id, event_type, CASE WHEN event_id % 2 = 0 THEN value END AS value,"
-       " event_id % 2 = 1 AS rescued FROM events", "value")
+       "SELECT event_id, event_type, CASE WHEN ts < TIMESTAMP '2024-01-15' THEN value END AS value,"
+       " ts >= TIMESTAMP '2024-01-15' AS rescued FROM events", "value")
 def a12(lake):
     return renamed(lake).select("event_id", "event_type", "value",
                                 F.col("_rescued_data").isNotNull().alias("rescued"))
 
 
-@query("a13_fail_on_new", "SELECT event_id, event_type, value FROM events WHERE event_id % 2 = 0",
+@query("a13_fail_on_new", "SELECT event_id, event_type, value FROM events WHERE ts < TIMESTAMP '2024-01-15'",
        "value")
 def a13(lake):
     rows = two_batches(lake, ingest.FAIL, *BASE, named("user_id % 5 + 1", "score"))
@@ -96,8 +97,8 @@ def a14(lake):
 
 
 @query("a15_type_drift",
-       "SELECT event_id, CASE WHEN event_id % 2 = 0 THEN value END AS value, CASE WHEN event_id %"
-       " 2 = 1 THEN '{\"value\":\"EUR ' || user_id || '\"}' END AS _rescued_data FROM events",
+       "SELECT event_id, CASE WHEN ts < TIMESTAMP '2024-01-15' THEN value END AS value, CASE WHEN ts >="
+       " TIMESTAMP '2024-01-15' THEN '{\"value\":\"EUR ' || user_id || '\"}' END AS _rescued_data FROM events",
        "value")
 def a15(lake):
     rows = two_batches(lake, ingest.RESCUE_MODE, "event_id", "event_type",
@@ -106,8 +107,8 @@ def a15(lake):
 
 
 @query("a16_unrescue",
-       "SELECT event_id, CASE WHEN event_id % 2 = 1 THEN value END AS rescued_amount, CASE WHEN"
-       " event_id % 2 = 1 THEN 'user' || user_id END AS rescued_origin FROM events",
+       "SELECT event_id, CASE WHEN ts >= TIMESTAMP '2024-01-15' THEN value END AS rescued_amount, CASE WHEN"
+       " ts >= TIMESTAMP '2024-01-15' THEN 'user' || user_id END AS rescued_origin FROM events",
        "rescued_amount")
 def a16(lake):
     rows = unrescue(renamed(lake), {"amount": "double", "origin": "string"})

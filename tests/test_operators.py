@@ -88,6 +88,26 @@ def test_left_lookup_spreads_null_keys(spark):
     assert parts == 8
 
 
+def test_plain_join_with_a_hot_key_is_split_by_adaptive_execution(spark):
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+                "spark.sql.adaptive.coalescePartitions.enabled": "false",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        fact = spark.range(0, 200_000, 1, 8).selectExpr(
+            "CASE WHEN id % 2 = 0 THEN 7 ELSE id % 5000 END AS k", "id AS v", "uuid() AS text")
+        dim = spark.range(5000).selectExpr("id AS k", "id AS t", "id AS w")
+        joined = with_latest(fact, dim, ["k"], ["t"], ["w"], "left")
+        assert len(joined.collect()) == 200_000
+        assert "skew=true" in plan_of(joined)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_lookup_join_broadcasts_only_what_fits(spark):
     fact = spark.range(100).withColumnRenamed("id", "k")
     small = spark.range(10).selectExpr("id AS k", "id AS w")
