@@ -607,7 +607,7 @@ def h01(lake):
     return lake.query_history().select(
         "event_id", F.concat(F.lit("W"), F.coalesce("client_application", F.lit("?")))
         .alias("joined"), F.substring(text, 1, 12).alias("head"),
-        F.instr(text, "gold").alias("place"),
+        F.instr(text, "gold").cast("bigint").alias("place"),
         F.regexp_extract("error_message", r"\[(.*?)\]", 1).alias("error_class"),
         # DuckDB replaces the first match unless told otherwise.
         F.regexp_replace(text, r"^([^0-9]*)[0-9]+", "$1#").alias("masked"),
