@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakewarden.llm import bytepiece, dartminhash, langid, mixing, spans
+from lakewarden.llm import bytepiece, compression, dartminhash, langid, mixing, spans, warc
+from lakewarden.session import fresh_dir
 from lakewarden.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 
@@ -44,3 +45,27 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bytepiece.encoded(table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
+
+
+@query("op8_compression_bands")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return compression.judged(table(spark, folder, "documents"))
+
+
+OP10_SQL = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n,
+                  sha256(coalesce(html, '')) AS d FROM pages),
+f AS (SELECT d, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY d)
+SELECT page_id, n AS payload_bytes, p.d AS payload_digest,
+       CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first < page_id THEN first END AS refers_to
+FROM p LEFT JOIN f ON p.d = f.d AND p.n >= 100
+"""
+
+
+@query("op10_warc_transactions", OP10_SQL)
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    archives = fresh_dir(spark, "warc")
+    warc.write(table(spark, folder, "pages"), archives)
+    return warc.resolved_bytes(warc.assemble(warc.read(spark, archives))).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
