@@ -5,8 +5,7 @@ negative rank as the score, the normaliser is the identity. Merging the best-sco
 then merging the pair of lowest rank, as the rank file asks. A match of the split pattern that is
 itself a token becomes that token.
 
-Texts are cut before spaces that stand before a visible character; the split pattern always begins a
-match there, so the pieces can be encoded one by one and repeated ones looked up in a table of
+Texts are cut where the pattern always begins a match, and repeated pieces are looked up in a table of
 bounded size. Decoding maps every id back to its bytes.
 
 A null text counts as empty: no ids, and the hashes of nothing. Rows that repeat are encoded each.
@@ -16,7 +15,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
 import struct
 from array import array
 from collections.abc import Iterator
@@ -24,10 +22,9 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-CACHE = 200_000
-#: A cut is made only before these characters, which no version of Unicode calls white space.
-CUT = re.compile(" (?=[!-~¡-ᙿ])")
-OTHER = re.compile(" (?![!-~¡-ᙿ])")
+from lakewarden.llm.pieces import PieceTable, parts_of
+
+CACHE = 100_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -88,7 +85,7 @@ class Codec:
         self.bytes = [t for t, _ in sorted(self.ranks.items(), key=lambda kv: kv[1])]
         self.pattern = regex.compile(pattern)
         self.pieces = sentencepiece.SentencePieceProcessor(model_proto=model(self.ranks))
-        self.cache: dict[str, tuple] = {}
+        self.table = PieceTable(self._learn, CACHE)
 
     def _merge(self, pretokens: list[str]) -> list[list[int]]:
         raws = [p.encode() for p in pretokens]
@@ -100,48 +97,21 @@ class Codec:
                 out[i] = [n - 1 for n in ids]
         return out
 
-    def _learn(self, parts: set[str]) -> None:
-        """Encode pieces not yet in the table, all their pre-tokens in one call."""
-        if len(self.cache) + len(parts) > CACHE:
-            self.cache.clear()
-        split = [(p, self.pattern.findall(p)) for p in parts]
-        names = list(dict.fromkeys(t for _, tokens in split for t in tokens))
+    def _learn(self, parts: list[str]) -> list[tuple]:
+        """Number of ids, ids as text, decoded bytes and ids as bytes of each piece."""
+        split = [self.pattern.findall(p) for p in parts]
+        names = list(dict.fromkeys(t for tokens in split for t in tokens))
         ids = dict(zip(names, self._merge(names)))
-        for p, tokens in split:
+        out = []
+        for tokens in split:
             flat = [n for t in tokens for n in ids[t]]
-            self.cache[p] = (len(flat), ",".join(map(str, flat)),
-                             b"".join([self.bytes[n] for n in flat]), array("i", flat).tobytes())
+            out.append((len(flat), ",".join(map(str, flat)),
+                        b"".join([self.bytes[n] for n in flat]), array("i", flat).tobytes()))
+        return out
 
     def encode(self, text: str) -> list[tuple]:
         """For each piece of the text: number of ids, ids as text, decoded bytes, ids as bytes."""
-        if OTHER.search(text):
-            head, *tail = CUT.split(text)
-        else:
-            head, *tail = text.split(" ")
-        # A piece other than the first begins with the space it was cut at.
-        parts = [head, *[" " + p for p in tail]] if head else [" " + p for p in tail]
-        found = list(map(self.cache.get, parts))
-        if None in found:
-            missing = {p for p, f in zip(parts, found) if f is None}
-            if len(missing) > CACHE // 2:  # a very long text: by itself, in bounded portions
-                half = len(parts) // 2
-                return self._portion(parts[:half]) + self._portion(parts[half:])
-            return self._portion(parts)
-        return found
-
-    def _portion(self, parts: list[str]) -> list[tuple]:
-        out = []
-        for i in range(0, len(parts), CACHE // 2):
-            some = parts[i:i + CACHE // 2]
-            found = list(map(self.cache.get, some))
-            if None in found:
-                self._learn({p for p, f in zip(some, found) if f is None})
-                found = list(map(self.cache.get, some))
-                if None in found:  # the table was emptied for the new ones
-                    self._learn(set(some))
-                    found = list(map(self.cache.get, some))
-            out += found
-        return out
+        return self.table.lookup(parts_of(text))
 
 
 _codecs: dict[tuple[str, str], Codec] = {}

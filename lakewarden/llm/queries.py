@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakewarden.llm import bytepiece, compression, dartminhash, langid, mixing, spans, warc
+from lakewarden.llm import (
+    bytepiece, compression, dartminhash, imatch, langid, mixing, repair, spans, warc)
 from lakewarden.session import fresh_dir
 from lakewarden.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
@@ -69,3 +70,15 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     warc.write(table(spark, folder, "pages"), archives)
     return warc.resolved_bytes(warc.assemble(warc.read(spark, archives))).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op9_imatch_subsets")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return imatch.fingerprints(table(spark, folder, "documents"))
+
+
+@query("op5_repair_shards")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    shards = fresh_dir(spark, "repair")
+    repair.write(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), shards)
+    return repair.read(spark, shards)
