@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakewarden.llm import (
-    bytepiece, compression, dartminhash, imatch, langid, mixing, repair, spans, warc)
+    bytepiece, compression, dartminhash, imatch, langid, mixing, quality, repair,
+    spans, warc)
 from lakewarden.session import fresh_dir
 from lakewarden.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
@@ -82,3 +83,11 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     shards = fresh_dir(spark, "repair")
     repair.write(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), shards)
     return repair.read(spark, shards)
+
+
+@query("op3_quality_network")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    apart = langid.held_out("doc_id", 4, 2)
+    labels = table(spark, folder, "labels").filter(~apart).select("doc_id", "quality")
+    return quality.scored(table(spark, folder, "documents"), labels).select(
+        "doc_id", apart.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
