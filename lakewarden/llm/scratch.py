@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 
 from lakewarden.session import fresh_dir
@@ -28,3 +30,9 @@ class Scratch:
             if t is not None and (path := getattr(t, "_scratch", None)):
                 place = jvm.org.apache.hadoop.fs.Path(path)
                 place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
+
+    def release(self) -> None:
+        """Let the driver notice shuffles of finished steps, whose files are removed only when its
+        garbage is collected."""
+        gc.collect()
+        self.spark._jvm.System.gc()
