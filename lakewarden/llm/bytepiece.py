@@ -132,11 +132,10 @@ def encoded(docs: DataFrame, path: str, pattern: str, with_ids: bool = False) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
         for batch in batches:
-            for low in range(0, batch.num_rows, 256):
-                part = batch.slice(low, 256)
+            for low in range(0, batch.num_rows, 64):
+                part = batch.slice(low, 64)
                 rows, lists = [], []
-                for text in part.column(1).to_pylist():
-                    found = own.encode(text) if text else []
+                for found in own.table.lookup_texts(part.column(1).to_pylist()):
                     raw = b"".join([f[2] for f in found])
                     rows.append((sum([f[0] for f in found]),
                                  hashlib.sha256(",".join([f[1] for f in found]).encode()).hexdigest(),

@@ -43,10 +43,10 @@ from lakewarden.llm.scratch import Scratch
 SHINGLE = 5
 K = 128
 ROWS, BANDS = 8, 48
-NEIGHBOURS = 8
+NEIGHBOURS = 3
 PIECE = 4096          # members of a bucket that are put in order together
 SPLIT_ROWS, SPLIT_WAYS = 4, 2
-LEVELS = 8
+LEVELS = 6
 SLACK = 0.17          # a link is checked when the signatures agree in this much less than asked
 
 _U = np.uint64
@@ -128,7 +128,7 @@ def _matrix(column: pa.Array, kind: type = np.uint16) -> np.ndarray:
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for low, flat in slices(batch.column(1)):
+        for low, flat in slices(batch.column(1), rows=512):
             element, owner, key, _ = elements(flat)
             sig = signatures(element, owner, flat.docs)
             begin = np.searchsorted(owner, np.arange(flat.docs + 1)).astype(np.int32)

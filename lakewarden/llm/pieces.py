@@ -37,24 +37,29 @@ class PieceTable:
             some = parts[low:low + self.limit]
             found = list(map(self.young.get, some))
             if None in found:
-                self._fill([p for p, f in zip(some, found) if f is None])
-                found = list(map(self.young.get, some))
-                if None in found:  # a new generation began in between
-                    self._fill([p for p, f in zip(some, found) if f is None])
-                    found = list(map(self.young.get, some))
+                missing = [i for i, f in enumerate(found) if f is None]
+                values = self._fill([some[i] for i in missing])
+                for i in missing:
+                    found[i] = values[some[i]]
             out += found
         return out
 
-    def _fill(self, parts: list[str]) -> None:
-        wanted = dict.fromkeys(parts)
-        if len(self.young) + len(wanted) > 2 * self.limit:
+    def lookup_texts(self, texts: list[str]) -> list[list]:
+        """Values of the pieces of every text; new pieces of all the texts are learned together."""
+        parts = [parts_of(t) if t else [] for t in texts]
+        found, out, low = self.lookup([p for some in parts for p in some]), [], 0
+        for some in parts:
+            out.append(found[low:low + len(some)])
+            low += len(some)
+        return out
+
+    def _fill(self, parts: list[str]) -> dict[str, object]:
+        values = dict.fromkeys(parts)
+        for p in values:
+            values[p] = self.old.get(p)
+        new = [p for p, v in values.items() if v is None]
+        values.update(zip(new, self.learn(new)))
+        if len(self.young) + len(values) > 2 * self.limit:
             self.old, self.young = self.young, {}
-        new = []
-        for p in wanted:
-            value = self.old.get(p)
-            if value is None:
-                new.append(p)
-            else:
-                self.young[p] = value
-        if new:
-            self.young.update(zip(new, self.learn(new)))
+        self.young.update(values)
+        return values
