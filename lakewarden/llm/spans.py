@@ -89,9 +89,7 @@ def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             doc = runs.doc[runs.low[at]]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(runs.hash[at].view(np.int64)),
-                 batch.column(0).take(pa.array(doc + low)),
-                 pa.array((runs.low[at] - runs.begin[doc]).astype(np.int32))],
-                ["run", "doc", "at"])
+                 batch.column(0).take(pa.array(doc + low))], ["run", "doc"])
 
 
 REPORT = ("sentences int, removed_sentences int, removed_words int, "
@@ -109,10 +107,11 @@ def _cleaner(text_at: int, hits_at: int, names: list[str]):
     def _clean(part: pa.RecordBatch, flat: Flat, hits: pa.Array) -> pa.RecordBatch:
         runs = Runs(flat)
         repeated = ~runs.first_in_text()
-        number = {int(s): i for i, s in enumerate(runs.low)} if hits.null_count < len(hits) else {}
-        for doc, found in enumerate(hits.to_pylist()):
-            for at in found or ():
-                repeated[number[int(runs.begin[doc]) + at]] = True
+        of_doc = np.searchsorted(runs.low, runs.begin)
+        for doc in np.flatnonzero(hits.is_valid().to_numpy(False)):
+            found = np.array(hits[int(doc)].as_py(), np.int64).view(_U)
+            own = slice(of_doc[doc], of_doc[doc + 1])
+            repeated[own] |= np.isin(runs.hash[own], found)
         change = np.zeros(len(runs.first_word) + 1, np.int64)
         np.add.at(change, runs.low[repeated], 1)
         np.add.at(change, runs.high[repeated], -1)
@@ -149,12 +148,12 @@ def without_repeated_spans(docs: DataFrame) -> DataFrame:
     scratch = Scratch(spark, "spans")
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
     places = scratch.save(
-        docs.select(key.alias("doc"), "text").mapInArrow(_places, "run long, doc long, at int"),
+        docs.select(key.alias("doc"), "text").mapInArrow(_places, "run long, doc long"),
         "places")
     first = places.groupBy("run").agg(F.min("doc").alias("low"), F.max("doc").alias("high")) \
         .filter("low < high").select("run", "low")
     hits = places.join(first, "run").filter("doc > low") \
-        .groupBy("doc").agg(F.collect_list("at").alias("_hits")) \
+        .groupBy("doc").agg(F.collect_list("run").alias("_hits")) \
         .withColumnRenamed("doc", "_doc")
     joined = docs.withColumn("_text", F.col("text").cast("string")).join(hits, key == F.col("_doc"), "left")
     report = T._parse_datatype_string(REPORT)

@@ -56,13 +56,19 @@ def write(pages: DataFrame, folder: str) -> None:
         F.coalesce("html", F.lit("")).alias("payload"),
     ).withColumn("number", F.monotonically_increasing_id()) \
         .withColumn("digest", F.sha2(F.col("payload").cast("binary"), 256))
-    shared = (F.octet_length("payload") >= MIN_BYTES) & F.col("page_id").isNotNull()
-    first = full.filter(shared).groupBy("digest").agg(
+    # What each page repeats is found without the payloads, which then move once, into their files.
+    slim = full.filter((F.octet_length("payload") >= MIN_BYTES) & F.col("page_id").isNotNull()) \
+        .select("number", "page_id", "digest")
+    first = slim.groupBy("digest").agg(
         F.min("page_id").alias("first_page"), F.min_by("number", "page_id").alias("first_number"),
         F.max("page_id").alias("last_page"),
     ).filter("first_page < last_page").select("digest", "first_page", "first_number")
-    joined = full.join(first, "digest", "left")
-    again = shared & (F.col("first_page") < F.col("page_id"))
+    repeats = slim.join(first, "digest").filter("first_page < page_id") \
+        .select("number", "first_page", "first_number")
+    size = pages.select(F.sum(F.octet_length("html")).alias("n")).first()["n"] or 0
+    files = max(1, math.ceil(size / FILE_BYTES))
+    joined = full.repartition(files, "number").join(repeats.repartition(files, "number"), "number", "left")
+    again = F.col("first_page").isNotNull()
 
     def urn(kind: str, page: str = "page_id", number: str = "number") -> Column:
         page_text = F.coalesce(F.col(page).cast("string"), F.lit("none"))
@@ -85,9 +91,7 @@ def write(pages: DataFrame, folder: str) -> None:
         ("WARC-Type", F.lit("metadata")), ("WARC-Record-ID", urn("metadata")), *where,
         ("WARC-Concurrent-To", urn("page")), ("Content-Type", F.lit("application/warc-fields")),
     ], F.concat(F.lit("payload-bytes: "), F.octet_length("payload").cast("string"), F.lit(END)))
-    size = pages.select(F.sum(F.octet_length("html")).alias("n")).first()["n"] or 0
-    joined.repartition(max(1, math.ceil(size / FILE_BYTES)), "number") \
-        .select(F.explode(F.array(request, main, metadata)).alias("value")) \
+    joined.select(F.explode(F.array(request, main, metadata)).alias("value")) \
         .write.option("lineSep", END + END).option("compression", "gzip").text(folder)
 
 
@@ -150,12 +154,12 @@ def records(packed: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 
 
 RECORD = ("record_type string, record_id string, concurrent_to string, refers_to string, url string, "
-          "digest string, payload binary")
+          "digest string, n_bytes long, payload binary")
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [x.split()[0] for x in RECORD.split(", ")]
-    kinds = [pa.string()] * 6 + [pa.binary()]
+    kinds = [pa.string()] * 6 + [pa.int64(), pa.binary()]
     rows, size = [], 0
 
     def out() -> pa.RecordBatch:
@@ -174,6 +178,7 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     raise ValueError(f"damaged payload of {head['warc-record-id']}")
                 rows.append((kind, head["warc-record-id"], head.get("warc-concurrent-to"),
                              head.get("warc-refers-to"), head.get("warc-target-uri"), digest or None,
+                             None if kind == "revisit" else len(payload),
                              None if kind == "revisit" else payload))
                 size += len(payload) + 200
                 if size > BATCH_BYTES:
@@ -185,7 +190,7 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
     """All records of the archives below ``folder``, columns as in RECORD. The payload of a response
-    is what follows its HTTP headers and is checked against its digest; a revisit has none."""
+    (n_bytes long) is what follows its HTTP headers and is checked against its digest; a revisit has none."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(folder)
     return files.select("content").mapInArrow(_parse, RECORD)
 
@@ -208,15 +213,14 @@ def assemble(found: DataFrame) -> DataFrame:
 
     return main.join(part("request"), "record_id", "left").join(part("metadata"), "record_id", "left") \
         .select(_page("record_id").alias("page_id"), "record_id", "record_type", "url",
-                F.col("digest").alias("payload_digest"), "payload",
+                F.col("digest").alias("payload_digest"), "payload", "n_bytes",
                 F.col("refers_to").alias("response_id"), _page("refers_to").alias("refers_to"),
                 "request", "metadata")
 
 
 def resolved_bytes(captures: DataFrame) -> DataFrame:
     """Captures with ``payload_bytes``, that of a revisit from the response it refers to."""
-    own = captures.withColumn("own", F.octet_length("payload").cast("long"))
     given = captures.filter(F.col("record_type") == "response").select(
-        F.col("record_id").alias("response_id"), F.octet_length("payload").cast("long").alias("given"))
-    return own.join(given, "response_id", "left").withColumn("payload_bytes", F.coalesce("own", "given")) \
-        .drop("own", "given")
+        F.col("record_id").alias("response_id"), F.col("n_bytes").alias("given"))
+    return captures.join(given, "response_id", "left") \
+        .withColumn("payload_bytes", F.coalesce("n_bytes", "given")).drop("n_bytes", "given")
