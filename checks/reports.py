@@ -326,7 +326,7 @@ def j19(lake):
        " error_message FROM v_audit WHERE event_date >= DATE '2024-01-24' AND status_code <> 200"
        " ORDER BY event_time DESC, email LIMIT 25")
 def j20(lake):
-    return access.denied_access(lake.audit(), EVENTS_AS_OF)
+    return access.denied_access(lake.audit(), EVENTS_AS_OF, n=25)
 
 
 @query("j20_denied_by_catalog",
@@ -342,7 +342,7 @@ def j20_catalog(lake):
        " TIMESTAMP '2024-01-01' AND delete_time IS NULL ORDER BY change_time DESC, cluster_id"
        " LIMIT 20")
 def j23(lake):
-    return access.cluster_inventory(lake.clusters(), EVENTS_AS_OF)
+    return access.cluster_inventory(lake.clusters(), EVENTS_AS_OF, n=20)
 
 
 @query("j23_tag_check",
@@ -373,7 +373,7 @@ def j24(lake):
        " avg_units_per_day FROM v_usage WHERE usage_date >= DATE '2001-10-05' GROUP BY sku_name"
        " ORDER BY total_units DESC, sku_name LIMIT 10", "total_units avg_units_per_day")
 def j25(lake):
-    return cost.usage_mix(lake.usage(), SHIP_END)
+    return cost.usage_mix(lake.usage(), SHIP_END, n=10)
 
 
 @query("j26_top_jobs",
@@ -396,7 +396,7 @@ MINUTES_SQL = ("SELECT date_trunc('minute', start_time)::TIMESTAMP AS start_time
 @query("j27_queries_per_minute",
        f"{MINUTES_SQL} ORDER BY start_time_minute DESC LIMIT 100")
 def j27(lake):
-    return capacity.qpm(lake.query_history(), EVENTS_AS_OF)
+    return capacity.qpm(lake.query_history(), EVENTS_AS_OF, n=100)
 
 
 @query("j28_cluster_need",
@@ -474,7 +474,7 @@ def d14(lake):
        " ts + to_seconds(CAST(round(value) AS INTEGER)) AS end_time FROM v_timed WHERE user_id % 2"
        " = 1 ORDER BY start_time DESC, table_name LIMIT 20")
 def j30(lake):
-    return access.maintenance_log(lake.maintenance_ops(), "c1")
+    return access.maintenance_log(lake.maintenance_ops(), "c1", n=20)
 
 
 # -- triage -------------------------------------------------------------------------------------
@@ -549,7 +549,7 @@ def j31_wow(lake):
        "SELECT \"timestamp\", event_type, level, message, pipeline_name, flow_name FROM v_log"
        " ORDER BY \"timestamp\" DESC, message LIMIT 50")
 def j32(lake):
-    return flow_events.event_overview(lake.event_log())
+    return flow_events.event_overview(lake.event_log(), n=50)
 
 
 @query("j32_event_counts",
@@ -589,7 +589,7 @@ ERRORS_SQL = ("SELECT \"timestamp\", level, flow_name AS table_name, message, CA
        f"{ERRORS_SQL} WHERE level IN ('ERROR', 'WARN') ORDER BY \"timestamp\" DESC, message"
        " LIMIT 20")
 def j34(lake):
-    return flow_events.flow_errors(lake.event_log())
+    return flow_events.flow_errors(lake.event_log(), n=20)
 
 
 @query("j34_errors_of_latest_run",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -58,9 +58,13 @@ def delete(df: DataFrame, where: Column) -> DataFrame:
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Update matched keys, insert the rest. Source keys must be unique, as for a merge."""
+    """Update matched keys, insert the rest. A source key that occurs twice is an error, as in a merge;
+    it is counted on the partitioning that the join needs anyway."""
     rest = [c for c in target.columns if c not in keys]
-    right = source.select(*keys, F.struct(*rest).alias("_src"))
+    once = F.count("*").over(Window.partitionBy(*keys)) == 1
+    repeated = F.raise_error(F.lit("several source rows have the same key"))
+    right = source.withColumn("_once", once).select(
+        *keys, F.when(F.col("_once"), F.struct(*rest)).otherwise(repeated).alias("_src"))
     left = target.select(*keys, F.struct(*rest).alias("_tgt"))
     row = F.coalesce("_src", "_tgt")
     return left.join(right, list(keys), "full").select(

@@ -83,7 +83,7 @@ def warehouse_scd(changes: DataFrame) -> DataFrame:
 
 
 def denied_access(audit: DataFrame, as_of: datetime, days: int = 7,
-                  n: int | None = 25) -> DataFrame:
+                  n: int | None = None) -> DataFrame:
     edge = F.lit(ago(as_of, days, "days").date())
     status = F.expr("try_cast(response['status_code'] AS INT)")
     report = audit.filter((F.col("event_date") >= edge) & (status != 200)).select(
@@ -100,7 +100,7 @@ def denied_by_catalog(audit: DataFrame, as_of: datetime, days: int = 3) -> DataF
 
 
 def cluster_inventory(clusters: DataFrame, as_of: datetime, days: int = 30,
-                      n: int | None = 20) -> DataFrame:
+                      n: int | None = None) -> DataFrame:
     report = since(clusters, "change_time", as_of, days).filter("delete_time IS NULL").select(
         "cluster_id", "cluster_name", "owned_by", "cluster_source", "runtime_version",
         "worker_node_type", "driver_node_type", "change_time")
@@ -132,7 +132,7 @@ def cost_risk(clusters: DataFrame, warehouses: DataFrame, as_of: datetime,
     return c.unionByName(w).orderBy(F.desc("cost_risk"), "type")
 
 
-def maintenance_log(ops: DataFrame, catalog: str, n: int | None = 20) -> DataFrame:
+def maintenance_log(ops: DataFrame, catalog: str, n: int | None = None) -> DataFrame:
     report = ops.filter(F.col("catalog_name") == catalog).select(
         "table_name", "operation_type", "operation_status", "files_rewritten", "start_time",
         "end_time")

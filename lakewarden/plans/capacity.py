@@ -22,7 +22,7 @@ def _per_minute(history: DataFrame, as_of: datetime, days: int) -> DataFrame:
         trunc(history, "minute", "start_time").alias("start_time_minute")).agg(F.count("*").alias("query_count"))
 
 
-def qpm(history: DataFrame, as_of: datetime, days: int = 30, n: int | None = 100) -> DataFrame:
+def qpm(history: DataFrame, as_of: datetime, days: int = 30, n: int | None = None) -> DataFrame:
     """Query starts per minute, newest first; minutes without a query do not appear."""
     return first_rows(_per_minute(history, as_of, days), [F.desc("start_time_minute")], n)
 

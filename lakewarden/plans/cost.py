@@ -24,7 +24,7 @@ def price_at(usage: DataFrame, prices: DataFrame, currency: str = "USD", closed:
 
 
 def cost_per_run(usage: DataFrame, prices: DataFrame, runs: DataFrame, product: str = "JOBS",
-                 currency: str = "USD", closed: str = "left", n: int | None = 100) -> DataFrame:
+                 currency: str = "USD", closed: str = "left", n: int | None = None) -> DataFrame:
     """Cost per job run and SKU with start, end and final state of the run.
 
     Usage is summed per run, SKU, user and start time before it meets the prices, which keeps the
@@ -59,7 +59,7 @@ def cost_per_run(usage: DataFrame, prices: DataFrame, runs: DataFrame, product:
     return first_rows(report, order, n)
 
 
-def usage_mix(usage: DataFrame, as_of: datetime, days: int = 30, n: int | None = 10) -> DataFrame:
+def usage_mix(usage: DataFrame, as_of: datetime, days: int = 30, n: int | None = None) -> DataFrame:
     """Days used, total and mean units per active day for each SKU."""
     total, active = F.sum("usage_quantity"), F.countDistinct("usage_date")
     report = _since_day(usage, as_of, days).groupBy("sku_name").agg(
@@ -72,11 +72,12 @@ def top_jobs(usage: DataFrame, jobs: DataFrame, as_of: datetime, days: int = 30,
              n: int | None = 10) -> DataFrame:
     """Jobs with most units; units are summed per job before the names are joined."""
     units = _since_day(usage, as_of, days).filter("usage_metadata.job_id IS NOT NULL").groupBy(
-        F.col("usage_metadata.job_id").alias("job_id")).agg(
+        "workspace_id", F.col("usage_metadata.job_id").alias("job_id")).agg(
         F.sum("usage_quantity").alias("total_units"))
-    names = latest(jobs.select("job_id", "name", "change_time", "version_id"), ["job_id"],
-                   ["change_time", "version_id"]).select("job_id", F.col("name").alias("job_name"))
-    report = units.join(names, "job_id", "left").select("job_id", "job_name", "total_units")
+    names = latest(jobs.select("workspace_id", "job_id", "name", "change_time", "version_id"),
+                   ["workspace_id", "job_id"], ["change_time", "version_id"]).select(
+        "workspace_id", "job_id", F.col("name").alias("job_name"))
+    report = units.join(names, ["workspace_id", "job_id"], "left").select("job_id", "job_name", "total_units")
     return first_rows(report, [F.desc("total_units"), F.col("job_id")], n)
 
 

@@ -23,7 +23,7 @@ def _parsed(events: DataFrame, *kinds: str) -> DataFrame:
     return rows.withColumn("d", F.from_json("details", DETAILS))
 
 
-def event_overview(events: DataFrame, n: int | None = 50) -> DataFrame:
+def event_overview(events: DataFrame, n: int | None = None) -> DataFrame:
     report = events.select("timestamp", "event_type", "level", "message",
                            F.col("origin.pipeline_name").alias("pipeline_name"),
                            F.col("origin.flow_name").alias("flow_name"))
@@ -36,7 +36,7 @@ def event_counts(events: DataFrame) -> DataFrame:
         F.max("timestamp").alias("last_event")).orderBy(F.desc("event_count"))
 
 
-def flow_rows(events: DataFrame, n: int | None = 30) -> DataFrame:
+def flow_rows(events: DataFrame, n: int | None = None) -> DataFrame:
     """Rows written, upserted and deleted per progress event."""
     metrics = "d.flow_progress.metrics"
     report = _parsed(events, "flow_progress").select(
@@ -55,7 +55,7 @@ def rows_per_run(events: DataFrame) -> DataFrame:
           .alias("rows_written"))
 
 
-def flow_errors(events: DataFrame, n: int | None = 20) -> DataFrame:
+def flow_errors(events: DataFrame, n: int | None = None) -> DataFrame:
     report = _parsed(events.filter(F.col("level").isin("ERROR", "WARN"))).select(
         "timestamp", "level", F.col("origin.flow_name").alias("table_name"), "message",
         F.col("d.error.message").alias("error_detail"),
@@ -71,7 +71,7 @@ def errors_of_latest_run(events: DataFrame) -> DataFrame:
         (F.col("level") == "ERROR") & (F.col("origin.update_id") == newest)), n=None)
 
 
-def update_lifecycle(events: DataFrame, n: int | None = 20) -> DataFrame:
+def update_lifecycle(events: DataFrame, n: int | None = None) -> DataFrame:
     report = _parsed(events, "update_progress", "create_update").select(
         "timestamp", "event_type", "message",
         F.col("d.update_progress.state").alias("update_state"),

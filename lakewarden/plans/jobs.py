@@ -17,12 +17,12 @@ KEYS = ["workspace_id", "job_id"]
 def stale_jobs(jobs: DataFrame, runs: DataFrame, as_of: datetime, days: int = 30) -> DataFrame:
     """Jobs that ran at some time but not in the last ``days``.
 
-    Runs are matched on job id alone. The last run per job decides both conditions, so one
-    aggregate replaces the join to the recent runs.
+    Job ids repeat over workspaces, so runs are matched on both. The last run per job decides both
+    conditions, so one aggregate replaces the join to the recent runs.
     """
-    last = runs.groupBy("job_id").agg(F.max("period_start_time").alias("last_run"))
+    last = runs.groupBy(*KEYS).agg(F.max("period_start_time").alias("last_run"))
     silent = last.filter(F.col("last_run") < at(runs, "period_start_time", ago(as_of, days, "days")))
-    return latest(jobs, KEYS, VERSION).join(silent, "job_id").select(
+    return latest(jobs, KEYS, VERSION).join(silent, KEYS).select(
         "job_id", "name", "creator_id", "create_time", "last_run").orderBy(F.desc("last_run"))
 
 
@@ -47,17 +47,17 @@ def runs_by_outcome(runs: DataFrame, as_of: datetime, days: int = 7) -> DataFram
 
 
 def _names(jobs: DataFrame) -> DataFrame:
-    """Current name per workspace and job, with the workspace under its own name."""
-    return latest(jobs.select(*KEYS, "name", *VERSION), KEYS, VERSION).select("job_id", "name")
+    """Current name per workspace and job."""
+    return latest(jobs.select(*KEYS, "name", *VERSION), KEYS, VERSION).select(*KEYS, "name")
 
 
 def run_counts(runs: DataFrame, jobs: DataFrame, prefix: str, as_of: datetime, days: int = 60,
                n: int | None = 20) -> DataFrame:
     """Runs per job name; runs are counted per job before they meet the names."""
-    counts = since(runs, "period_start_time", as_of, days, strict=True).groupBy("job_id").agg(
+    counts = since(runs, "period_start_time", as_of, days, strict=True).groupBy(*KEYS).agg(
         F.count("*").alias("n"))
     names = _names(jobs).filter(F.col("name").startswith(prefix))
-    report = counts.join(names, "job_id").groupBy(F.col("name").alias("job_name")).agg(
+    report = counts.join(names, KEYS).groupBy(F.col("name").alias("job_name")).agg(
         F.sum("n").alias("run_count"))
     return first_rows(report, [F.desc("run_count"), F.col("job_name")], n)
 
@@ -66,7 +66,7 @@ def run_history(runs: DataFrame, jobs: DataFrame, name: str, as_of: datetime,
                 days: int = 60) -> DataFrame:
     """Run time of every run of one job as an interval sum."""
     names = _names(jobs).filter(F.col("name") == name)
-    rows = since(runs, "period_start_time", as_of, days, strict=True).join(names, "job_id")
+    rows = since(runs, "period_start_time", as_of, days, strict=True).join(names, KEYS)
     return rows.groupBy(
         "workspace_id", F.col("name").alias("job_name"), "run_id", "result_state",
         F.col("period_start_time").alias("started_at"),

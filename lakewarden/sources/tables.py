@@ -15,6 +15,11 @@ class PathMissing(Exception):
     """The folder to read does not exist."""
 
 
+#: File age limit of streams: none. The file source would skip files more than a week older than the
+#: newest one it has seen, for ever and without an error.
+ANY_AGE = "100000d"
+
+
 def opened(path: str, load: Callable[[str], DataFrame]) -> DataFrame:
     """``load(path)``, with an error that names the path when nothing is there."""
     try:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lakewarden.sources.jsonlines import RESCUE, infer_schema, new_fields, parse
-from lakewarden.sources.tables import opened
+from lakewarden.sources.tables import ANY_AGE, opened
 
 ADD, RESCUE_MODE, FAIL, NONE = "add", "rescue", "fail", "none"
 
@@ -87,7 +87,7 @@ class Ingest:
     def _lines(self, spark: SparkSession) -> DataFrame:
         reader = spark.readStream.format("text").option("cleanSource", self.clean)
         limits = {"maxFilesPerTrigger": self.max_files, "maxBytesPerTrigger": self.max_bytes,
-                  "maxFileAge": self.max_age, "sourceArchiveDir": self.archive}
+                  "maxFileAge": self.max_age or ANY_AGE, "sourceArchiveDir": self.archive}
         if self.max_bytes is not None:  # the source accepts one of the two limits
             limits["maxFilesPerTrigger"] = None
         for name, value in limits.items():

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakewarden.sources.files import LOG_CLASSES, classify_logs
-from lakewarden.sources.tables import opened
+from lakewarden.sources.tables import ANY_AGE, opened
 
 CLASSES = [*LOG_CLASSES.values(), "other"]
 
@@ -16,7 +16,7 @@ def centralise_logs(spark: SparkSession, path: str, out: str, checkpoint: str) -
 
     One partitioned write per batch splits the classes, so the raw files are read once.
     """
-    reader = spark.readStream.option("recursiveFileLookup", True)
+    reader = spark.readStream.option("recursiveFileLookup", True).option("maxFileAge", ANY_AGE)
     lines = opened(path, reader.text).select(
         F.col("_metadata.file_path").alias("log_file"), F.col("value").alias("log_line"))
     query = (

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakewarden.operators.quality import DROP, Rule, apply_drops, expect_stream
-from lakewarden.sources.tables import opened
+from lakewarden.sources.tables import ANY_AGE, opened
 from lakewarden.streaming.ledger import rule_progress
 
 # Hinted types of an inventory event.
@@ -16,9 +16,12 @@ HINTS = ("event_id string, product_id string, warehouse string, event_type strin
          " quantity_change int, event_timestamp timestamp_ntz")
 
 
-def bronze_ingest(spark: SparkSession, path: str, hints: str = HINTS) -> DataFrame:
-    """Stream of a JSON folder with ingest time and source file."""
-    stream = opened(path, spark.readStream.schema(hints).json)
+def bronze_ingest(spark: SparkSession, path: str, hints: str = HINTS,
+                  files_per_batch: int = 1000) -> DataFrame:
+    """Stream of a JSON folder with ingest time and source file; files of any age are read."""
+    reader = spark.readStream.schema(hints).option("maxFileAge", ANY_AGE) \
+        .option("maxFilesPerTrigger", files_per_batch)
+    stream = opened(path, reader.json)
     return stream.select("*", F.current_timestamp().alias("_ingested_at"),
                          F.col("_metadata.file_path").alias("_source_file"))
 
@@ -63,9 +66,10 @@ def dedup_stream(stream: DataFrame, key: str, ts: str, delay: str = "1 hour",
 
 
 def dedup_batch(rows: DataFrame, key: str, ts: str) -> DataFrame:
-    """Newest row per key, combined on the map side."""
+    """Newest row per key, combined on the map side. Of rows with the same time the choice falls on a
+    hash of the row, so a repeated batch keeps the same one."""
     rest = [c for c in rows.columns if c != key]
-    newest = F.max_by(F.struct(*rest), F.col(ts)).alias("r")
+    newest = F.max_by(F.struct(*rest), F.struct(ts, F.xxhash64(*rest))).alias("r")
     return rows.groupBy(key).agg(newest).select(key, "r.*").select(*rows.columns)
 
 
@@ -101,7 +105,7 @@ def medallion(spark: SparkSession, source: str, out: str, checkpoint: str,
     """
     run_once(bronze_ingest(spark, source), f"{out}/bronze", f"{checkpoint}/bronze")
     bronze = spark.read.parquet(f"{out}/bronze")
-    stream = spark.readStream.schema(bronze.schema).parquet(f"{out}/bronze")
+    stream = spark.readStream.schema(bronze.schema).option("maxFileAge", ANY_AGE).parquet(f"{out}/bronze")
     observed = expect_stream(stream, silver_rules(as_of), "silver")
     query = run_once(observed, f"{out}/silver", f"{checkpoint}/silver")
     cleaned = spark.read.parquet(f"{out}/silver")

@@ -6,14 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
-from lakewarden.sources.tables import opened
+from lakewarden.sources.tables import ANY_AGE, opened
 from lakewarden.streaming.medallion import run_once
 
 
 def stream_table(spark: SparkSession, path: str, schema: T.StructType,
                  glob: str | None = None) -> DataFrame:
     """Stream of an append-only Parquet folder."""
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(schema).option("maxFileAge", ANY_AGE)
     if glob is not None:
         reader = reader.option("pathGlobFilter", glob)
     return opened(path, reader.parquet)

@@ -326,3 +326,17 @@ def test_freshness(spark):
               for name, h in (("new", 4), ("older", 5), ("old", 25))}
     got = {r["name"]: r["status"] for r in tables.freshness(stored, NOW).collect()}
     assert got == {"new": "FRESH", "older": "AGING", "old": "STALE"}
+
+
+def test_files_of_any_age_arrive(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    setup = ingest.Ingest(*[str(tmp_path / p) for p in ("landing", "table", "checkpoint", "schema")],
+                          mode="add")
+    for n, age in enumerate((0, 10, 400)):
+        path = landing / f"{n}.json"
+        path.write_text('{"a": %d}\n' % n)
+        past = (datetime.now() - timedelta(days=age)).timestamp()
+        os.utime(path, (past, past))
+        setup.run(spark)
+    assert ingest.read_ingested(spark, setup).count() == 3

@@ -306,3 +306,10 @@ def test_flatten_params(spark):
         "id int, params array<struct<key:string,value:string>>")
     flat = flatten_params(df, "params", {"page": "string", "n": "int"})
     assert rows(flat) == [(1, "home", 3), (2, None, None), (3, None, None)]
+
+
+def test_upsert_refuses_repeated_source_keys(spark):
+    old = spark.createDataFrame([(1, "a")], "id int, v string")
+    new = spark.createDataFrame([(1, "b"), (1, "c")], "id int, v string")
+    with pytest.raises(Exception, match="several source rows"):
+        upsert(old, new, ["id"]).collect()

@@ -3,6 +3,7 @@
 from datetime import date, datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from lakewarden.plans import access, capacity, cost, flow_events, jobs, queries, retail, triage
 from tests.conftest import plan_of, rows
@@ -307,3 +308,12 @@ def test_promo_totals_meet_the_discount_after_summing(spark):
                                    "promo_code string, order_total double")
     promos = spark.createDataFrame([("A", 50.0), ("B", 0.0)], "promo_code string, discount_pct double")
     assert rows(retail.promo_totals(orders, promos)) == [("A", 2, 40.0, 20.0), ("B", 1, 5.0, 5.0)]
+
+
+def test_job_reports_tell_workspaces_apart(spark, job_rows, run_rows):
+    """The same job id in another workspace has its own runs and its own name."""
+    other = job_rows.filter("job_id = 1").withColumn("workspace_id", F.col("workspace_id") + 100) \
+        .withColumn("name", F.lit("busy elsewhere"))
+    both = job_rows.unionByName(other)
+    assert rows(jobs.run_counts(run_rows, both, "bu", NOW)) == [("busy", 4)]
+    assert jobs.run_history(run_rows, both, "busy elsewhere", NOW).count() == 0
