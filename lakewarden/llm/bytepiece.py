@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lakewarden.llm.pieces import PieceTable, parts_of
 
-CACHE = 100_000
+CACHE = 40_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:

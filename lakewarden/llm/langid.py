@@ -67,19 +67,20 @@ def vectors(flat: Flat) -> np.ndarray:
 def machine(x: np.ndarray, positive: np.ndarray, cost: float = 4.0, rounds: int = 30) -> np.ndarray:
     """Weights (the last one is the bias) of a linear support vector machine, then the two numbers
     of the logistic curve that turns its margin into a probability."""
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)]).astype(np.float64)
+    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
     y = np.where(positive, 1.0, -1.0)
     c = np.where(positive, len(y) / (2 * max(positive.sum(), 1)),
                  len(y) / (2 * max((~positive).sum(), 1))) * cost
-    length, alpha, w = (x * x).sum(axis=1), np.zeros(len(y)), np.zeros(x.shape[1])
+    length = np.einsum("ij,ij->i", x, x)  # no copy of x: the driver holds only a few of them
+    alpha, w = np.zeros(len(y)), np.zeros(x.shape[1], np.float32)
     rng = np.random.RandomState(7)
     for _ in range(rounds):
         moved = 0.0
         for i in rng.permutation(len(y)):
-            new = min(max(alpha[i] - (y[i] * (x[i] @ w) - 1) / length[i], 0.0), c[i])
+            new = min(max(alpha[i] - (y[i] * float(x[i] @ w) - 1) / length[i], 0.0), c[i])
             step = new - alpha[i]
             if step:
-                w += step * y[i] * x[i]
+                w += np.float32(step * y[i]) * x[i]
                 alpha[i], moved = new, max(moved, abs(step))
         if moved < 1e-3:
             break
@@ -161,7 +162,7 @@ def _vectorise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             x = vectors(flat)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(low, flat.docs), batch.column(1).slice(low, flat.docs),
-                 pa.array([r.tobytes() for r in x], pa.binary())], ["doc_id", "lang", "x"])
+                 pa.array([r.tobytes() for r in x.astype(np.float16)], pa.binary())], ["doc_id", "lang", "x"])
 
 
 def train(labelled: DataFrame, sample: int = SAMPLE) -> Model:
@@ -175,13 +176,18 @@ def train(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     each = sample / len(counts)
     draw = F.pmod(F.xxhash64(F.lit(4), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
     share = F.create_map(*[F.lit(v) for k, n in counts.items() for v in (k, min(1.0, each / n))])
-    rows = labelled.filter(draw < share[F.col("lang")]).select("doc_id", "lang", "text") \
-        .mapInArrow(_vectorise, "doc_id long, lang string, x binary").collect()
-    rows.sort(key=lambda r: (r["doc_id"] is not None, r["doc_id"] or 0, r["lang"], bytes(r["x"])))
-    if not rows:
+    found = labelled.filter(draw < share[F.col("lang")]).select("doc_id", "lang", "text") \
+        .mapInArrow(_vectorise, "doc_id long, lang string, x binary").toArrow()
+    if not found.num_rows:
         return Model(np.array([], object), np.zeros((0, DIMENSIONS), np.float32))
-    x = np.frombuffer(b"".join(bytes(r["x"]) for r in rows), np.float32).reshape(len(rows), DIMENSIONS)
-    return Model(np.array([r["lang"] for r in rows], object), x)
+    names, raw = found.column("lang").to_pylist(), found.column("x").to_pylist()
+    ids = found.column("doc_id").to_pylist()
+    order = sorted(range(len(raw)), key=lambda i: (ids[i] is not None, ids[i] or 0, names[i], raw[i]))
+    x = np.empty((len(raw), DIMENSIONS), np.float32)
+    for to, i in enumerate(order):
+        x[to] = np.frombuffer(raw[i], np.float16)
+    del found, raw
+    return Model(np.array([names[i] for i in order], object), x)
 
 
 def identify(docs: DataFrame, model: Model, name: str = "lang_pred", score: str = "score") -> DataFrame:
