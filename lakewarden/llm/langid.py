@@ -27,6 +27,7 @@ from lakewarden.llm.flat import Flat, slices
 
 SAMPLE = 4000
 DIMENSIONS = 4096
+SLICE_BYTES, SLICE_ROWS = 1 << 18, 128  # texts that are made vectors of together
 NONE = "und"
 #: Languages by family. Any other language is a family of its own.
 FAMILIES = {
@@ -158,7 +159,7 @@ class Model:
 
 def _vectorise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for low, flat in slices(batch.column(2), rows=1000):
+        for low, flat in slices(batch.column(2), SLICE_BYTES, SLICE_ROWS):
             x = vectors(flat)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(low, flat.docs), batch.column(1).slice(low, flat.docs),
@@ -200,7 +201,7 @@ def identify(docs: DataFrame, model: Model, name: str = "lang_pred", score: str
         import pandas as pd
 
         out = []
-        for _, flat in slices(pa.array(texts, pa.string()), rows=1000):
+        for _, flat in slices(pa.array(texts, pa.string()), SLICE_BYTES, SLICE_ROWS):
             out.append(sent.value.predict(vectors(flat)))
         langs = np.concatenate([o[0] for o in out]) if out else np.array([], object)
         scores = np.concatenate([o[1] for o in out]) if out else np.zeros(0)
