@@ -12,7 +12,7 @@ from lakewarden.operators.aggregates import count_where, pctl, share
 from lakewarden.operators.sets import keyless_diff, snapshot_diff
 from lakewarden.operators.shape import domain, evolve, first_rows, flatten_params, replicate
 from lakewarden.plans import retail
-from lakewarden.plans.queries import query_source
+from lakewarden.plans.queries import QUERY_SOURCES, query_source
 from lakewarden.plans.views import EVENTS_AS_OF
 from lakewarden.session import fresh_dir
 from lakewarden.sources import files, generators, jsonlines, layout, tables
@@ -163,25 +163,23 @@ def floored(u: str, n: int) -> str:
 
 
 LINE_IDS = "SELECT l_orderkey * 10 + l_linenumber AS id FROM lineitem"
-PROMO_CASE = " ".join(
-    f"WHEN {unit(42)} < {limit} THEN '{code}'" for code, limit in
-    generators.PROMO_SHARES.items() if limit < 1)
+U42 = unit(42)
 
 
 @query("a29_skewed_orders",
-       f"SELECT promo_code, count(*) AS row_count, sum(order_total) AS total,"
-       " min(shipping_address) AS first_address, max(order_timestamp) AS last_day FROM ("
-       f"SELECT CASE {PROMO_CASE} ELSE 'HOLIDAY40' END AS promo_code,"
+       "SELECT promo_code, count(*) AS row_count, sum(order_total) AS total, min(customer_id) AS"
+       " first_customer, max(order_date) AS last_day FROM (SELECT 'P' || lpad(CAST(CASE WHEN"
+       f" {U42} < 0.7 THEN 0 WHEN {U42} < 0.85 THEN 1 ELSE 2 + least(7, CAST(floor(({U42} - 0.85)"
+       " / 0.15 * 8) AS INTEGER)) END AS VARCHAR), 2, '0') AS promo_code,"
+       f" 'CUST-' || lpad(CAST({floored(unit(44), 50_000)} AS VARCHAR), 6, '0') AS customer_id,"
        f" round({unit(43)} * 280 + 20, 2) AS order_total,"
-       f" DATE '2024-01-01' + {floored(unit(46), 450)} AS order_timestamp,"
-       f" 'Street ' || {floored(unit(47), 9999)} || ', City ' || {floored(unit(48), 500)}"
-       f" AS shipping_address FROM ({LINE_IDS})) GROUP BY promo_code", "total")
+       f" DATE '2024-01-01' + {floored(unit(45), 451)} AS order_date FROM ({LINE_IDS}))"
+       " GROUP BY promo_code", "total")
 def a29(lake):
     ids = lake.table("lineitem").selectExpr("l_orderkey * 10 + l_linenumber AS id")
     return generators.skewed_orders(ids).groupBy("promo_code").agg(
         F.count("*").alias("row_count"), F.sum("order_total").alias("total"),
-        F.min("shipping_address").alias("first_address"),
-        F.max("order_timestamp").alias("last_day"))
+        F.min("customer_id").alias("first_customer"), F.max("order_date").alias("last_day"))
 
 
 @query("a30_replicate",
@@ -201,7 +199,7 @@ def a30(lake):
        f" sum(round((CASE WHEN {unit(45)} < 0.01 THEN -1 ELSE 1 END *"
        f" ({floored(unit(46), 5)} + 1)) * round({unit(47)} * 230 + 19.99, 2), 2)) AS total,"
        f" max(TIMESTAMP '2024-01-01' + to_days(CASE WHEN {unit(50)} < 0.005 THEN"
-       f" {floored(unit(51), 335)} + 36500 ELSE {floored(unit(51), 450)} END)) AS last_time"
+       f" {floored(unit(51), 335)} + 36500 ELSE {floored(unit(51), 451)} END)) AS last_time"
        " FROM (SELECT o_orderkey AS id FROM orders)", "total")
 def a31(lake):
     ids = lake.table("orders").selectExpr("o_orderkey AS id")
@@ -332,14 +330,13 @@ def b08(lake):
     return lake.orders().groupBy(label.alias("label")).agg(F.count("*").alias("row_count"))
 
 
-SOURCE_SQL = """
-    CASE WHEN src_job IS NOT NULL THEN 'JOB' WHEN src_legacy IS NOT NULL THEN 'LEGACY DASHBOARD'
-         WHEN src_dashboard IS NOT NULL THEN 'AI/BI DASHBOARD' WHEN src_alert IS NOT NULL THEN
-         'ALERT' WHEN src_notebook IS NOT NULL THEN 'NOTEBOOK' WHEN src_query IS NOT NULL THEN
-         'SQL QUERY' WHEN src_space IS NOT NULL THEN 'GENIE SPACE' WHEN client_application IS NOT
-         NULL THEN client_application ELSE 'UNKNOWN' END AS query_source_type,
-    coalesce(src_job, src_legacy, src_dashboard, src_alert, src_notebook, src_query, src_space,
-             'UNKNOWN') AS query_source_id"""
+SOURCE_IDS = ["src_job", "src_legacy", "src_dashboard", "src_alert", "src_notebook", "src_query",
+              "src_space"]
+SOURCE_SQL = (
+    "CASE " + " ".join(f"WHEN {column} IS NOT NULL THEN '{label}'"
+                       for column, (_, label) in zip(SOURCE_IDS, QUERY_SOURCES, strict=True))
+    + " ELSE coalesce(client_application, 'UNKNOWN') END AS query_source_type,"
+    f" coalesce({', '.join(SOURCE_IDS)}, 'UNKNOWN') AS query_source_id")
 
 
 @query("b09_query_source", f"SELECT statement_id, {SOURCE_SQL} FROM v_history")

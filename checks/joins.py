@@ -118,10 +118,8 @@ def c08_guarded(lake):
     return joined.groupBy("loyalty_tier").agg(F.count("*").alias("row_count"))
 
 
-PROMO_ROWS = ", ".join(
-    f"('{code}', 'Promo: {code}', {5 + 4.5 * i}::DOUBLE)"
-    for i, code in enumerate(generators.PROMO_SHARES))
-CODES = list(generators.PROMO_SHARES)
+CODES = [generators.promo_code(i) for i in range(10)]
+PROMO_ROWS = ", ".join(f"('{c}', 'Promo {c}', {5 + 4.5 * i}::DOUBLE)" for i, c in enumerate(CODES))
 # 70% of the lines get the first code and 15% the second, as in the skewed order data.
 PROMO_OF_LINE = ("CASE WHEN (l_orderkey * 10 + l_linenumber) % 100 < 70 THEN 0"
                  " WHEN (l_orderkey * 10 + l_linenumber) % 100 < 85 THEN 1"

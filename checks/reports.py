@@ -24,15 +24,6 @@ SHIP_END = datetime(2001, 11, 4)
 
 # -- query history ------------------------------------------------------------------------------
 
-def sec(name: str) -> str:
-    return f"coalesce({name}_duration_ms / 1000, 0::DOUBLE)"
-
-
-def gib(name: str) -> str:
-    return f"CASE WHEN {name} > 0 THEN {name} / 1073741824::DOUBLE ELSE 0::DOUBLE END"
-
-
-WORK = f"({sec('compilation')} + {sec('total_task')} + {sec('result_fetch')})"
 COMMENT_SQL = ("CASE WHEN instr(statement_text, '/*') > 0 THEN regexp_extract(statement_text,"
                " '/\\*(.*?)\\*/', 1) END")
 
@@ -42,74 +33,70 @@ def comment_field(name: str) -> str:
             f" '$.{name}') END, 'None')")
 
 
-J1_SQL = f"""
-    SELECT statement_id, warehouse_id, coalesce(client_application, 'Unknown')
-           AS client_application, {sec('total')} AS query_runtime_seconds,
-           {sec('total_task')} AS cpu_total_seconds, {sec('execution')} AS execution_seconds,
-           {sec('compilation')} AS compilation_seconds,
-           {sec('waiting_for_compute')} + {sec('waiting_at_capacity')} AS queue_seconds,
-           {sec('waiting_for_compute')} AS start_up_seconds,
-           {sec('result_fetch')} AS result_fetch_seconds, {WORK} AS query_work,
-           CASE WHEN {sec('total_task')} > 0 THEN {WORK} ELSE 0 END AS work_for_allocation,
-           {WORK} AS work_for_allocation_with_metadata,
-           start_time, CAST(start_time AS DATE) AS start_date, end_time,
-           CAST(end_time AS DATE) AS end_date, read_bytes, written_bytes, read_io_cache_percent,
-           from_result_cache, spilled_local_bytes,
-           total_task_duration_ms / nullif(total_duration_ms, 0)::DOUBLE AS cpu_to_elapsed,
-           (waiting_for_compute_duration_ms + waiting_at_capacity_duration_ms)
-               / nullif(total_duration_ms, 0)::DOUBLE AS queue_share,
-           result_fetch_duration_ms / nullif(total_duration_ms, 0)::DOUBLE AS fetch_share,
-           read_files AS files_read, pruned_files AS files_pruned,
-           pruned_files / nullif(read_files + pruned_files, 0)::DOUBLE AS files_pruned_share,
-           {gib('read_bytes')} AS read_gb, {gib('written_bytes')} AS written_gb,
-           {gib('spilled_local_bytes')} AS spilled_gb,
-           CASE WHEN read_io_cache_percent > 0 THEN 'Used Cache' ELSE 'No Cache' END
-           AS used_cache_flag,
-           CASE WHEN spilled_local_bytes > 0 THEN 'Spilled Data To Disk' ELSE 'No Spill' END
-           AS has_spill_flag,
-           CASE WHEN read_bytes > 0 THEN 'Did Read Data' ELSE 'No Data Read' END AS read_data_flag,
-           CASE WHEN {sec('total_task')} > 0 THEN 'UsedWorkerTasks' ELSE 'NoWorkers' END
-           AS used_worker_tasks_flag,
-           CASE WHEN spilled_local_bytes > 0 THEN 1 ELSE 0 END AS calc_has_spill,
-           CASE WHEN read_bytes > 0 THEN 0.25::DOUBLE ELSE 0 END AS calc_read_data,
-           CASE WHEN {sec('total_task')} > 0 THEN 0.25::DOUBLE ELSE 0 END
-           AS calc_used_worker_tasks, error_message,
-           coalesce(nullif(regexp_extract(error_message, '\\[(.*?)\\]', 1), ''), 'NO ERROR')
-           AS error_type, {SOURCE_SQL}
-    FROM v_history WHERE warehouse_id IS NOT NULL AND statement_type IS NOT NULL"""
-J1_DOUBLES = ("query_runtime_seconds cpu_total_seconds execution_seconds compilation_seconds"
-              " queue_seconds start_up_seconds result_fetch_seconds query_work work_for_allocation"
-              " work_for_allocation_with_metadata cpu_to_elapsed queue_share fetch_share"
-              " files_pruned_share read_gb written_gb spilled_gb calc_read_data"
-              " calc_used_worker_tasks")
-J1_COLUMNS = (
-    "statement_id warehouse_id client_application query_runtime_seconds cpu_total_seconds"
-    " execution_seconds compilation_seconds queue_seconds start_up_seconds result_fetch_seconds"
-    " query_work work_for_allocation work_for_allocation_with_metadata start_time start_date"
-    " end_time end_date read_bytes written_bytes read_io_cache_percent from_result_cache"
-    " spilled_local_bytes cpu_to_elapsed queue_share fetch_share files_read files_pruned"
-    " files_pruned_share read_gb written_gb spilled_gb used_cache_flag has_spill_flag"
-    " read_data_flag used_worker_tasks_flag calc_has_spill calc_read_data calc_used_worker_tasks"
-    " error_message error_type query_source_type query_source_id").split()
-
-
-@query("j01_query_model", J1_SQL, J1_DOUBLES)
+MEASURES = sorted({f"{p}_duration_ms" for parts in queries.DURATIONS.values() for p in parts}
+                  | {*queries.AMOUNTS.values(), "read_io_cache_percent"})
+J1_DOUBLES = {
+    **{name: "(" + " + ".join(f"{p}_duration_ms" for p in parts) + ") / 1000::DOUBLE"
+       for name, parts in queries.DURATIONS.items()},
+    **{name: f"{c} / {2**30}::DOUBLE" for name, c in queries.AMOUNTS.items()},
+    **{f"Calc_{name}": f"CASE WHEN {queries.FLAGS[name][0]} > 0 THEN {w} ELSE 0 END::DOUBLE"
+       for name, w in queries.WEIGHTS.items()},
+    "TotalResourceTimeUsedForAllocation": "CASE WHEN total_task_duration_ms > 0 THEN"
+    " compilation_duration_ms + total_task_duration_ms + result_fetch_duration_ms ELSE 0 END"
+    " / 1000::DOUBLE",
+    "TotalCPUTime_To_Execution_Time_Ratio": "CASE WHEN timed THEN total_task_duration_ms END"
+    " / nullif(total_duration_ms, 0)::DOUBLE",
+    "ProportionQueueTime": "(waiting_for_compute_duration_ms + waiting_at_capacity_duration_ms)"
+    " / nullif(total_duration_ms, 0)::DOUBLE",
+    "ProportionResultFetchTime": "result_fetch_duration_ms / nullif(total_duration_ms, 0)::DOUBLE",
+    "FilesPrunedProportion": "pruned_files / nullif(read_files + pruned_files, 0)::DOUBLE",
+}
+J1_TEXTS = {
+    **{name: f"CASE WHEN {c} > 0 THEN '{yes}' ELSE '{no}' END"
+       for name, (c, yes, no) in queries.FLAGS.items()},
+    "client_application": "coalesce(client_application, 'Unknown')",
+    "error_type": "coalesce(nullif(regexp_extract(error_message, '\\[(.*?)\\]', 1), ''), 'NO ERROR')",
+}
+J1_PLAIN = (
+    "account_id workspace_id event_id statement_id executed_by statement_text statement_type"
+    " execution_status warehouse_id start_time end_time read_bytes written_bytes spilled_local_bytes"
+    " read_io_cache_percent read_rows produced_rows from_result_cache error_message"
+    " query_source_type query_source_id").split()
+J2_TEXTS = {
+    "raw_tagged": "regexp_extract(statement_text, '/\\*.*?QUERY_TAG:(.*?)\\*/', 1)",
+    "dbt_metadata_json": COMMENT_SQL,
+    **{queries.comment_column("dbt", f): comment_field(f) for f in queries.COMMENT_FIELDS},
+    "IsDBTQuery": f"CASE WHEN lower({comment_field('app')}) = 'dbt' OR"
+    " contains(coalesce(client_application, ''), 'dbt') THEN 'DBT Query' ELSE 'Other Query Type' END",
+}
+
+
+def named(columns: dict[str, str]) -> str:
+    return ", ".join(f"{sql} AS {name}" for name, sql in columns.items())
+
+
+J1_SQL = (
+    f"SELECT {', '.join(J1_PLAIN)}, end_time AS update_time, CAST(start_time AS DATE) AS start_date,"
+    " CAST(end_time AS DATE) AS end_date, read_files AS FilesRead, pruned_files AS FilesPruned,"
+    f" {named(J1_DOUBLES)}, {named(J1_TEXTS)}, {named(J2_TEXTS)} FROM (SELECT * REPLACE ("
+    + named({c: f"coalesce({c}, 0)" for c in MEASURES})
+    + f"), total_task_duration_ms IS NOT NULL AS timed, {SOURCE_SQL} FROM v_history"
+    " WHERE warehouse_id IS NOT NULL AND statement_type IS NOT NULL) AS h")
+
+
+def query_model(history):
+    """Every column of the model but the map, whose entries are columns too."""
+    return queries.refine_query_history(history).drop("parsed_dbt_comment")
+
+
+@query("j01_query_model", J1_SQL, " ".join(J1_DOUBLES))
 def j01(lake):
-    return queries.refine_query_history(lake.query_history()).select(*J1_COLUMNS)
-
-
-J2_SQL = (
-    f"SELECT statement_id, regexp_extract(statement_text, '/\\*.*?QUERY_TAG:(.*?)\\*/', 1)"
-    f" AS raw_tag, {COMMENT_SQL} AS comment, "
-    + ", ".join(f"{comment_field(f)} AS {c}" for f, c in queries.COMMENT_FIELDS.items())
-    + f", CASE WHEN lower({comment_field('app')}) = 'dbt' OR contains(coalesce(client_application,"
-    " ''), 'dbt') THEN 'Tool Query' ELSE 'Other Query Type' END AS is_tool_query FROM v_history")
+    return query_model(lake.query_history())
 
 
-@query("j02_query_tags", J2_SQL)
+@query("j02_query_tags", f"SELECT statement_id, {named(J2_TEXTS)} FROM v_history")
 def j02(lake):
-    return queries.query_tags(lake.query_history()).select(
-        "statement_id", "raw_tag", "comment", *queries.COMMENT_FIELDS.values(), "is_tool_query")
+    return queries.query_tags(lake.query_history()).select("statement_id", *J2_TEXTS)
 
 
 @query("j03_warehouse_changes", SCD_SQL)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.joins import SCD_SQL
 from checks.registry import query
-from checks.reports import J1_COLUMNS, J1_DOUBLES, J1_SQL
+from checks.reports import J1_DOUBLES, J1_SQL, query_model
 from lakewarden.operators import quality
 from lakewarden.plans import access, queries
 from lakewarden.plans.views import EVENTS_AS_OF, INVENTORY_COLUMNS
@@ -337,10 +337,10 @@ def i04_batch(lake):
     return medallion.dedup_batch(lake.table("events").drop("props"), "user_id", "ts")
 
 
-@query("i06_stream_query_model", J1_SQL, J1_DOUBLES)
+@query("i06_stream_query_model", J1_SQL, " ".join(J1_DOUBLES))
 def i06(lake):
     stream = stored_stream(lake, lake.query_history(), "history")
-    return project(stream, lambda s: queries.refine_query_history(s).select(*J1_COLUMNS), "model")
+    return project(stream, query_model, "model")
 
 
 @query("i07_stream_usage",

@@ -6,17 +6,12 @@ and after any retry. ``ids`` is any frame with an id column: ``spark.range(n)``
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakewarden.functions import unit_hash
 
-# Promo codes with the share of orders up to and including each one.
-PROMO_SHARES = {
-    "WELCOME10": 0.70, "SUMMER25": 0.85, "VIP50": 0.88, "FLASH15": 0.90, "LOYALTY20": 0.92,
-    "SPORTS30": 0.94, "SEASON2025": 0.96, "MARATHON": 0.975, "NEWUSER": 0.99, "HOLIDAY40": 1.0,
-}
 # Sales channels, order states, regions, return reasons and return channels.
 CHANNELS = ["Web", "Mobile App", "Retail Store", "Marketplace"]
 STATUSES = ["Completed", "Completed", "Completed", "Shipped", "Processing", "Cancelled", "Returned"]
@@ -31,8 +26,13 @@ def lit_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFr
     return spark.createDataFrame(rows, schema)
 
 
-def promos(spark: SparkSession) -> DataFrame:
-    rows = [(code, f"Promo: {code}", 5 + 4.5 * i) for i, code in enumerate(PROMO_SHARES)]
+def promo_code(number: int) -> str:
+    return f"P{number:02d}"
+
+
+def promos(spark: SparkSession, codes: int = 10) -> DataFrame:
+    """One row per promo code; each gives 4.5 points more than the one before."""
+    rows = [(promo_code(i), f"Promo {promo_code(i)}", 5 + 4.5 * i) for i in range(codes)]
     return lit_table(spark, rows, "promo_code string, promo_description string, discount_pct double")
 
 
@@ -48,31 +48,30 @@ def _code(prefix: str, number: Column, width: int) -> Column:
     return F.concat(F.lit(prefix), F.lpad(number.cast("string"), width, "0"))
 
 
-def _by_share(shares: Mapping[str, float], u: Column) -> Column:
-    """Value whose cumulative share is the first above ``u``."""
-    names = list(shares)
-    choice = F.lit(names[-1])
-    for name in reversed(names[:-1]):
-        choice = F.when(u < shares[name], F.lit(name)).otherwise(choice)
-    return choice
+def _place(u: Column, hot: Sequence[float], count: int) -> Column:
+    """Number below ``count``: the first ones have the shares ``hot``, the others share the rest evenly."""
+    used = [round(sum(hot[:i + 1]), 9) for i in range(len(hot))]
+    others, top = count - len(hot), used[-1] if used else 0.0
+    place = len(hot) + F.least(
+        F.lit(others - 1), F.floor((u - top) / round(1 - top, 9) * others).cast("int"))
+    for number, limit in reversed(list(enumerate(used))):
+        place = F.when(u < limit, number).otherwise(place)
+    return place
 
 
-def skewed_orders(ids: DataFrame, id_column: str = "id", seed: int = 42) -> DataFrame:
-    """Orders of which one promo code holds 70% and another 15%."""
+def skewed_orders(ids: DataFrame, id_column: str = "id", seed: int = 42,
+                  hot: Sequence[float] = (0.70, 0.15), codes: int = 10) -> DataFrame:
+    """Orders whose promo codes are hot keys: ``hot`` are the shares of the first codes."""
+    if not (0 <= sum(hot) < 1 and len(hot) < codes):
+        raise ValueError("hot shares must leave something to the other codes")
     key = F.col(id_column)
-
-    def u(k: int) -> Column:
-        return unit_hash(key, seed + k)
-
+    drawn = {name: unit_hash(key, seed + i) for i, name in enumerate(["code", "total", "customer", "day"])}
     return ids.select(
         _code("ORD-S-", key, 8).alias("order_id"),
-        _by_share(PROMO_SHARES, u(0)).alias("promo_code"),
-        F.round(u(1) * 280 + 20, 2).alias("order_total"),
-        _code("CUST-", _below(u(2), 50_000), 6).alias("customer_id"),
-        _pick(CHANNELS, u(3)).alias("channel"),
-        F.date_add(F.lit("2024-01-01").cast("date"), _below(u(4), 450)).alias("order_timestamp"),
-        F.concat(F.lit("Street "), _below(u(5), 9999), F.lit(", City "), _below(u(6), 500))
-        .alias("shipping_address"),
+        _code("P", _place(drawn["code"], hot, codes), 2).alias("promo_code"),
+        _code("CUST-", _below(drawn["customer"], 50_000), 6).alias("customer_id"),
+        F.round(drawn["total"] * 280 + 20, 2).alias("order_total"),
+        F.date_add(F.lit("2024-01-01").cast("date"), _below(drawn["day"], 451)).alias("order_date"),
     )
 
 
@@ -91,7 +90,7 @@ def retail_orders(ids: DataFrame, id_column: str = "id", seed: int = 42) -> Data
         F.round(u(5) * 230 + 19.99, 2).alias("unit_price"),
         _pick(CHANNELS, u(6)).alias("channel"), _pick(STATUSES, u(7)).alias("status"),
         (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(
-            F.when(u(8) < 0.005, _below(u(9), 335) + 36_500).otherwise(_below(u(9), 450))))
+            F.when(u(8) < 0.005, _below(u(9), 335) + 36_500).otherwise(_below(u(9), 451))))
         .alias("order_timestamp"),
         _pick(REGIONS, u(10)).alias("region"),
     )

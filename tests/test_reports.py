@@ -159,16 +159,19 @@ def test_query_model(statements):
     got = {r["statement_id"]: r for r in queries.refine_query_history(statements).collect()}
     assert set(got) == {"s1", "s2", "s3", "s4"}
     one = got["s1"]
-    assert one["read_gb"] == 1.0 and one["written_gb"] == 2**-10 and one["spilled_gb"] == 2**-9
-    assert one["queue_share"] == 0.25 and one["files_pruned_share"] == 0.25
-    assert one["cpu_to_elapsed"] == 2.0 and one["query_work"] == pytest.approx(2.15)
-    assert (one["tool_app"], one["tool_node_id"], one["tool_version"]) == ("dbt", "n1", "None")
-    assert one["is_tool_query"] == "Tool Query" and one["query_source_type"] == "JOB"
-    assert one["comment_fields"] == {"app": "dbt", "node_id": "n1"}
-    assert got["s2"]["raw_tag"] == "team_a " and got["s2"]["error_type"] == "BAD_THING"
-    assert got["s2"]["is_tool_query"] == "Tool Query"
-    assert got["s3"]["comment"] is None and got["s3"]["error_type"] == "NO ERROR"
-    assert got["s3"]["cpu_to_elapsed"] is None and got["s3"]["work_for_allocation"] == 0.0
+    assert one["ReadDataAmountInGB"] == 1.0
+    assert one["WrittenDataAmountInGB"] == 2**-10 and one["SpilledDataAmountInGB"] == 2**-9
+    assert one["ProportionQueueTime"] == 0.25 and one["FilesPrunedProportion"] == 0.25
+    assert one["TotalCPUTime_To_Execution_Time_Ratio"] == 2.0
+    assert one["QueryWork"] == pytest.approx(2.15)
+    assert (one["dbt_app"], one["dbt_node_id"], one["dbt_version"]) == ("dbt", "n1", "None")
+    assert one["IsDBTQuery"] == "DBT Query" and one["query_source_type"] == "JOB"
+    assert one["parsed_dbt_comment"] == {"app": "dbt", "node_id": "n1"}
+    assert got["s2"]["raw_tagged"] == "team_a " and got["s2"]["error_type"] == "BAD_THING"
+    assert got["s2"]["IsDBTQuery"] == "DBT Query"
+    assert got["s3"]["dbt_metadata_json"] is None and got["s3"]["error_type"] == "NO ERROR"
+    assert got["s3"]["TotalCPUTime_To_Execution_Time_Ratio"] is None
+    assert got["s3"]["TotalResourceTimeUsedForAllocation"] == 0.0
     assert got["s3"]["query_source_type"] == "UNKNOWN"
     assert (got["s4"]["query_source_type"], got["s4"]["query_source_id"]) == ("GENIE SPACE", "g1")
 
