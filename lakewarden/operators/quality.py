@@ -37,15 +37,34 @@ def _counters(checks: list[Rule]) -> list[Column]:
 
 
 def expect(df: DataFrame, checks: list[Rule]) -> tuple[DataFrame, Observation]:
-    """Rows that pass all ``drop`` rules, and counters filled while the rows are processed."""
+    """Rows that pass all ``drop`` rules, and counters filled while the rows are processed.
+
+    A row that violates a ``fail`` rule ends the job that processes the rows, so a write of them
+    publishes nothing; the error names the rule. No second pass is needed.
+    """
     seen = Observation()
     observed = df.observe(seen, *_counters(checks))
-    return apply_drops(observed, checks), seen
+    return enforce(observed, checks), seen
 
 
 def expect_stream(stream: DataFrame, checks: list[Rule], name: str) -> DataFrame:
-    """The same for a stream: the counters are reported with every batch under ``name``."""
-    return apply_drops(stream.observe(name, *_counters(checks)), checks)
+    """The same for a stream: the counters are reported with every batch under ``name``, and a
+    violated ``fail`` rule ends the batch before it is committed."""
+    return enforce(stream.observe(name, *_counters(checks)), checks)
+
+
+def enforce(df: DataFrame, checks: list[Rule]) -> DataFrame:
+    """Rows that pass all ``drop`` rules; a row that violates a ``fail`` rule raises an error, also
+    when a ``drop`` rule would take it out. The rules are one condition, tried in this order."""
+    kept = F.lit(True)
+    for rule in checks:
+        if rule.action == DROP:
+            kept = kept & rule.holds()
+    for rule in reversed(checks):
+        if rule.action == FAIL:
+            error = F.raise_error(f"violated expectation: {rule.name}").cast("boolean")
+            kept = F.when(rule.holds(), kept).otherwise(error)
+    return df.filter(kept)
 
 
 def apply_drops(df: DataFrame, checks: list[Rule]) -> DataFrame:

@@ -65,6 +65,36 @@ def test_fail_rule_stops_before_the_write(sample):
     assert quality.require(sample.filter("quantity > 0"), strict).count() == 9
 
 
+def test_fail_rule_ends_the_write(spark, sample, tmp_path):
+    checks = [*quality.rules({"has_customer": "customer_id IS NOT NULL"}, quality.DROP),
+              *quality.rules({"positive_quantity": "quantity > 0"}, quality.FAIL)]
+    kept, _ = quality.expect(sample, checks)
+    with pytest.raises(Exception, match="violated expectation: positive_quantity"):
+        kept.write.parquet(str(tmp_path / "bad"))
+    assert not list((tmp_path / "bad").glob("part-*"))
+    good = sample.filter("quantity > 0")
+    kept, seen = quality.expect(good, checks)
+    assert kept.count() == good.filter("customer_id IS NOT NULL").count()
+    assert seen.get["failed_positive_quantity"] == 0
+
+
+def test_fail_rule_stops_the_stream_batch(spark, sample, tmp_path):
+    checks = quality.rules({"positive_quantity": "quantity > 0"}, quality.FAIL)
+
+    def run(rows, name):
+        rows.write.parquet(str(tmp_path / f"{name}-in"))
+        stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / f"{name}-in"))
+        quality.expect_stream(stream, checks, "seen").writeStream.trigger(availableNow=True).option(
+            "checkpointLocation", str(tmp_path / f"{name}-cp")).start(
+            str(tmp_path / f"{name}-out"), format="parquet").awaitTermination()
+
+    run(sample.filter("quantity > 0"), "good")
+    assert spark.read.parquet(str(tmp_path / "good-out")).count() == 9
+    with pytest.raises(Exception, match="violated expectation: positive_quantity"):
+        run(sample, "bad")
+    assert not list((tmp_path / "bad-out").glob("_spark_metadata/0"))
+
+
 def timed(spark, values):
     """(day of month, value) pairs as a table with a time column."""
     data = [(datetime(2024, 1, d, 12), v) for d, v in values]
