@@ -133,13 +133,15 @@ def type_of(path_column):
 
 
 @query("a17_processed_files",
-       "SELECT event_type, true AS committed, true AS has_size FROM events GROUP BY event_type")
+       "SELECT event_type, count(*) AS row_count, true AS committed, true AS has_size FROM events"
+       " GROUP BY event_type")
 def a17(lake):
     setup, first, _ = by_type(lake)
     land_by_type(first, setup.source)
     setup.run(lake.spark)
-    done = ledger.processed_files(lake.spark, setup.checkpoint, setup.source)
+    done = ledger.processed_files(lake.spark, setup.checkpoint)
     return done.groupBy(type_of("file_path").alias("event_type")).agg(
+        F.sum("row_count").alias("row_count"),
         F.bool_and(F.col("committed_at").isNotNull()).alias("committed"),
         F.bool_and(F.col("size_bytes") > 0).alias("has_size"))
 
@@ -370,13 +372,14 @@ def i07_events(lake):
     return access.warehouse_scd(changes)
 
 
-@query("i08_progress", "SELECT count(*) AS input_rows, true AS timed FROM events")
+@query("i08_progress",
+       "SELECT count(*) AS input_rows, count(*) AS output_rows, true AS timed FROM events")
 def i08(lake):
     root = fresh_dir(lake.spark, "progress")
-    run = medallion.run_once(streamed(lake, "events").select("event_id"), f"{root}/table",
-                             f"{root}/checkpoint")
-    return ledger.progress_table(lake.spark, run).agg(
-        F.sum("input_rows").alias("input_rows"),
+    ledger.run_recorded(streamed(lake, "events").select("event_id"), f"{root}/table",
+                        f"{root}/checkpoint")
+    return ledger.batch_counts(lake.spark, f"{root}/checkpoint").agg(
+        F.sum("input_rows").alias("input_rows"), F.sum("output_rows").alias("output_rows"),
         (F.max("duration_ms") > 0).alias("timed"))
 
 

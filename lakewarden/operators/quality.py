@@ -31,7 +31,8 @@ def rules(conditions: Mapping[str, str], action: str = WARN) -> list[Rule]:
     return [Rule(name, condition, action) for name, condition in conditions.items()]
 
 
-def _counters(checks: list[Rule]) -> list[Column]:
+def counters(checks: list[Rule]) -> list[Column]:
+    """Aggregates: all rows, and the rows that violate each rule."""
     failed = [F.count_if(~r.holds()).alias(f"failed_{r.name}") for r in checks]
     return [F.count(F.lit(1)).alias("rows"), *failed]
 
@@ -43,23 +44,28 @@ def expect(df: DataFrame, checks: list[Rule]) -> tuple[DataFrame, Observation]:
     publishes nothing; the error names the rule. No second pass is needed.
     """
     seen = Observation()
-    observed = df.observe(seen, *_counters(checks))
+    observed = df.observe(seen, *counters(checks))
     return enforce(observed, checks), seen
 
 
 def expect_stream(stream: DataFrame, checks: list[Rule], name: str) -> DataFrame:
     """The same for a stream: the counters are reported with every batch under ``name``, and a
     violated ``fail`` rule ends the batch before it is committed."""
-    return enforce(stream.observe(name, *_counters(checks)), checks)
+    return enforce(stream.observe(name, *counters(checks)), checks)
 
 
-def enforce(df: DataFrame, checks: list[Rule]) -> DataFrame:
-    """Rows that pass all ``drop`` rules; a row that violates a ``fail`` rule raises an error, also
-    when a ``drop`` rule would take it out. The rules are one condition, tried in this order."""
+def drop_rules_hold(checks: list[Rule]) -> Column:
     kept = F.lit(True)
     for rule in checks:
         if rule.action == DROP:
             kept = kept & rule.holds()
+    return kept
+
+
+def enforce(df: DataFrame, checks: list[Rule]) -> DataFrame:
+    """Rows that pass all ``drop`` rules; a row that violates a ``fail`` rule raises an error, also
+    when a ``drop`` rule would take it out. The rules are one condition, tried in this order."""
+    kept = drop_rules_hold(checks)
     for rule in reversed(checks):
         if rule.action == FAIL:
             error = F.raise_error(f"violated expectation: {rule.name}").cast("boolean")
@@ -81,14 +87,14 @@ def expectation_report(df: DataFrame, checks: list[Rule], dataset: str) -> DataF
                  F.lit(r.action).alias("action"),
                  (F.col("rows") - F.col(f"failed_{r.name}")).alias("passed_records"),
                  F.col(f"failed_{r.name}").alias("failed_records")) for r in checks])
-    return df.agg(*_counters(checks)).select(F.inline(items))
+    return df.agg(*counters(checks)).select(F.inline(items))
 
 
 def require(df: DataFrame, checks: list[Rule]) -> DataFrame:
     """``df`` unchanged, or an error when a ``fail`` rule is violated. Call it before a write."""
     strict = [r for r in checks if r.action == FAIL]
     if strict:
-        counts = df.agg(*_counters(strict)).first()
+        counts = df.agg(*counters(strict)).first()
         broken = {r.name: counts[f"failed_{r.name}"] for r in strict if counts[f"failed_{r.name}"]}
         if broken:
             raise ExpectationError(f"violated expectations: {broken}")

@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lakewarden.sources.jsonlines import RESCUE, infer_schema, new_fields, parse
 from lakewarden.sources.tables import ANY_AGE, opened
+from lakewarden.streaming.ledger import record_files
 
 ADD, RESCUE_MODE, FAIL, NONE = "add", "rescue", "fail", "none"
 
@@ -93,24 +94,26 @@ class Ingest:
         for name, value in limits.items():
             if value is not None:
                 reader = reader.option(name, value)
-        return opened(self.source, reader.load)
+        return opened(self.source, reader.load).select("*", F.col("_metadata").alias("_file"))
 
     def _batch(self, spark: SparkSession,
                refused: list[NewFieldsError]) -> Callable[[DataFrame, int], None]:
         store = SchemaStore(spark, self.schema_path)
 
-        def write(lines: DataFrame, batch_id: int) -> None:
-            lines.persist()  # read for the schema and again for the write
+        def write(batch: DataFrame, batch_id: int) -> None:
+            batch.persist()  # read for the schema and again for the write
+            lines = batch.drop("_file")
             try:
                 schema = self._schema_for(lines, store)
                 query_id = spark.read.json(f"{self.checkpoint}/metadata").first()["id"]
                 parse(lines, schema, self.rescue).write.mode("overwrite").parquet(
                     f"{self.target}/query={query_id}/batch={batch_id}")
+                record_files(batch, self.checkpoint, batch_id)
             except NewFieldsError as e:
                 refused.append(e)
                 raise
             finally:
-                lines.unpersist()
+                batch.unpersist()
 
         return write
 

@@ -1,46 +1,74 @@
-"""What an ingest has processed and what is still waiting."""
+"""What streaming jobs have processed and what is still waiting.
+
+Every batch function writes its own rows to a folder beside the checkpoint, one sub-folder per
+batch that a repeated batch replaces. Nothing is read from the files that Spark keeps for itself, so
+old batches stay known however many follow. A checkpoint that is given up takes a new path.
+"""
 
 from __future__ import annotations
 
+import time
+from collections.abc import Sequence
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from lakewarden.operators.quality import Rule, counters, drop_rules_hold, enforce
 from lakewarden.sources.files import file_inventory
 
-ENTRY = "path string, timestamp bigint, batchId bigint"
+FILES = ("file_path string, modified_at timestamp, size_bytes bigint, row_count bigint,"
+         " batch_id bigint, committed_at timestamp")
+BATCHES = ("batch_id bigint, started_at timestamp, duration_ms bigint, input_rows bigint,"
+           " output_rows bigint")
+RULES = "batch_id bigint, name string, passed_records bigint, failed_records bigint"
+
+
+def _folder(checkpoint: str, kind: str) -> str:
+    return f"{checkpoint.rstrip('/')}-ledger/{kind}"
+
+
+def _write(rows: DataFrame, checkpoint: str, kind: str, batch_id: int) -> None:
+    rows.write.mode("overwrite").parquet(f"{_folder(checkpoint, kind)}/batch={batch_id}")
+
 
+def _read(spark: SparkSession, checkpoint: str, kind: str, schema: str) -> DataFrame:
+    reader = spark.read.schema(schema).option("recursiveFileLookup", True)
+    try:
+        return reader.parquet(_folder(checkpoint, kind))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)  # no batch has finished
 
-def processed_files(spark: SparkSession, checkpoint: str, source: str | None = None) -> DataFrame:
-    """Files of finished batches: path, file time, batch and commit time (and size).
 
-    Reads the log of the file source. Old entries are merged into compact files and may appear in
-    both, so entries are made distinct.
+def record_files(files: DataFrame, checkpoint: str, batch_id: int) -> None:
+    """Store the files of a batch; ``files`` has the ``_metadata`` of every row as ``_file``.
+
+    Call it in the batch function after the rows are written.
     """
-    text = spark.read.text(f"{checkpoint}/sources/0")
-    seen = text.filter(F.col("value").startswith("{")).select(
-        F.from_json("value", ENTRY).alias("e")).select(
-        F.url_decode("e.path").alias("file_path"),
-        F.timestamp_millis("e.timestamp").alias("modified_at"),
-        F.col("e.batchId").alias("batch_id")).distinct()
-    commits = spark.read.format("binaryFile").load(f"{checkpoint}/commits").select(
-        F.regexp_extract("path", r"(\d+)$", 1).try_cast("bigint").alias("batch_id"),
-        F.col("modificationTime").alias("committed_at"))
-    files = seen.join(commits, "batch_id")
-    if source is None:
-        return files
-    sizes = file_inventory(spark, source).select("file_path", "size_bytes")
-    # One spelling for local files, which the two listings write as file:/ and file:///.
-    spelled = F.regexp_replace("file_path", "^file:/+", "file:/")
-    return files.withColumn("file_path", spelled).join(
-        sizes.withColumn("file_path", spelled), "file_path", "left")
+    path = F.url_decode(F.replace("_file.file_path", F.lit("+"), F.lit("%2B")))
+    found = files.groupBy("_file.file_path").agg(
+        F.any_value(path).alias("path"), F.max("_file.file_modification_time").alias("modified_at"),
+        F.max("_file.file_size").alias("size_bytes"), F.count("*").alias("row_count"))
+    _write(found.select(
+        F.col("path").alias("file_path"), "modified_at", "size_bytes", "row_count",
+        F.lit(batch_id).cast("bigint").alias("batch_id"),
+        F.current_timestamp().alias("committed_at")), checkpoint, "files", batch_id)
+
+
+def processed_files(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Files of finished batches: path, file time, size, rows, batch and time of the commit."""
+    return _read(spark, checkpoint, "files", FILES)
 
 
 def backlog_files(spark: SparkSession, source: str, checkpoint: str) -> DataFrame:
-    """Files below ``source`` that no finished batch contains."""
+    """Files below ``source`` that no finished batch contains; files without a byte hold no rows."""
+    # One spelling for local files, which the two listings write as file:/ and file:///.
     spelled = F.regexp_replace("file_path", "^file:/+", "file:/")
     done = processed_files(spark, checkpoint).select(spelled.alias("file_path"))
-    return file_inventory(spark, source).withColumn("file_path", spelled).join(
-        done, "file_path", "left_anti")
+    return file_inventory(spark, source).filter("size_bytes > 0") \
+        .withColumn("file_path", spelled).join(done, "file_path", "left_anti")
 
 
 def backlog(spark: SparkSession, source: str, checkpoint: str) -> DataFrame:
@@ -49,27 +77,52 @@ def backlog(spark: SparkSession, source: str, checkpoint: str) -> DataFrame:
         F.count("*").alias("files"), F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("bytes"))
 
 
-def progress_table(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Recent progress of a query, one row per micro-batch; Spark keeps a bounded number.
+def run_recorded(stream: DataFrame, out: str, checkpoint: str,
+                 checks: Sequence[Rule] = ()) -> StreamingQuery:
+    """Write everything available now to a folder per batch, and record the counters of each batch.
 
-    Add up over the rows: the last batch may be an empty one.
+    Rows that violate a ``drop`` rule are left out; a violated ``fail`` rule ends the batch before
+    anything of it is written. Rows of a batch are computed once and kept until it is done.
     """
-    rows = [(p["batchId"], p["timestamp"], p["numInputRows"], p["sink"]["numOutputRows"],
-             int(p["durationMs"].get("triggerExecution", 0))) for p in query.recentProgress]
-    return spark.createDataFrame(
-        rows, "batch_id bigint, timestamp string, input_rows bigint, output_rows bigint,"
-        " duration_ms bigint")
-
-
-def rule_progress(spark: SparkSession, query: StreamingQuery, name: str) -> DataFrame:
-    """Passed and failed rows per rule and micro-batch of a query with observed rules."""
-    rows = []
-    for p in query.recentProgress:
-        seen = p["observedMetrics"].get(name)
-        if seen is not None:
-            counts = seen.asDict()
-            total = counts.pop("rows")
-            rows += [(p["batchId"], rule.removeprefix("failed_"), total - failed, failed)
-                     for rule, failed in counts.items()]
-    return spark.createDataFrame(
-        rows, "batch_id bigint, name string, passed_records bigint, failed_records bigint")
+    checks = list(checks)
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        began = time.time()
+        spark = rows.sparkSession
+        rows.persist()
+        try:
+            seen = rows.agg(*counters(checks), F.count_if(drop_rules_hold(checks)).alias("kept")).first()
+            enforce(rows, checks).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        finally:
+            rows.unpersist()
+        failed = [(batch_id, r.name, seen["rows"] - seen[f"failed_{r.name}"], seen[f"failed_{r.name}"])
+                  for r in checks]
+        _write(spark.createDataFrame(failed, RULES).coalesce(1), checkpoint, "rules", batch_id)
+        took = int(1000 * (time.time() - began))
+        batch = spark.createDataFrame([(batch_id, took, seen["rows"], seen["kept"])],
+                                      "batch_id long, duration_ms long, input_rows long, output_rows long")
+        _write(batch.select("batch_id", F.timestamp_millis(F.lit(int(began * 1000))).alias("started_at"),
+                            "duration_ms", "input_rows", "output_rows").coalesce(1),
+               checkpoint, "batches", batch_id)
+
+    query = (
+        stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return query
+
+
+def read_recorded(spark: SparkSession, out: str, schema) -> DataFrame:
+    """The rows that ``run_recorded`` has written."""
+    return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(out)
+
+
+def batch_counts(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Start, duration and rows of every batch that ``run_recorded`` has finished."""
+    return _read(spark, checkpoint, "batches", BATCHES)
+
+
+def rule_counts(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Passed and failed rows per rule of every batch that ``run_recorded`` has finished."""
+    return _read(spark, checkpoint, "rules", RULES)

@@ -7,9 +7,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lakewarden.operators.quality import DROP, Rule, apply_drops, expect_stream
+from lakewarden.operators.quality import DROP, Rule, apply_drops
 from lakewarden.sources.tables import ANY_AGE, opened
-from lakewarden.streaming.ledger import rule_progress
+from lakewarden.streaming.ledger import read_recorded, rule_counts, run_recorded
 
 # Hinted types of an inventory event.
 HINTS = ("event_id string, product_id string, warehouse string, event_type string,"
@@ -101,14 +101,13 @@ def medallion(spark: SparkSession, source: str, out: str, checkpoint: str,
               as_of: datetime) -> dict[str, DataFrame]:
     """Ingest new files to bronze, clean new bronze rows to silver, and recompute gold.
 
-    ``rules`` holds the counters of the rows that were cleaned in this call.
+    ``rules`` holds the counters of every batch that was ever cleaned.
     """
     run_once(bronze_ingest(spark, source), f"{out}/bronze", f"{checkpoint}/bronze")
     bronze = spark.read.parquet(f"{out}/bronze")
     stream = spark.readStream.schema(bronze.schema).option("maxFileAge", ANY_AGE).parquet(f"{out}/bronze")
-    observed = expect_stream(stream, silver_rules(as_of), "silver")
-    query = run_once(observed, f"{out}/silver", f"{checkpoint}/silver")
-    cleaned = spark.read.parquet(f"{out}/silver")
+    run_recorded(stream, f"{out}/silver", f"{checkpoint}/silver", silver_rules(as_of))
+    cleaned = read_recorded(spark, f"{out}/silver", bronze.schema)
     inventory_summary(cleaned).write.mode("overwrite").parquet(f"{out}/gold")
     return {"bronze": bronze, "silver": cleaned, "gold": spark.read.parquet(f"{out}/gold"),
-            "rules": rule_progress(spark, query, "silver")}
+            "rules": rule_counts(spark, f"{checkpoint}/silver")}

@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F, types as T
 
+from lakewarden.operators import quality
 from lakewarden.session import fresh_dir, work_root
 from lakewarden.sources import files, generators, jsonlines, layout, snapshots, tables
 from lakewarden.streaming import ingest, ledger, logs, medallion
@@ -106,12 +107,12 @@ def test_lost_checkpoint_doubles_rows_unless_the_target_is_new(spark):
 def test_throttle_ledger_and_backlog(spark):
     setup = job(spark, ingest.ADD, max_files=2)
     arrive(spark, setup, 1)
-    query = setup.run(spark)
-    done = ledger.processed_files(spark, setup.checkpoint, setup.source)
+    setup.run(spark)
+    done = ledger.processed_files(spark, setup.checkpoint)
     assert done.count() == 5
     assert sorted(r["count"] for r in done.groupBy("batch_id").count().collect()) == [1, 2, 2]
     assert done.filter("size_bytes > 0 AND committed_at IS NOT NULL").count() == 5
-    assert ledger.progress_table(spark, query).agg(F.sum("input_rows")).first()[0] == 500
+    assert done.agg(F.sum("row_count")).first()[0] == 500
     arrive(spark, setup, 2)
     waiting = ledger.backlog_files(spark, setup.source, setup.checkpoint).filter(
         "file_path LIKE '%.txt'")
@@ -127,6 +128,40 @@ def test_many_batches_survive_log_compaction(spark):
     assert ledger.processed_files(spark, setup.checkpoint).count() == 15
 
 
+def test_ledger_outlives_the_commits_that_spark_keeps(spark):
+    keep = spark.conf.get("spark.sql.streaming.minBatchesToRetain")
+    spark.conf.set("spark.sql.streaming.minBatchesToRetain", "2")
+    try:
+        setup = job(spark, ingest.ADD, max_files=1)
+        assert ledger.processed_files(spark, setup.checkpoint).count() == 0
+        arrive(spark, setup, 1)
+        setup.run(spark)
+        arrive(spark, setup, 2)
+        setup.run(spark)
+    finally:
+        spark.conf.set("spark.sql.streaming.minBatchesToRetain", keep)
+    done = ledger.processed_files(spark, setup.checkpoint)
+    assert done.agg(F.count("*"), F.sum("row_count"), F.countDistinct("batch_id")).first() == (10, 1000, 10)
+    assert ledger.backlog(spark, setup.source, setup.checkpoint).first()["files"] == 0
+
+
+def test_recorded_counters_of_a_stateful_stream(spark):
+    root = fresh_dir(spark, "recorded")
+    rows = spark.range(300).selectExpr("id", "id % 100 AS key", "TIMESTAMP '2024-01-01' AS ts")
+    rows.repartition(6).write.parquet(f"{root}/in")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    checks = [quality.Rule("small", "key < 50", quality.DROP)]
+    ledger.run_recorded(medallion.dedup_stream(stream, "key", "ts"), f"{root}/out", f"{root}/ck", checks)
+    out = ledger.read_recorded(spark, f"{root}/out", rows.schema)
+    assert out.count() == 50
+    batches = ledger.batch_counts(spark, f"{root}/ck")
+    assert batches.agg(F.sum("input_rows"), F.sum("output_rows")).first() == (100, 50)
+    assert batches.select("batch_id").distinct().count() == batches.count() >= 6
+    rule = ledger.rule_counts(spark, f"{root}/ck").groupBy("name").agg(
+        F.sum("passed_records"), F.sum("failed_records")).collect()
+    assert rule == [("small", 50, 50)]
+
+
 def test_byte_limit_is_accepted(spark):
     setup = job(spark, ingest.ADD, max_bytes=1024)
     arrive(spark, setup, 1)
