@@ -15,7 +15,7 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     neighbours, so a round at least halves the nodes with edges left. All tables are joined by
     key and stored per round; nothing is collected. An empty edge list gives an empty table.
     """
-    edges = scratch.save(edges.filter("a <> b").distinct(), "edges")
+    edges = scratch.save(edges.filter("a <> b").select("a", "b"), "edges")
     labels = None
     while not edges.isEmpty():
         both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))

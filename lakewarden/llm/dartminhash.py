@@ -187,12 +187,9 @@ def _agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [batch.column(0), batch.column(1), pa.array(same)], ["a", "b", "agreement"])
 
 
-def _links(members: DataFrame, labels: DataFrame | None, neighbours: int) -> tuple[DataFrame, DataFrame]:
-    """Candidate links (a < b) between components, and the members of buckets that have several.
-
-    Members of one bucket are first counted with map-side aggregation; a bucket of more than PIECE
-    members is put in order in pieces, so no task gets a whole large bucket.
-    """
+def _divided(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """The members of buckets that hold several components, with the size and the smallest member
+    of the bucket. Members of one bucket are counted with map-side aggregation."""
     if labels is None:
         here = members.withColumn("comp", F.col("node"))
     else:
@@ -202,12 +199,15 @@ def _links(members: DataFrame, labels: DataFrame | None, neighbours: int) -> tup
         F.count("*").alias("n"), F.min("node").alias("lead"), F.min("comp").alias("low"),
         F.max("comp").alias("high"),
     ).filter("low <> high")
-    divided = here.join(sizes.select("bucket", "n", "lead", "low"), "bucket")
-    # The smallest member's component is that of the lead or smaller; the lead's own is needed
-    # only to skip links inside a component, which the labels of both ends tell later.
+    return here.join(sizes.select("bucket", "n", "lead"), "bucket")
+
+
+def _links(divided: DataFrame, neighbours: int) -> DataFrame:
+    """Candidate links (a < b) between members of divided buckets. A bucket of more than PIECE members
+    is put in order in pieces, so no task gets a whole large bucket."""
     stars = divided.filter("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b"))
     if not neighbours:
-        return stars.distinct(), divided
+        return stars.distinct()
     piece = Window.partitionBy("bucket", F.expr(f"pmod(xxhash64(node), ceil(n / {PIECE}))")) \
         .orderBy("node")
     after = [F.lead(F.struct("node", "comp"), j).over(piece) for j in range(1, neighbours + 1)]
@@ -215,7 +215,29 @@ def _links(members: DataFrame, labels: DataFrame | None, neighbours: int) -> tup
         .select("node", "comp", F.explode("after").alias("other")) \
         .filter("other.comp <> comp") \
         .select(F.least("node", "other.node").alias("a"), F.greatest("node", "other.node").alias("b"))
-    return stars.union(near).distinct(), divided
+    return stars.union(near).distinct()
+
+
+def _with_roots(pairs: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Pairs (a, b) with the components (ra, rb) of their ends; a node without a label is its own."""
+    if labels is None:
+        return pairs.withColumns({"ra": F.col("a"), "rb": F.col("b")})
+    for end in ("a", "b"):
+        pairs = pairs.join(labels.select(F.col("node").alias(end), F.col("root").alias(f"_r{end}")), end, "left")
+    return pairs.select("a", "b", F.coalesce("_ra", "a").alias("ra"), F.coalesce("_rb", "b").alias("rb"))
+
+
+def _merged(labels: DataFrame | None, fresh: DataFrame, scratch: Scratch) -> DataFrame:
+    """``labels`` after new links. Only the new links are searched, between the components they join."""
+    found = components(_with_roots(fresh, labels).select(F.col("ra").alias("a"), F.col("rb").alias("b")), scratch)
+    if labels is None:
+        return found
+    moved = labels.join(found.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left") \
+        .select("node", F.coalesce("top", "root").alias("root"))
+    added = found.join(labels.select("node"), "node", "left_anti").select("node", "root")
+    out = scratch.save(moved.union(added), "labels")
+    scratch.drop(labels, found)
+    return out
 
 
 def near_duplicates(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
@@ -244,22 +266,17 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     scratch.drop(signed)
     scratch.release()
 
-    labels, links = None, None
+    labels = None
     level, neighbours = 0, 0
     while True:
-        pairs, divided = _links(members, labels, neighbours)
+        divided = _divided(members, labels)
         if level:
-            divided = scratch.save(divided.select("bucket", "node", "n"), "divided")
-        if labels is not None:
-            for end in ("a", "b"):
-                pairs = pairs.join(labels.select(F.col("node").alias(end), F.col("root").alias(f"r{end}")),
-                                   end, "left")
-            pairs = pairs.filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
+            divided = scratch.save(divided, "divided")
+        pairs = _with_roots(_links(divided, neighbours), labels).filter("ra <> rb").select("a", "b")
         fresh = scratch.save(verified(pairs, kept, similarity), "links")
-        links = fresh if links is None else scratch.save(links.union(fresh), "all-links")
         if not fresh.isEmpty():
-            old, labels = labels, components(links, scratch)
-            scratch.drop(old)
+            labels = _merged(labels, fresh, scratch)
+        scratch.drop(fresh)
         scratch.release()
         if level == LEVELS:
             break
@@ -267,19 +284,20 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
         if level == 1:
             neighbours = NEIGHBOURS
             continue
-        # What is still divided after its pairs were looked at, and too large for all of them.
-        again = divided.withColumn("comp", F.col("node")) if labels is None else \
-            divided.join(labels, "node", "left").withColumn("comp", F.coalesce("root", "node"))
-        large = again.filter(F.col("n") > NEIGHBOURS + 1)
-        open_ = large.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")) \
-            .filter("x <> y").select("bucket")
-        finer = large.join(open_, "bucket", "left_semi").select("bucket", "node") \
-            .join(kept.select("node", "sig"), "node").select("bucket", "node", "sig") \
+        # What is too large for all its pairs. After the first round many such buckets are one
+        # component by now; later the few of them go when their parts are counted.
+        large = divided.filter(F.col("n") > NEIGHBOURS + 1).select("bucket", "node")
+        if level == 2 and labels is not None:
+            open_ = large.join(labels, "node", "left").withColumn("comp", F.coalesce("root", "node")) \
+                .groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")) \
+                .filter("x <> y").select("bucket")
+            large = large.join(open_, "bucket", "left_semi")
+        finer = large.join(kept.select("node", "sig"), "node").select("bucket", "node", "sig") \
             .mapInArrow(_split(level), "bucket long, node long")
         finer = scratch.save(finer, "finer")
         if finer.isEmpty():
             break
-        scratch.drop(members)
+        scratch.drop(members, divided)
         members = finer
 
     scratch.drop(kept)
