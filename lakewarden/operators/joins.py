@@ -10,12 +10,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 def fits(df: DataFrame, max_rows: int = 100_000, max_bytes: int = 32 << 20) -> bool:
     """True when ``df`` is proven to stay within both bounds.
 
-    Looks at ``max_rows + 1`` rows at most. The row text is an upper estimate of the row size.
+    Rows are counted first, bytes only of a table with few of them; both are added up where the
+    rows are, so no task gets them. The row text is an upper estimate of the row size.
     """
+    if df.count() > max_rows:
+        return False
     text = F.length(F.to_json(F.struct("*")))
-    seen = df.limit(max_rows + 1).select(text.alias("n")).agg(
-        F.count("*").alias("rows"), F.sum("n").alias("bytes")).first()
-    return seen["rows"] <= max_rows and (seen["bytes"] or 0) <= max_bytes
+    return (df.agg(F.sum(text).alias("bytes")).first()["bytes"] or 0) <= max_bytes
 
 
 def lookup_join(fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "inner",
@@ -52,29 +53,38 @@ def left_lookup(fact: DataFrame, dim: DataFrame, key: str, spread: str,
 
 
 def hot_keys(df: DataFrame, key: str, parts: int) -> DataFrame:
-    """Keys that hold more than ``1/parts`` of all rows, so fewer than ``parts`` of them."""
+    """Keys that hold more than ``1/parts`` of all rows, so fewer than ``parts`` of them, with the
+    number of parts (``_salts``) that such a share stands for."""
     counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
     total = counts.agg(F.sum("_n").alias("t")).select("t").scalar()
-    return counts.filter(F.col("_n") * F.lit(parts) > total).select(key)
+    salts = F.ceil(F.col("_n") * F.lit(parts) / total).cast("int")
+    return counts.filter(F.col("_n") * F.lit(parts) > total).select(key, salts.alias("_salts"))
 
 
-def salted_join(left: DataFrame, right: DataFrame, key: str, spread: str, salts: int = 16,
-                parts: int = 64, how: str = "inner") -> DataFrame:
-    """Equi join that divides the hot keys of ``left`` over ``salts`` tasks.
+def salted_join(left: DataFrame, right: DataFrame, key: str, spread: str,
+                parts: int | None = None, how: str = "inner") -> DataFrame:
+    """Equi join that divides the hot keys of ``left`` over tasks by their share of the rows.
 
-    Only keys above ``1/parts`` of the rows are salted. There are fewer than ``parts`` of them,
-    which bounds the broadcast of the key list; the matching rows of ``right`` are repeated
-    ``salts`` times and no others.
+    Only keys above ``1/parts`` of the rows are salted, each ``parts`` times its share; the default
+    is the number of shuffle partitions or of the cluster's cores, 64 at least. There are fewer
+    than ``parts`` such keys, which bounds the broadcast of the key list, and their rows of
+    ``right`` are repeated as often as they have salts, no others. NULL keys find no partner and
+    are divided too.
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join repeats rows of the right side: use inner or left")
-    hot = F.broadcast(hot_keys(left, key, parts).withColumn("_hot", F.lit(True)))
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(salts))).otherwise(F.lit(0))
-    salted = left.join(hot, key, "left").withColumn("_salt", salt.cast("int")).drop("_hot")
-    last = F.when(F.col("_hot"), F.lit(salts - 1)).otherwise(F.lit(0))
+    spark = left.sparkSession
+    if parts is None:
+        parts = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")),
+                    spark.sparkContext.defaultParallelism)
+    hot = F.broadcast(hot_keys(left, key, parts))
+    wide = F.when(F.col(key).isNull(), F.lit(parts)).otherwise(F.coalesce("_salts", F.lit(1)))
+    salted = left.join(hot, key, "left") \
+        .withColumn("_salt", F.pmod(F.xxhash64(spread), wide).cast("int")).drop("_salts")
+    last = F.coalesce("_salts", F.lit(1)) - 1
     repeated = (
         right.join(hot, key, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), last))).drop("_hot")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), last))).drop("_salts")
     )
     return salted.join(repeated, [key, "_salt"], how).drop("_salt")
 

@@ -74,6 +74,19 @@ def test_salted_join_divides_the_hot_key(spark):
     assert len(counts) > 3
 
 
+def test_salted_left_join_keeps_null_keys(spark):
+    left = spark.range(1000).selectExpr("CASE WHEN id % 2 = 0 THEN id % 10 END AS k", "id AS v")
+    right = spark.range(20).selectExpr("id AS k", "id + 1 AS w")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = joins.salted_join(left, right.hint("shuffle_hash"), "k", "v", how="left")
+        assert rows(joined) == rows(left.join(right, "k", "left"))
+        merged = joins.salted_join(left.hint("merge"), right, "k", "v", how="left")
+        assert rows(merged) == rows(left.join(right, "k", "left"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_left_lookup_spreads_null_keys(spark):
     fact = spark.range(1000).selectExpr("CASE WHEN id % 2 = 0 THEN id END AS k", "id AS v")
     dim = spark.range(500).selectExpr("id AS k", "id + 1 AS w")
