@@ -13,12 +13,14 @@ all ROWS coordinates of one of BANDS bands share a bucket (a pair at 0.8 is miss
 probability below 1e-3). Links are found in rounds, never by all pairs of a bucket:
 
 1. every member is linked to the bucket's smallest member;
-2. buckets whose members are still in different components: links to the next members in
-   signature order too, which covers all pairs of a bucket up to NEIGHBOURS + 1 members;
-3. larger buckets that are still divided are split by four further coordinates, in two ways, and
-   go through step 2 again until none is left. A pair at 0.8 stays together in 0.82 of the two on
-   average, at each step and for each of the about eight buckets it shares at first, while
-   buckets of less similar texts, at 0.5 for example, lose seven rows of eight.
+2. buckets whose members are still in different components: links to the next members in the order
+   of the nodes too (a random one), which covers all pairs of a bucket up to NEIGHBOURS + 1 members;
+3. all members of larger buckets that are still divided: an exact join. Two texts that are alike
+   have one of the rarest elements of each in common, so texts meet that share such an element
+   and are not all of one component. They are compared in blocks by products of their element
+   matrices; of a block only links between different components come out, never its pairs.
+
+So two alike texts are in one class if they share a bucket, whatever its size.
 
 Every link is checked exactly on the element sets. Classes are connected components of links.
 
@@ -45,8 +47,9 @@ K = 128
 ROWS, BANDS = 8, 48
 NEIGHBOURS = 3
 PIECE = 4096          # members of a bucket that are put in order together
-SPLIT_ROWS, SPLIT_WAYS = 4, 2
-LEVELS = 6
+SLOTS = 1 << 18       # counters of elements; texts that share one only lose selectivity
+BLOCK, STRIP, COLUMNS = 1 << 16, 256, 1024  # elements of a block; rows and elements multiplied at once
+LEAST = 32            # elements a text counts for at least, so a block has at most BLOCK / LEAST texts
 SLACK = 0.17          # a link is checked when the signatures agree in this much less than asked
 
 _U = np.uint64
@@ -167,16 +170,98 @@ def _band(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["bucket", "node"])
 
 
-def _split(level: int):
+def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many elements fall into each slot."""
+    total = np.zeros(SLOTS, np.int64)
+    for batch in batches:
+        total += np.bincount(_slot(batch.column(0).flatten().to_numpy()), minlength=SLOTS)
+    at = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["slot", "n"])
+
+
+def _slot(element: np.ndarray) -> np.ndarray:
+    return element.astype(np.int64) & (SLOTS - 1)
+
+
+def _prefixes(counts, similarity: float):
+    """The rarest elements of every text, as many as one that is alike must share at least one of.
+    Those no other text can have are left out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        subsets = _subsets(SPLIT_ROWS, SPLIT_WAYS, 100 + level)
+        seen = counts.value
         for batch in batches:
-            sig = _matrix(batch.column(2))
-            old = batch.column(0).to_numpy().view(_U)
-            bucket = mix(old[:, None] ^ _combined(sig, subsets)).reshape(-1)
-            rows = pa.array(np.repeat(np.arange(len(sig)), SPLIT_WAYS))
+            tokens, sizes = [], []
+            for own in batch.column(2):
+                value = own.values.to_numpy()
+                sizes.append(len(value))
+                value = np.unique(value)
+                n = seen[_slot(value)]
+                order = np.lexsort((value, n))[:max(0, len(value) - int(np.ceil(similarity * sizes[-1] - 1e-6)) + 1)]
+                tokens.append(value[order][n[order] > 1])
+            rows = pa.array(np.repeat(np.arange(len(sizes)), [len(t) for t in tokens]))
             yield pa.RecordBatch.from_arrays(
-                [_signed(bucket), batch.column(1).take(rows)], ["bucket", "node"])
+                [pa.array(np.concatenate([*tokens, np.zeros(0, np.int32)]).astype(np.int32)),
+                 batch.column(0).take(rows), batch.column(1).take(rows),
+                 pa.array(np.array(sizes, np.int32)).take(rows)], ["token", "node", "root", "size"])
+    return run
+
+
+def _compared(similarity: float):
+    """Links of a block or between two blocks, at most one less than they have components."""
+    def run(rows: pa.Table) -> pa.Table:
+        block, x, y = (rows.column(c).to_numpy() for c in ("block", "x", "y"))
+        node, root = rows.column("node").to_numpy(), rows.column("root").to_numpy()
+        lists = rows.column("elements").combine_chunks()
+        size = lists.value_lengths().to_numpy()
+        pair = np.unique((np.repeat(np.arange(len(size)), size).astype(_U) << _U(32))
+                         | lists.flatten().to_numpy().view(np.uint32).astype(_U))
+        owner = (pair >> _U(32)).astype(np.int64)
+        _, code, often = np.unique(pair & _U(0xFFFFFFFF), return_inverse=True, return_counts=True)
+        owner, code = owner[often[code] > 1], code[often[code] > 1]
+        left, right = np.flatnonzero(block == x[0]), np.flatnonzero(block == y[0])
+        at = np.full(len(node), -1)
+        at[right] = np.arange(len(right))
+        there = at[owner] >= 0
+        r_row, r_code = at[owner[there]], code[there]
+        up: dict[int, int] = {}
+
+        def top(v: int) -> int:
+            while (w := up.get(v, v)) != v:
+                up[v] = up.get(w, w)
+                v = w
+            return v
+
+        out = []
+        for low in range(0, len(left), STRIP):
+            strip = left[low:low + STRIP]
+            at = np.full(len(node), -1)
+            at[strip] = np.arange(len(strip))
+            here = at[owner] >= 0
+            l_row, l_code = at[owner[here]], code[here]
+            column = np.full(len(often), -1)
+            known = np.intersect1d(l_code, r_code)
+            column[known] = np.arange(len(known))
+            both = np.zeros((len(strip), len(right)), np.float32)
+            for c in range(0, len(known), COLUMNS):
+                sides = []
+                for row, col, n in ((l_row, column[l_code], len(strip)), (r_row, column[r_code], len(right))):
+                    inside = (col >= c) & (col < c + COLUMNS)
+                    side = np.zeros((n, min(COLUMNS, len(known) - c)), np.float32)
+                    side[row[inside], col[inside] - c] = 1
+                    sides.append(side)
+                both += sides[0] @ sides[1].T
+            both = both.astype(np.float64)
+            alike = both >= similarity * (size[strip][:, None] + size[right][None, :] - both)
+            i, j = np.nonzero(alike & (root[strip][:, None] != root[right][None, :]))
+            a, b = strip[i], right[j]
+            _, first = np.unique(np.stack((root[a], root[b])), axis=1, return_index=True)
+            for k in first.tolist():
+                p, q = top(int(root[a[k]])), top(int(root[b[k]]))
+                if p != q:
+                    up[max(p, q)] = min(p, q)
+                    out.append((node[a[k]], node[b[k]]))
+        found = np.array(out, np.int64).reshape(-1, 2)
+        return pa.table({"a": found.min(axis=1, initial=np.iinfo(np.int64).max),
+                         "b": found.max(axis=1, initial=np.iinfo(np.int64).min)})
     return run
 
 
@@ -267,10 +352,9 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     scratch.release()
 
     labels = None
-    level, neighbours = 0, 0
-    while True:
+    for neighbours in (0, NEIGHBOURS):
         divided = _divided(members, labels)
-        if level:
+        if neighbours:
             divided = scratch.save(divided, "divided")
         pairs = _with_roots(_links(divided, neighbours), labels).filter("ra <> rb").select("a", "b")
         fresh = scratch.save(verified(pairs, kept, similarity), "links")
@@ -278,27 +362,18 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
             labels = _merged(labels, fresh, scratch)
         scratch.drop(fresh)
         scratch.release()
-        if level == LEVELS:
-            break
-        level += 1
-        if level == 1:
-            neighbours = NEIGHBOURS
-            continue
-        # What is too large for all its pairs. After the first round many such buckets are one
-        # component by now; later the few of them go when their parts are counted.
-        large = divided.filter(F.col("n") > NEIGHBOURS + 1).select("bucket", "node")
-        if level == 2 and labels is not None:
-            open_ = large.join(labels, "node", "left").withColumn("comp", F.coalesce("root", "node")) \
-                .groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")) \
-                .filter("x <> y").select("bucket")
-            large = large.join(open_, "bucket", "left_semi")
-        finer = large.join(kept.select("node", "sig"), "node").select("bucket", "node", "sig") \
-            .mapInArrow(_split(level), "bucket long, node long")
-        finer = scratch.save(finer, "finer")
-        if finer.isEmpty():
-            break
-        scratch.drop(members, divided)
-        members = finer
+    # What is too large for all its pairs. Many such buckets are one component by now.
+    large = divided.filter(F.col("n") > NEIGHBOURS + 1).select("bucket", "node")
+    open_ = scratch.save(
+        _divided(large, labels).select("node", F.col("comp").alias("root")).distinct(), "open")
+    scratch.drop(members, divided)
+    if not open_.isEmpty():
+        fresh = scratch.save(_exact(open_, kept, similarity, scratch), "links")
+        if not fresh.isEmpty():
+            labels = _merged(labels, fresh, scratch)
+        scratch.drop(fresh)
+    scratch.drop(open_)
+    scratch.release()
 
     scratch.drop(kept)
     rows = named
@@ -337,6 +412,38 @@ def verified(pairs: DataFrame, kept: DataFrame, similarity: float) -> DataFrame:
         .select("a", "b")
 
 
+def _exact(open_: DataFrame, kept: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
+    """Links (a, b) that connect all components of ``open_`` (node, root) with alike texts.
+
+    Of elements that the same texts have in front one is enough. A group is cut into blocks of about
+    BLOCK elements, and every two blocks meet in a task, so a row goes out once per block of its group.
+    """
+    context = open_.sparkSession.sparkContext
+    sets = scratch.save(kept.join(open_, "node").select("node", "root", "elements"), "sets")
+    found = sets.select("elements").mapInArrow(_tally, "slot int, n long") \
+        .groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(SLOTS, np.int64)
+    counts[found.column("slot").to_numpy()] = found.column("n").to_numpy()
+    first = scratch.save(
+        sets.mapInArrow(_prefixes(context.broadcast(counts), similarity),
+                        "token int, node long, root long, size int"), "first")
+    groups = first.groupBy("token").agg(
+        F.count("*").alias("n"), F.sum(F.greatest("size", F.lit(LEAST))).alias("total"),
+        F.min("root").alias("low"), F.max("root").alias("high"),
+        F.bit_xor(F.xxhash64("node")).alias("k"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("m"),
+    ).filter("low <> high").groupBy("n", "k", "m").agg(F.min("token").alias("token"), F.min("total").alias("total"))
+    blocks = F.ceil(F.col("total") / BLOCK).cast("int")
+    placed = first.join(groups.select("token", blocks.alias("blocks")), "token") \
+        .withColumn("block", F.pmod(F.xxhash64("node", F.lit(2)), "blocks").cast("int")) \
+        .select("token", "node", "block", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other")) \
+        .select("token", "node", "block", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
+    links = scratch.save(
+        placed.join(sets, "node").groupBy("token", "x", "y")
+        .applyInArrow(_compared(similarity), "a long, b long").distinct(), "exact")
+    scratch.drop(sets, first)
+    return links
+
+
 def one_of_each(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     """The rows of ``docs`` with the smallest doc_id of each class; columns as they came. Of rows
     that repeat that doc_id one stays."""

@@ -274,6 +274,43 @@ def test_near_copies_equal_brute_force(spark):
     assert kept.columns == documents(spark, texts).columns
 
 
+def edited(rng, words, share):
+    """The words with single ones exchanged until only ``share`` of the base's shingles are left."""
+    out, kept = list(words), set(range(len(words) - 4))
+    while len(kept) > share * (len(words) - 4):
+        at = rng.randrange(len(words))
+        out[at] = f"x{rng.random()}"
+        kept -= set(range(at - 4, at + 1))
+    return " ".join(out)
+
+
+def matrix_classes(texts, similarity=0.8):
+    """``brute_classes`` of many texts without a repeated shingle, by one product of matrices."""
+    place, sets = {}, [[*weighted(t)] for t in texts]
+    own = np.zeros((len(texts), len({e for s in sets for e in s})), np.float32)
+    for i, s in enumerate(sets):
+        own[i, [place.setdefault(e, len(place)) for e in s]] = 1
+    both, n = own @ own.T, own.sum(axis=1)
+    alike, root = both >= similarity * (n[:, None] + n - both) - 1e-4, np.arange(len(texts))
+    while (low := np.where(alike, root, len(texts)).min(axis=1)).tolist() != root.tolist():
+        root = low
+    return root.tolist()
+
+
+def test_links_of_large_divided_buckets_are_all_found(spark):
+    rng = random.Random(9)
+    base = text(400, 24).split()
+    # 0.68 alike, and just above 0.8 to a few that are almost the base.
+    texts = [edited(rng, base, rng.uniform(0.9, 0.92)) for _ in range(800)]
+    texts += [edited(rng, base, 0.99) for _ in range(3)]
+    half = text(401, 24).split()  # many alike at about 0.6, with pairs above 0.8 among them
+    for _ in range(250):
+        one = edited(rng, half, 0.87)
+        texts += [one, edited(rng, one.split(), 0.92)]
+    rows = by_id(dartminhash.near_duplicates(documents(spark, texts)))
+    assert [rows[i]["class_id"] for i in range(len(texts))] == matrix_classes(texts)
+
+
 def test_signatures_estimate_weighted_similarity():
     from lakewarden.llm.flat import Flat
 
