@@ -1,11 +1,14 @@
 """Substring dedup by sliding runs of sentences.
 
 A sentence ends after a word that ends with ``.``, ``!`` or ``?``, at a line end, before a word that
-starts with a capital, and after a word whose hash is a multiple of CUT, which divides long
-sentences at the same words wherever they occur. So a passage set into the middle of another
-sentence falls into the same sentences as elsewhere, but for its edges.
-
-From every sentence the shortest run with at least SENTENCES sentences and WORDS words is hashed. The
+starts with a capital. Of any WINDOW words of a text in a row at least one ends a sentence: if none
+does by these rules, the one with the smallest hash (the last of equal ones), so no sentence is
+longer than WINDOW words and places depend on less than WINDOW words around them. A passage set into
+the middle of another sentence falls into the same sentences as elsewhere, but for its edges.
+
+From every sentence the shortest run with at least SENTENCES sentences and WORDS words is hashed, and
+the one of two sentences if they have WORDS words. So a passage of 51 words holds a complete run
+wherever it stands: a run starts within its first 11 words and is over 29 words later. The
 first place of a run is the one with the smallest doc_id, then the earliest in the text; every
 sentence covered by the run at any other place is removed. Runs are counted over all texts: a
 grouped minimum with map-side aggregation, then a join by hash, which adaptive execution splits
@@ -28,7 +31,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from lakewarden.llm.flat import Flat, mix, occurrence, powers, slices
 from lakewarden.llm.scratch import Scratch
 
-SENTENCES, WORDS, CUT = 3, 20, 8
+SENTENCES, WORDS, WINDOW = 3, 20, 10
 NO_ID = -(1 << 63)
 
 _U = np.uint64
@@ -36,6 +39,24 @@ _STOP = np.zeros(256, bool)
 _STOP[[ord(c) for c in ".!?"]] = True
 
 
+def _window_ends(word: np.ndarray, opens: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """The word that ends a sentence for every WINDOW words in a row of one text: the last one before
+    a word that ``opens`` one, else the one with the smallest hash."""
+    count = len(word) - WINDOW + 1
+    if count <= 0:
+        return np.zeros(0, np.int64)
+    key = mix(word + _U(5)) | _U(1)
+    key[:-1][opens[1:]] = 0
+    least, at = key[:count].copy(), np.arange(count)
+    for j in range(1, WINDOW):
+        other = key[j:count + j]
+        smaller = other <= least
+        least[smaller] = other[smaller]
+        at[smaller] = np.flatnonzero(smaller) + j
+    doc = np.repeat(np.arange(len(begin) - 1), np.diff(begin))
+    return at[doc[:count] == doc[WINDOW - 1:]]
+
+
 class Runs:
     """Sentences and runs of the texts of a slice, as arrays over all of them.
 
@@ -58,15 +79,19 @@ class Runs:
             capital |= (head == 0xC3) & (second >= 0x80) & (second <= 0x9E) & (second != 0x97)
             opens |= capital
             opens[1:] |= _STOP[data[ends[:-1] - 1]] | (lines[starts[1:]] > lines[ends[:-1]])
-            opens[1:] |= (mix(word[:-1] + _U(5)) >> _U(32)) % _U(CUT) == 0
+            at = _window_ends(word, opens, of_doc) + 1
+            opens[at[at < n]] = True
         self.first_word = np.flatnonzero(opens)
         self.starts, self.flat = starts, flat
         self.doc = flat.doc_of(starts[self.first_word])
         self.begin = np.searchsorted(self.first_word, of_doc)
         edges = np.append(self.first_word, n)
         low = np.arange(len(self.first_word))
-        high = np.maximum(low + SENTENCES, np.searchsorted(edges, self.first_word + WORDS))
-        fits = high <= self.begin[self.doc + 1]
+        enough = np.searchsorted(edges, self.first_word + WORDS)
+        high = np.maximum(low + SENTENCES, enough)
+        two = np.flatnonzero(enough == low + 2)
+        low, high = np.insert(low, two, two), np.insert(high, two, two + 2)
+        fits = high <= self.begin[self.doc[low] + 1]
         self.low, self.high = low[fits], high[fits]
         total = np.concatenate(([_U(0)], np.cumsum(mix(word) * powers(n), dtype=_U)))
         a, b = edges[self.low], edges[self.high]

@@ -98,6 +98,22 @@ def test_repeated_passage_goes_from_all_but_the_first(spark):
             assert rows[i]["text"] == texts[i] and rows[i]["removed_sentences"] == 0
 
 
+def test_every_lower_case_passage_of_51_words_is_found(spark):
+    rng = random.Random(12)
+
+    def plain(n):
+        return "".join(rng.choice(["ba", "ko", "ti", "ru"]) + rng.choice("lmnprst") + str(rng.randint(0, 99)) + " "
+                       for _ in range(n)).split()
+
+    passages = [plain(51) for _ in range(300)]
+    passages += [rng.choices(plain(3), k=51) for _ in range(30)]
+    texts = [" ".join(plain(rng.randint(20, 60)) + p + plain(rng.randint(20, 60))) for _ in range(2) for p in passages]
+    rows = by_id(spans.without_repeated_spans(documents(spark, texts)))
+    n = len(passages)
+    assert all(rows[n + i]["removed_words"] >= 20 for i in range(n))
+    assert all(rows[i]["removed_words"] == 0 for i in range(300))
+
+
 def test_spans_of_odd_rows(spark):
     docs = odd_documents(spark)
     rows = spans.without_repeated_spans(docs).collect()
