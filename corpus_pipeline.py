@@ -13,9 +13,13 @@ from lakewarden.llm.ship import ship
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a language (``und``); a missing lang is filled with the found one."""
+    """Drops documents without a language (``und``); a missing lang is filled with the found one.
+    Without any label to learn from it stays null, and only texts that are null or have no letter go."""
     ship(spark)
-    found = langid.identify(docs, learned(docs), "_lang", "_score").filter(F.col("_lang") != langid.NONE)
+    model = learned(docs)
+    if not model.langs:  # nothing says that a text has no language, but that it has no letter
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    found = langid.identify(docs, model, "_lang", "_score").filter(F.col("_lang") != langid.NONE)
     return found.withColumn("lang", F.coalesce("lang", "_lang")).select(*docs.columns)
 
 

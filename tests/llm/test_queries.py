@@ -1,6 +1,7 @@
 """Registered queries and the pipeline on the smallest tables."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -52,3 +53,11 @@ def test_clean_documents_stay(spark):
         docs = stage(spark, docs, FOLDER)
         assert docs.count() == 60, name
     assert sorted(r["text"] for r in docs.collect()) == sorted(texts)
+
+
+def test_language_stage_without_labels_keeps_texts(spark):
+    texts = [text(600 + i, 5) for i in range(8)] + [None, "", "12 34"]
+    docs = documents(spark, texts).withColumn("lang", F.lit(None).cast("string"))
+    out = corpus_pipeline.language(spark, docs, FOLDER)
+    assert out.columns == docs.columns
+    assert sorted(r["text"] for r in out.collect()) == sorted(texts[:8])
