@@ -36,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakewarden.llm.components import components
 from lakewarden.llm.flat import Flat, mix, occurrence, slices, unit
@@ -115,6 +115,18 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
+def _node_of(lower: Column) -> Column:
+    """The node of a lower-case text, as ``_sign`` gives it."""
+    @F.pandas_udf("long")
+    def node(texts):
+        import pandas as pd
+
+        keys = [elements(flat)[2].view(np.int64) for _, flat in slices(pa.array(texts, pa.string()), rows=512)]
+        return pd.Series(np.concatenate(keys) if keys else np.zeros(0, np.int64))
+
+    return node(lower)
+
+
 def _fixed(matrix: np.ndarray) -> pa.Array:
     """A binary column with one row of the matrix in each value."""
     wide = matrix.shape[1] * matrix.itemsize
@@ -328,6 +340,11 @@ def _merged(labels: DataFrame | None, fresh: DataFrame, scratch: Scratch) -> Dat
 def near_duplicates(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     """One row per row of ``docs``: doc_id, class_id (smallest doc_id of its class), class_size
     (rows of the class) and copies (rows with the same words). Other columns are not read."""
+    return _classes(docs, similarity).select("doc_id", "class_id", "class_size", "copies")
+
+
+def _classes(docs: DataFrame, similarity: float) -> DataFrame:
+    """``near_duplicates`` with the node of every row and head, the node that stays of its class."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "near-dup")
     signed = scratch.save(
@@ -384,11 +401,12 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     rows = rows.select("doc_id", "node", F.coalesce("root", "node").alias("root"))
     by_text = rows.groupBy("root", "node").agg(F.min("doc_id").alias("low"), F.count("*").alias("copies"))
     by_class = by_text.groupBy("root").agg(
-        F.min("low").alias("class_id"), F.sum("copies").alias("class_size"))
+        F.min(F.struct(F.col("low").isNull(), "low", "node")).alias("least"),
+        F.sum("copies").alias("class_size"))
     of_text = by_text.select("root", "node", "copies").join(by_class, "root") \
-        .select("node", "class_id", "class_size", "copies")
-    return rows.select("doc_id", "node").join(of_text, "node") \
-        .select("doc_id", "class_id", "class_size", "copies")
+        .select("node", F.col("least.low").alias("class_id"), F.col("least.node").alias("head"),
+                "class_size", "copies")
+    return rows.select("doc_id", "node").join(of_text, "node")
 
 
 def verified(pairs: DataFrame, kept: DataFrame, similarity: float) -> DataFrame:
@@ -446,8 +464,11 @@ def _exact(open_: DataFrame, kept: DataFrame, similarity: float, scratch: Scratc
 
 def one_of_each(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     """The rows of ``docs`` with the smallest doc_id of each class; columns as they came. Of rows
-    that repeat that doc_id one stays."""
-    heads = near_duplicates(docs, similarity).filter(F.col("doc_id").eqNullSafe(F.col("class_id"))) \
-        .select(F.col("doc_id").alias("_head")).distinct()
-    return docs.join(heads, F.col("doc_id").eqNullSafe(F.col("_head")), "left_semi") \
-        .dropDuplicates(["doc_id"])
+    of one class that repeat that doc_id (or have none) one stays."""
+    heads = _classes(docs, similarity) \
+        .filter(F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("node") == F.col("head"))) \
+        .select(F.col("doc_id").alias("_id"), F.col("node").alias("_head")).distinct()
+    named = docs.withColumn("_node", _node_of(F.lower("text")))
+    return named.join(
+        heads, (F.col("_node") == F.col("_head")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left_semi") \
+        .dropDuplicates(["doc_id", "_node"]).drop("_node")

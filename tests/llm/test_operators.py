@@ -347,6 +347,15 @@ def test_near_copies_of_odd_rows(spark):
     assert dartminhash.one_of_each(docs.limit(0)).count() == 0
 
 
+def test_one_of_each_keeps_different_texts_of_null_and_repeated_ids(spark):
+    texts = [text(i) for i in range(500, 508)]
+    ids = [None, None, None, 7, 7, 7, 1, 9]
+    texts[5], texts[7] = texts[4], texts[6] + " "  # a copy under the same id, one under another
+    kept = dartminhash.one_of_each(documents(spark, texts, ids)).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept) == \
+        sorted((ids[i] or 0, texts[i]) for i in (0, 1, 2, 3, 4, 6))
+
+
 def test_components_of_long_chains(spark):
     edges = [(i, i + 1) for i in range(1, 60)] + [(100, 101), (101, 100), (7, 7)]
     got = components(spark.createDataFrame(edges, "a long, b long"), Scratch(spark, "cc")).collect()
