@@ -2,8 +2,8 @@
 
 A text compresses to a share of its UTF-8 size that depends on its length: repeated text falls below
 the band of its length, encoded or random data stays above. The whole text is compressed with
-zstandard and held against WHOLE; then every fixed chunk of CHUNK bytes (a rest of less than half a
-chunk is not looked at) against CHUNK_BAND, and a text with more than BAD_CHUNKS of its chunks outside
+zstandard and held against WHOLE; then every chunk of about CHUNK bytes (a longer text is cut into as
+many equal ones as fit best, so every byte is in one) against CHUNK_BAND, and a text with more than BAD_CHUNKS of its chunks outside
 is rejected, so a repetitive half is seen in a text that is ordinary on the whole.
 
 Counts come first: words, code points in words, symbols, repeated lines and words in repeated
@@ -83,7 +83,8 @@ def bands(flat: Flat, compressor) -> tuple[np.ndarray, np.ndarray]:
             continue
         ratio[i] = len(compressor.compress(raw)) / len(raw)
         if len(raw) > CHUNK:
-            pieces = [raw[j:j + CHUNK] for j in range(0, len(raw) - CHUNK // 2, CHUNK)]
+            n = max(2, round(len(raw) / CHUNK))
+            pieces = [raw[len(raw) * j // n:len(raw) * (j + 1) // n] for j in range(n)]
             shares = [len(compressor.compress(p)) / len(p) for p in pieces]
             bad = sum(not CHUNK_BAND[0] <= s <= CHUNK_BAND[1] for s in shares)
             outside[i] = bad / len(shares)

@@ -415,6 +415,18 @@ def test_base_counts_and_bands(spark):
     assert compression.judged(odd_documents(spark)).count() == odd_documents(spark).count()
 
 
+def test_the_end_of_a_text_is_judged_as_its_front():
+    import zstandard
+    from lakewarden.llm.flat import Flat
+
+    compressor = zstandard.ZstdCompressor(level=compression.LEVEL)
+    plain, rest = text(21, 60).encode()[:1950], b"again and again " * 69
+    for raw in (plain + rest, rest + plain):
+        assert 2 * len(raw) < 3 * compression.CHUNK
+        flat = Flat(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+        assert compression.bands(flat, compressor)[1][0] == 0.5
+
+
 # Fingerprints ---------------------------------------------------------------------------------
 
 def test_fingerprints_and_neighbours(spark):
