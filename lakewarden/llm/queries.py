@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakewarden.llm import (
     bytepiece, compression, dartminhash, imatch, langid, mixing, quality, repair,
-    spans, warc)
+    spans, toxicity, variants, warc, whitening)
 from lakewarden.session import fresh_dir
 from lakewarden.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
@@ -91,3 +91,22 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     labels = table(spark, folder, "labels").filter(~apart).select("doc_id", "quality")
     return quality.scored(table(spark, folder, "documents"), labels).select(
         "doc_id", apart.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query("op11_whitening")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    found = whitening.whitened(table(spark, folder, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+@query("op12_toxicity")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    apart = langid.held_out("doc_id", 3, 1)
+    labels = table(spark, folder, "labels").filter(~apart).select("doc_id", "toxic")
+    return toxicity.scored(table(spark, folder, "documents"), labels).select(
+        "doc_id", apart.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query("op13_spelling_variants")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.grouped(table(spark, folder, "documents"))
