@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lakewarden.llm.pieces import PieceTable, parts_of
 
-CACHE = 40_000
+CACHE = 72 << 20  # bytes of the table of pieces
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -131,27 +131,31 @@ def encoded(docs: DataFrame, path: str, pattern: str, with_ids: bool = False) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
-        for batch in batches:
-            for low in range(0, batch.num_rows, 64):
-                part = batch.slice(low, 64)
-                rows, lists = [], []
-                for found in own.table.lookup_texts(part.column(1).to_pylist()):
-                    raw = b"".join([f[2] for f in found])
-                    rows.append((sum([f[0] for f in found]),
-                                 hashlib.sha256(",".join([f[1] for f in found]).encode()).hexdigest(),
-                                 hashlib.sha256(raw).hexdigest(), len(raw)))
+        try:
+            for batch in batches:
+                for low in range(0, batch.num_rows, 64):
+                    part = batch.slice(low, 64)
+                    rows, lists = [], []
+                    for found in own.table.lookup_texts(part.column(1).to_pylist()):
+                        raw = b"".join([f[2] for f in found])
+                        rows.append((sum([f[0] for f in found]),
+                                     hashlib.sha256(",".join([f[1] for f in found]).encode()).hexdigest(),
+                                     hashlib.sha256(raw).hexdigest(), len(raw)))
+                        if with_ids:
+                            lists.append(b"".join([f[3] for f in found]))
+                    n, ids, decoded, size = zip(*rows)
+                    columns = [part.column(0), pa.array(n, pa.int64()), pa.array(ids), pa.array(decoded),
+                               pa.array(size, pa.int64())]
                     if with_ids:
-                        lists.append(b"".join([f[3] for f in found]))
-                n, ids, decoded, size = zip(*rows)
-                columns = [part.column(0), pa.array(n, pa.int64()), pa.array(ids), pa.array(decoded),
-                           pa.array(size, pa.int64())]
-                if with_ids:
-                    ends = [0]
-                    for x in lists:
-                        ends.append(ends[-1] + len(x) // 4)
-                    values = pa.Array.from_buffers(pa.int32(), ends[-1], [None, pa.py_buffer(b"".join(lists))])
-                    columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values))
-                yield pa.RecordBatch.from_arrays(columns, names)
+                        ends = [0]
+                        for x in lists:
+                            ends.append(ends[-1] + len(x) // 4)
+                        values = pa.Array.from_buffers(pa.int32(), ends[-1], [None, pa.py_buffer(b"".join(lists))])
+                        columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values))
+                    yield pa.RecordBatch.from_arrays(columns, names)
+        finally:
+            own.table.clear()
+            pa.default_memory_pool().release_unused()
 
     kind = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, n_bytes long"
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(

@@ -22,19 +22,31 @@ def parts_of(text: str) -> list[str]:
     return [head, *parts] if head else parts
 
 
+CHUNK = 40_000   # pieces looked up together
+LONGEST = 256    # characters of a piece that is kept
+#: About the bytes that a kept piece takes in the table, and each of its characters with what it gives.
+PIECE_BYTES, CHARACTER_BYTES = 300, 24
+
+
 class PieceTable:
     """Values of pieces, found by ``learn`` for many new pieces at once. Two generations of at most
-    ``limit`` pieces each are kept, so frequent pieces stay while memory is bounded."""
+    half of ``budget`` bytes each are kept, so frequent pieces stay while memory is bounded, whatever
+    the texts; pieces of more than LONGEST characters are never kept. A task clears the table when it
+    ends, for its worker lives on and serves other operators."""
 
-    def __init__(self, learn: Callable[[list[str]], list], limit: int):
-        self.learn, self.limit = learn, limit
+    def __init__(self, learn: Callable[[list[str]], list], budget: int):
+        self.learn, self.budget = learn, budget
         self.young: dict[str, object] = {}
         self.old: dict[str, object] = {}
+        self.bytes = 0  # of the young generation
+
+    def clear(self) -> None:
+        self.young, self.old, self.bytes = {}, {}, 0
 
     def lookup(self, parts: list[str]) -> list:
         out = []
-        for low in range(0, len(parts), self.limit):
-            some = parts[low:low + self.limit]
+        for low in range(0, len(parts), CHUNK):
+            some = parts[low:low + CHUNK]
             found = list(map(self.young.get, some))
             if None in found:
                 missing = [i for i, f in enumerate(found) if f is None]
@@ -59,7 +71,12 @@ class PieceTable:
             values[p] = self.old.get(p)
         new = [p for p, v in values.items() if v is None]
         values.update(zip(new, self.learn(new)))
-        if len(self.young) + len(values) > 2 * self.limit:
-            self.old, self.young = self.young, {}
-        self.young.update(values)
+        kept = values if max(map(len, values), default=0) <= LONGEST else {
+            p: v for p, v in values.items() if len(p) <= LONGEST}
+        size = PIECE_BYTES * len(kept) + CHARACTER_BYTES * sum(map(len, kept))
+        if self.bytes + size > self.budget // 2:
+            self.old, self.young, self.bytes = self.young, {}, 0
+        if size <= self.budget // 2:
+            self.young.update(kept)
+            self.bytes += size
         return values

@@ -5,6 +5,7 @@ import collections
 import hashlib
 import random
 import re
+import sys
 import zlib
 
 import numpy as np
@@ -14,7 +15,7 @@ import pytest
 from lakewarden.llm import (
     bytepiece, compression, dartminhash, imatch, langid, mixing, quality, repair, spans, warc)
 from lakewarden.llm.components import components
-from lakewarden.llm.pieces import parts_of
+from lakewarden.llm.pieces import PieceTable, parts_of
 from lakewarden.llm.scratch import Scratch
 from lakewarden.llm.ship import ship
 from lakewarden.session import fresh_dir
@@ -484,3 +485,19 @@ def test_archives_round_trip(spark):
     folder = fresh_dir(spark, "warc")
     warc.write(pages.limit(0), folder)
     assert warc.assemble(warc.read(spark, folder)).count() == 0
+
+
+def test_piece_table_is_bounded_by_bytes():
+    rng = random.Random(12)
+    table = PieceTable(lambda parts: [(len(p), p, p.encode(), p.encode()) for p in parts], 1 << 20)
+    for _ in range(20):  # 200 texts of 100,000 characters without a space
+        texts = ["".join(rng.choices("日本語abcdef\n", k=100_000)) for _ in range(10)]
+        assert [f[0][0] for f in table.lookup_texts(texts)] == [100_000] * 10
+    assert not table.young and not table.old  # none of them is kept
+    for i in range(60):
+        table.lookup_texts([" ".join(f"w{rng.randrange(10 ** 9)}" for _ in range(300))])
+        kept = sum(sys.getsizeof(k) + sum(map(sys.getsizeof, v)) for d in (table.young, table.old) for k, v in d.items())
+        assert kept < 1 << 20
+    assert table.young and table.old
+    table.clear()
+    assert not table.young and not table.old and table.bytes == 0
