@@ -17,7 +17,8 @@ from lakewarden.operators.sets import delete, insert, update, upsert
 from lakewarden.plans import flow_events, retail
 from lakewarden.plans.views import ORDERS_AS_OF
 from lakewarden.session import fresh_dir
-from lakewarden.sources import snapshots, tables
+from lakewarden.sources import tables
+from lakewarden.sources.versions import Versioned
 
 DAY = "2001-08-02"
 
@@ -433,18 +434,82 @@ def k19(lake):
 T0 = datetime(2024, 1, 1)
 
 
+def hour(n):
+    return T0 + timedelta(hours=n)
+
+
 def versions(lake):
     """Four versions: the orders up to 2000, an insert of the rest, an update and a delete."""
-    path = fresh_dir(lake.spark, "versions")
+    spark = lake.spark
     orders = lake.orders().select("order_id", "status", "total_amount", "order_timestamp")
-    v0 = until_2000(orders)
-    v1 = insert(v0, from_2001(orders))
-    v2 = update(v1, F.col("status") == "P", {"status": F.lit("Cancelled")})
-    v3 = delete(v2, F.col("status") == "Cancelled")
-    for i, (rows, name) in enumerate([(v0, "CREATE"), (v1, "INSERT"), (v2, "UPDATE"),
-                                      (v3, "DELETE")]):
-        snapshots.commit(rows, path, name, T0 + timedelta(hours=i))
-    return path
+    data = Versioned(fresh_dir(spark, "versions"), ("order_id",))
+    data.create(until_2000(orders), hour(0))
+    data.append(from_2001(orders), hour(1))
+    data.update(spark, F.col("status") == "P", {"status": F.lit("Cancelled")}, hour(2))
+    data.delete(spark, F.col("status") == "Cancelled", hour(3))
+    return data
+
+
+@query("k18_merge_files",
+       f"SELECT * FROM ({SOURCE_SQL}) UNION ALL SELECT * FROM ({OLD_SQL}) AS t WHERE order_id NOT"
+       f" IN (SELECT order_id FROM ({SOURCE_SQL}))", "unit_price total_amount")
+def k18_files(lake):
+    orders = lake.orders()
+    source = orders.filter("status = 'P'").withColumns(
+        {"status": F.lit("Returned"), "total_amount": F.col("total_amount") * 2})
+    data = Versioned(fresh_dir(lake.spark, "merge"), ("order_id",))
+    data.create(until_2000(orders), hour(0))
+    data.upsert(source, hour(1))
+    return data.as_of(lake.spark)
+
+
+@query("k18_one_row_merge",
+       "SELECT count(*) AS row_count, count(*) FILTER (order_id = (SELECT max(order_id) FROM v_orders))"
+       " AS merged, 7 AS files_kept, 1 AS files_replaced FROM v_orders")
+def k18_one(lake):
+    spark, orders = lake.spark, lake.orders()
+    data = Versioned(fresh_dir(spark, "merge"), ("order_id",))
+    data.create(orders.repartitionByRange(8, "order_id"), hour(0))
+    before = data.files(spark).select("file")
+    top = orders.agg(F.max("order_id").alias("order_id"))
+    data.upsert(orders.join(top, "order_id", "left_semi").withColumn("status", F.lit("Merged")), hour(1))
+    after = data.files(spark).select("file")
+    kept = before.join(after, "file", "left_semi").agg(F.count("*").cast("int").alias("v")).select("v").scalar()
+    gone = before.join(after, "file", "left_anti").agg(F.count("*").cast("int").alias("v")).select("v").scalar()
+    return data.as_of(spark).agg(F.count("*").alias("row_count"),
+                                 F.count_if(F.col("status") == "Merged").alias("merged")) \
+        .select("row_count", "merged", kept.alias("files_kept"), gone.alias("files_replaced"))
+
+
+@query("k19_change_files",
+       "SELECT * REPLACE (CASE WHEN status = 'F' THEN 'Cancelled' ELSE status END AS status, CASE"
+       " WHEN status = 'F' THEN 0 ELSE total_amount END AS total_amount) FROM v_orders WHERE NOT"
+       " coalesce(customer_id < 100 AND region = 'APAC', false)", "unit_price total_amount")
+def k19_files(lake):
+    spark, orders = lake.spark, lake.orders()
+    data = Versioned(fresh_dir(spark, "changes"), ("order_id",))
+    data.create(until_2000(orders), hour(0))
+    data.append(from_2001(orders), hour(1))
+    data.update(spark, F.col("status") == "F",
+                {"status": F.lit("Cancelled"), "total_amount": F.lit(0.0)}, hour(2))
+    data.delete(spark, (F.col("customer_id") < 100) & (F.col("region") == "APAC"), hour(3))
+    return data.as_of(spark)
+
+
+@query("k24_incremental_cluster",
+       "SELECT event_type, count(*) AS row_count, min(ts) AS first_ts, false AS rewritten_again"
+       " FROM events GROUP BY event_type")
+def k24_incremental(lake):
+    spark, events = lake.spark, lake.table("events")
+    data = Versioned(fresh_dir(spark, "clustered"), ("event_id",), ("event_type", "ts"))
+    data.create(events.filter("event_id % 2 = 0"), hour(0))
+    data.cluster(spark, hour(1), 1000)
+    data.append(events.filter("event_id % 2 = 1"), hour(2))
+    data.cluster(spark, hour(3), 1000)
+    again = data.cluster(spark, hour(4), 1000) is not None
+    return data.as_of(spark).groupBy("event_type").agg(
+        F.count("*").alias("row_count"), F.min("ts").alias("first_ts")) \
+        .withColumn("rewritten_again", F.lit(again))
 
 
 COUNT = "SELECT count(*) FROM v_orders WHERE "
@@ -456,10 +521,10 @@ EARLY = "order_timestamp < TIMESTAMP '2001-01-01'"
        f" ({COUNT} true) UNION ALL SELECT 'now', ({COUNT} status <> 'P') UNION ALL SELECT"
        f" 'deleted', ({COUNT} status = 'P')")
 def k20(lake):
-    path = versions(lake)
-    v1 = snapshots.as_of(lake.spark, path, version=1)
-    then = snapshots.as_of(lake.spark, path, ts=T0 + timedelta(hours=2, minutes=30))
-    now = snapshots.as_of(lake.spark, path)
+    data = versions(lake)
+    v1 = data.as_of(lake.spark, version=1)
+    then = data.as_of(lake.spark, ts=T0 + timedelta(hours=2, minutes=30))
+    now = data.as_of(lake.spark)
     lost = v1.join(now, "order_id", "left_anti")
     out = None
     for name, df in (("v1", v1), ("half past two", then), ("now", now), ("deleted", lost)):
@@ -472,9 +537,9 @@ def k20(lake):
 @query("k21_restore", "SELECT order_id, status, total_amount, order_timestamp FROM v_orders",
        "total_amount")
 def k21(lake):
-    path = versions(lake)
-    snapshots.restore(lake.spark, path, 1, T0 + timedelta(hours=9))
-    return snapshots.as_of(lake.spark, path)
+    data = versions(lake)
+    data.restore(lake.spark, 1, hour(9))
+    return data.as_of(lake.spark)
 
 
 @query("k22_history",
@@ -489,7 +554,7 @@ def k21(lake):
        f" UNION ALL SELECT 3, ({COUNT} status <> 'P'), 0, ({COUNT} status = 'P'), 0)"
        " USING (version)")
 def k22(lake):
-    return snapshots.history(lake.spark, versions(lake), ["order_id"])
+    return versions(lake).history(lake.spark)
 
 
 @query("k26_expired", "SELECT * FROM (VALUES (0::BIGINT), (1::BIGINT)) AS t(version)"
@@ -497,7 +562,7 @@ def k22(lake):
 def k26(lake):
     # Seven days and two and a half hours after the first version: two versions are too old.
     now = T0 + timedelta(days=7, hours=1, minutes=30)
-    return snapshots.expired(lake.spark, versions(lake), now).select("version").distinct()
+    return versions(lake).expired(lake.spark, now).select("version").distinct()
 
 
 @query("k29_completion_log",

@@ -12,7 +12,7 @@ from lakewarden.plans import access, queries
 from lakewarden.plans.views import EVENTS_AS_OF, INVENTORY_COLUMNS
 from lakewarden.session import fresh_dir
 from lakewarden.sources.jsonlines import unrescue
-from lakewarden.streaming import ingest, ledger, logs, medallion, refine
+from lakewarden.streaming import ingest, ledger, logs, medallion, merged, refine
 from lakewarden.streaming.profile import profile_stream
 
 BASE = ["event_id", "event_type", "value"]
@@ -306,9 +306,23 @@ def i02_streamed(lake):
 def i03(lake):
     root = fresh_dir(lake.spark, "summary")
     stream = streamed(lake, "events").selectExpr(*INVENTORY_COLUMNS)
-    medallion.run_aggregate(medallion.inventory_summary(stream), f"{root}/table",
-                            f"{root}/checkpoint")
-    return lake.spark.read.parquet(f"{root}/table")
+    stored = medallion.inventory_summary(f"{root}/table")
+    merged.run_merged(stream, stored, f"{root}/checkpoint")
+    return stored.read(lake.spark, merged.schema_of(stored, stream))
+
+
+@query("i04_silver_copies",
+       "SELECT CAST(event_id AS VARCHAR) AS event_id, count(*) AS row_count FROM v_silver"
+       " GROUP BY event_id")
+def i04_silver(lake):
+    # The whole folder arrives a second time: every event has a copy in a later batch.
+    root = fresh_dir(lake.spark, "copies")
+    raw = inventory_landing(lake)
+    for _ in range(2):
+        lake.spark.read.text(raw).write.mode("append").text(f"{root}/raw")
+        found = medallion.medallion(lake.spark, f"{root}/raw", f"{root}/out", f"{root}/checkpoint",
+                                    EVENTS_AS_OF)
+    return found["silver"].groupBy("event_id").agg(F.count("*").alias("row_count"))
 
 
 @query("e05_streamed_windows",

@@ -8,10 +8,10 @@ old batches stay known however many follow. A checkpoint that is given up takes
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakewarden.operators.quality import Rule, counters, drop_rules_hold, enforce
@@ -22,6 +22,7 @@ FILES = ("file_path string, modified_at timestamp, size_bytes bigint, row_count
 BATCHES = ("batch_id bigint, started_at timestamp, duration_ms bigint, input_rows bigint,"
            " output_rows bigint")
 RULES = "batch_id bigint, name string, passed_records bigint, failed_records bigint"
+COPIES = "batch_id bigint, input_rows bigint, removed_copies bigint"
 
 
 def _folder(checkpoint: str, kind: str) -> str:
@@ -77,29 +78,31 @@ def backlog(spark: SparkSession, source: str, checkpoint: str) -> DataFrame:
         F.count("*").alias("files"), F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("bytes"))
 
 
-def run_recorded(stream: DataFrame, out: str, checkpoint: str,
-                 checks: Sequence[Rule] = ()) -> StreamingQuery:
+def run_recorded(stream: DataFrame, out: str, checkpoint: str, checks: Sequence[Rule] = (),
+                 after: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
     """Write everything available now to a folder per batch, and record the counters of each batch.
 
     Rows that violate a ``drop`` rule are left out; a violated ``fail`` rule ends the batch before
-    anything of it is written. Rows of a batch are computed once and kept until it is done.
+    anything of it is written. Rows are computed once: the counters are observed while they are
+    written. ``after`` gets the rows that were written, read back, and the number of the batch.
     """
     checks = list(checks)
 
     def write(rows: DataFrame, batch_id: int) -> None:
         began = time.time()
         spark = rows.sparkSession
-        rows.persist()
-        try:
-            seen = rows.agg(*counters(checks), F.count_if(drop_rules_hold(checks)).alias("kept")).first()
-            enforce(rows, checks).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-        finally:
-            rows.unpersist()
-        failed = [(batch_id, r.name, seen["rows"] - seen[f"failed_{r.name}"], seen[f"failed_{r.name}"])
+        seen = Observation()
+        watched = rows.observe(seen, *counters(checks), F.count_if(drop_rules_hold(checks)).alias("kept"))
+        folder = f"{out}/batch={batch_id}"
+        enforce(watched, checks).write.mode("overwrite").parquet(folder)
+        counts = seen.get
+        if after is not None:
+            after(spark.read.schema(rows.schema).parquet(folder), batch_id)
+        failed = [(batch_id, r.name, counts["rows"] - counts[f"failed_{r.name}"], counts[f"failed_{r.name}"])
                   for r in checks]
         _write(spark.createDataFrame(failed, RULES).coalesce(1), checkpoint, "rules", batch_id)
         took = int(1000 * (time.time() - began))
-        batch = spark.createDataFrame([(batch_id, took, seen["rows"], seen["kept"])],
+        batch = spark.createDataFrame([(batch_id, took, counts["rows"], counts["kept"])],
                                       "batch_id long, duration_ms long, input_rows long, output_rows long")
         _write(batch.select("batch_id", F.timestamp_millis(F.lit(int(began * 1000))).alias("started_at"),
                             "duration_ms", "input_rows", "output_rows").coalesce(1),
@@ -110,9 +113,28 @@ def run_recorded(stream: DataFrame, out: str, checkpoint: str,
         .trigger(availableNow=True).start()
     )
     query.awaitTermination()
+    record_copies(stream.sparkSession, query, checkpoint)
     return query
 
 
+def record_copies(spark: SparkSession, query: StreamingQuery, checkpoint: str) -> None:
+    """Store how many copies the keyed state of a finished run has removed, per batch with new rows."""
+    found = {}
+    for p in query.recentProgress:
+        dropped = [op.customMetrics["numDroppedDuplicateRows"] for op in p.stateOperators
+                   if "numDroppedDuplicateRows" in op.customMetrics]
+        if dropped and p.numInputRows:
+            found[p.batchId] = (p.batchId, p.numInputRows, sum(dropped))
+    if found:
+        first = min(found)
+        _write(spark.createDataFrame(list(found.values()), COPIES).coalesce(1), checkpoint, "copies", first)
+
+
+def removed_copies(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Rows read and copies removed per batch of ``run_recorded`` over a stream with keyed state."""
+    return _read(spark, checkpoint, "copies", COPIES)
+
+
 def read_recorded(spark: SparkSession, out: str, schema) -> DataFrame:
     """The rows that ``run_recorded`` has written."""
     return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(out)

@@ -11,12 +11,14 @@ from lakewarden.sources.tables import ANY_AGE, opened
 CLASSES = [*LOG_CLASSES.values(), "other"]
 
 
-def centralise_logs(spark: SparkSession, path: str, out: str, checkpoint: str) -> StreamingQuery:
+def centralise_logs(spark: SparkSession, path: str, out: str, checkpoint: str,
+                    files_per_batch: int = 1000) -> StreamingQuery:
     """Append new log lines, parsed, to ``out``, one partition folder per log class.
 
     One partitioned write per batch splits the classes, so the raw files are read once.
     """
-    reader = spark.readStream.option("recursiveFileLookup", True).option("maxFileAge", ANY_AGE)
+    reader = spark.readStream.option("recursiveFileLookup", True).option("maxFileAge", ANY_AGE) \
+        .option("maxFilesPerTrigger", files_per_batch)
     lines = opened(path, reader.text).select(
         F.col("_metadata.file_path").alias("log_file"), F.col("value").alias("log_line"))
     query = (

@@ -7,9 +7,10 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lakewarden.operators.quality import DROP, Rule, apply_drops
+from lakewarden.operators.quality import DROP, Rule, apply_drops, drop_rules_hold
 from lakewarden.sources.tables import ANY_AGE, opened
-from lakewarden.streaming.ledger import read_recorded, rule_counts, run_recorded
+from lakewarden.streaming.ledger import read_recorded, removed_copies, rule_counts, run_recorded
+from lakewarden.streaming.merged import Merged, schema_of, summary
 
 # Hinted types of an inventory event.
 HINTS = ("event_id string, product_id string, warehouse string, event_type string,"
@@ -41,11 +42,33 @@ def silver(events: DataFrame, as_of: datetime) -> DataFrame:
     return apply_drops(events, silver_rules(as_of))
 
 
-def inventory_summary(events: DataFrame) -> DataFrame:
-    return events.groupBy("warehouse", "product_id", "event_type").agg(
-        F.sum("quantity_change").alias("total_quantity_change"),
-        F.count("*").alias("event_count"), F.min("event_timestamp").alias("first_event"),
-        F.max("event_timestamp").alias("last_event"))
+# The stored aggregate of inventory events.
+SUMMARY_KEYS = ("warehouse", "product_id", "event_type")
+SUMMARY = (("total_quantity_change", "sum", "quantity_change"), ("event_count", "count", "*"),
+           ("first_event", "min", "event_timestamp"), ("last_event", "max", "event_timestamp"))
+
+
+def inventory_summary(path: str) -> Merged:
+    return summary(path, SUMMARY_KEYS, SUMMARY)
+
+
+def first_copies(stream: DataFrame, key: str, counts: Column, seen: str, keep: str = "7 days",
+                 salts: int = 16) -> DataFrame:
+    """Rows without later copies of their key, for a stream over stored files; rows that ``counts`` is
+    not true for all stay, for the rules to see.
+
+    State is kept for ``keep`` after a key was first seen. The clock is ``seen``, the time of ingestion,
+    which only grows, so rows of any event time are in time and none is lost as late. Copies are
+    removed per input partition first, as in ``dedup_stream``.
+    """
+    # A row that does not count gets a name of its own: its file and place.
+    own = F.when(F.coalesce(counts, F.lit(False)), F.lit("")).otherwise(
+        F.concat_ws(":", "_metadata.file_path", F.col("_metadata.row_index").cast("string")))
+    timed = stream.withColumn("_own", own).withWatermark(seen, keep)
+    if salts > 1:
+        timed = timed.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts))) \
+            .dropDuplicatesWithinWatermark([key, "_own", "_salt"]).drop("_salt")
+    return timed.dropDuplicatesWithinWatermark([key, "_own"]).drop("_own")
 
 
 def dedup_stream(stream: DataFrame, key: str, ts: str, delay: str = "1 hour",
@@ -84,30 +107,22 @@ def run_once(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     return query
 
 
-def run_aggregate(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Keep a stored table equal to a streaming aggregate (complete mode, replaced per batch)."""
-    def replace(rows: DataFrame, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(out)
-
-    query = (
-        stream.writeStream.foreachBatch(replace).option("checkpointLocation", checkpoint)
-        .outputMode("complete").trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    return query
-
-
-def medallion(spark: SparkSession, source: str, out: str, checkpoint: str,
-              as_of: datetime) -> dict[str, DataFrame]:
-    """Ingest new files to bronze, clean new bronze rows to silver, and recompute gold.
+def medallion(spark: SparkSession, source: str, out: str, checkpoint: str, as_of: datetime,
+              files_per_batch: int = 1000, keep: str = "7 days") -> dict[str, DataFrame]:
+    """Ingest new files to bronze, clean new bronze rows to silver without copies of an event, and add
+    each cleaned batch to gold.
 
-    ``rules`` holds the counters of every batch that was ever cleaned.
+    ``rules`` holds the counters of every batch that was ever cleaned, ``copies`` the copies removed.
     """
-    run_once(bronze_ingest(spark, source), f"{out}/bronze", f"{checkpoint}/bronze")
+    run_once(bronze_ingest(spark, source, files_per_batch=files_per_batch), f"{out}/bronze", f"{checkpoint}/bronze")
     bronze = spark.read.parquet(f"{out}/bronze")
-    stream = spark.readStream.schema(bronze.schema).option("maxFileAge", ANY_AGE).parquet(f"{out}/bronze")
-    run_recorded(stream, f"{out}/silver", f"{checkpoint}/silver", silver_rules(as_of))
+    stream = spark.readStream.schema(bronze.schema).option("maxFileAge", ANY_AGE) \
+        .option("maxFilesPerTrigger", files_per_batch).parquet(f"{out}/bronze")
+    checks = silver_rules(as_of)
+    single = first_copies(stream, "event_id", drop_rules_hold(checks), "_ingested_at", keep)
+    gold = inventory_summary(f"{out}/gold")
+    run_recorded(single, f"{out}/silver", f"{checkpoint}/silver", checks, gold.add)
     cleaned = read_recorded(spark, f"{out}/silver", bronze.schema)
-    inventory_summary(cleaned).write.mode("overwrite").parquet(f"{out}/gold")
-    return {"bronze": bronze, "silver": cleaned, "gold": spark.read.parquet(f"{out}/gold"),
-            "rules": rule_counts(spark, f"{checkpoint}/silver")}
+    return {"bronze": bronze, "silver": cleaned, "gold": gold.read(spark, schema_of(gold, bronze)),
+            "rules": rule_counts(spark, f"{checkpoint}/silver"),
+            "copies": removed_copies(spark, f"{checkpoint}/silver")}

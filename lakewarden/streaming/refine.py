@@ -11,9 +11,10 @@ from lakewarden.streaming.medallion import run_once
 
 
 def stream_table(spark: SparkSession, path: str, schema: T.StructType,
-                 glob: str | None = None) -> DataFrame:
+                 glob: str | None = None, files_per_batch: int = 1000) -> DataFrame:
     """Stream of an append-only Parquet folder."""
-    reader = spark.readStream.schema(schema).option("maxFileAge", ANY_AGE)
+    reader = spark.readStream.schema(schema).option("maxFileAge", ANY_AGE) \
+        .option("maxFilesPerTrigger", files_per_batch)
     if glob is not None:
         reader = reader.option("pathGlobFilter", glob)
     return opened(path, reader.parquet)
