@@ -8,7 +8,7 @@ from pyspark.sql import functions as F, types as T
 
 from checks.basics import OLD_SQL, until_2000
 from checks.registry import query
-from lakewarden.operators import alerts, quality
+from lakewarden.operators import alerts, quality, sketches
 from lakewarden.operators.aggregates import windowed_metrics
 from lakewarden.operators.contract import rename_candidates, schema_diff
 from lakewarden.operators.drift import drift
@@ -142,6 +142,48 @@ def k08(lake):
     return profile(lake.inventory_events(), list(PROFILED))
 
 
+MERGED_SQL = " UNION ALL ".join(
+    "SELECT column_name, data_type, num_rows, num_nulls, null_percentage, num_zeros, min, max, mean, stddev,"
+    f" true AS distinct_close, true AS quartiles_close FROM ({profile_sql(c, k, False)})"
+    for c, k in PROFILED.items())
+
+
+@query("k07_merged_profile", MERGED_SQL, "null_percentage min max mean stddev")
+def k07_merged(lake):
+    # The state of every day is stored; the profile is merged from it and held against the rows.
+    events, path = lake.inventory_events(), fresh_dir(lake.spark, "state")
+    sketches.store_days(sketches.daily_state(events, list(PROFILED), "event_timestamp"), path, NOON)
+    found = sketches.measured(sketches.merged(sketches.read_days(lake.spark, path)))
+    exact = events.agg(*[F.countDistinct(c).alias(c) for c in PROFILED]) \
+        .unpivot([], list(PROFILED), "column_name", "exact")
+    ranks = None
+    for c, kind in PROFILED.items():
+        off = F.lit(0.0)
+        if kind != "string":
+            for share, name in ((0.25, "percentile_25"), (0.75, "percentile_75")):
+                q = found.filter(F.col("column_name") == c).select(name).scalar()
+                below, upto = F.count_if(F.col(c) < q) / F.count(c), F.count_if(F.col(c) <= q) / F.count(c)
+                off = F.greatest(off, below - share, share - upto)
+        row = events.agg(off.alias("off")).select(F.lit(c).alias("column_name"), "off")
+        ranks = row if ranks is None else ranks.unionByName(row)
+    near = F.abs(F.col("distinct_count") / F.col("exact") - 1) < 5 * sketches.DISTINCT_ERROR
+    return found.join(exact, "column_name").join(ranks, "column_name").select(
+        "column_name", "data_type", "num_rows", "num_nulls", "null_percentage", "num_zeros", "min", "max", "mean",
+        "stddev", near.alias("distinct_close"), (F.col("off") <= 2 * sketches.rank_error()).alias("quartiles_close"))
+
+
+@query("k14_stored_worst_window",
+       "SELECT date_trunc('day', order_timestamp)::TIMESTAMP AS window_start, 'customer_id' AS"
+       " column_name, count(*) FILTER (customer_id IS NULL) * 100.0::DOUBLE / count(*) AS"
+       " null_percentage, count(*) FILTER (customer_id IS NULL) AS num_nulls FROM v_orders GROUP"
+       " BY 1 ORDER BY null_percentage DESC, window_start LIMIT 1", "null_percentage")
+def k14_stored(lake):
+    path = fresh_dir(lake.spark, "state")
+    state = sketches.daily_state(lake.orders(), ["customer_id"], "order_timestamp")
+    sketches.store_days(state, path, NOON)
+    return worst_window(sketches.daily_profile(sketches.read_days(lake.spark, path)), "customer_id")
+
+
 @query("d06_custom_metric",
        "SELECT date_trunc('day', order_timestamp)::TIMESTAMP AS window_start, avg(CASE WHEN"
        " quantity < 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS pct_negative_quantity FROM v_orders"

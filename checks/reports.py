@@ -560,6 +560,17 @@ def j33(lake):
     return flow_events.flow_rows(lake.event_log(), n=None)
 
 
+@query("j33_flow_backlog",
+       "SELECT flow_name AS table_name, count(*) AS reports, max(\"timestamp\") AS reported_at,"
+       " arg_max(event_id % 20, (\"timestamp\", event_id)) AS files_outstanding,"
+       " arg_max(event_id % 20 * 1000, (\"timestamp\", event_id)) AS bytes_outstanding,"
+       " max(event_id % 20) AS most_files, max(event_id % 20 * 1000) AS most_bytes,"
+       " arg_max(event_id % 20, (\"timestamp\", event_id)) > arg_min(event_id % 20, (\"timestamp\", event_id))"
+       " AS growing FROM v_log WHERE raw_type = 'click' GROUP BY flow_name")
+def j33_backlog(lake):
+    return flow_events.flow_backlog(lake.event_log())
+
+
 @query("j33_rows_per_run",
        f"SELECT update_id, flow_name AS table_name, CAST(coalesce(sum({WRITTEN}), 0) AS BIGINT) AS"
        " rows_written FROM v_log WHERE event_type = 'flow_progress' GROUP BY update_id, flow_name")

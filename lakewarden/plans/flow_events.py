@@ -9,7 +9,8 @@ from lakewarden.operators.shape import first_rows
 # Fields of the JSON details that the reports read. Spark parses only those a report uses.
 DETAILS = (
     "flow_progress struct<status:string,"
-    "metrics:struct<num_output_rows:bigint,num_upserted_rows:bigint,num_deleted_rows:bigint>,"
+    "metrics:struct<num_output_rows:bigint,num_upserted_rows:bigint,num_deleted_rows:bigint,"
+    "numFilesOutstanding:bigint,numBytesOutstanding:bigint>,"
     "data_quality:struct<expectations:array<struct<"
     "name:string,dataset:string,passed_records:bigint,failed_records:bigint>>>>,"
     " update_progress struct<state:string>, create_update struct<cause:string>,"
@@ -55,6 +56,22 @@ def rows_per_run(events: DataFrame) -> DataFrame:
           .alias("rows_written"))
 
 
+def flow_backlog(events: DataFrame) -> DataFrame:
+    """Files and bytes each flow has found but not yet read: at its newest report, at most, and whether
+    there are more of them than at its first report."""
+    order = F.struct("timestamp", "event_id")
+    reported = _parsed(events, "flow_progress").select(
+        F.col("origin.flow_name").alias("table_name"), "timestamp", "event_id",
+        F.col("d.flow_progress.metrics.numFilesOutstanding").alias("files"),
+        F.col("d.flow_progress.metrics.numBytesOutstanding").alias("bytes")).filter("files is not null")
+    return reported.groupBy("table_name").agg(
+        F.count("*").alias("reports"), F.max("timestamp").alias("reported_at"),
+        F.max_by("files", order).alias("files_outstanding"), F.max_by("bytes", order).alias("bytes_outstanding"),
+        F.max("files").alias("most_files"), F.max("bytes").alias("most_bytes"),
+        F.min_by("files", order).alias("_first")) \
+        .withColumn("growing", F.col("files_outstanding") > F.col("_first")).drop("_first")
+
+
 def flow_errors(events: DataFrame, n: int | None = None) -> DataFrame:
     report = _parsed(events.filter(F.col("level").isin("ERROR", "WARN"))).select(
         "timestamp", "level", F.col("origin.flow_name").alias("table_name"), "message",

@@ -220,7 +220,8 @@ class Lake:
             " named_struct('name', 'valid_time', 'dataset', concat('flow_', event_id % 4),"
             " 'passed_records', event_id % 50, 'failed_records', event_id % 5))))))"
             " WHEN 'click' THEN to_json(named_struct('flow_progress', named_struct("
-            "'status', 'RUNNING', 'metrics', named_struct('num_output_rows', event_id % 100))))"
+            "'status', 'RUNNING', 'metrics', named_struct('num_output_rows', event_id % 100,"
+            " 'numFilesOutstanding', event_id % 20, 'numBytesOutstanding', event_id % 20 * 1000))))"
             " WHEN 'view' THEN to_json(named_struct('update_progress', named_struct('state',"
             " CASE event_id % 3 WHEN 0 THEN 'RUNNING' WHEN 1 THEN 'COMPLETED' ELSE 'FAILED' END)))"
             " WHEN 'signup' THEN to_json(named_struct('create_update',"

@@ -3,6 +3,11 @@
 Every batch function writes its own rows to a folder beside the checkpoint, one sub-folder per
 batch that a repeated batch replaces. Nothing is read from the files that Spark keeps for itself, so
 old batches stay known however many follow. A checkpoint that is given up takes a new path.
+
+``compact`` merges the batches so far into one base. A base counts from the moment its marker is
+written; readers take the newest base and the batches after it. Folders that the base before already
+held are removed, so a reader that began earlier still finds its files until the next but one merge,
+and the number of files stays below about twice COMPACT_EVERY per kind.
 """
 
 from __future__ import annotations
@@ -23,6 +28,9 @@ BATCHES = ("batch_id bigint, started_at timestamp, duration_ms bigint, input_row
            " output_rows bigint")
 RULES = "batch_id bigint, name string, passed_records bigint, failed_records bigint"
 COPIES = "batch_id bigint, input_rows bigint, removed_copies bigint"
+KINDS = {"files": FILES, "batches": BATCHES, "rules": RULES, "copies": COPIES}
+#: Batches after which the entries of a kind are merged.
+COMPACT_EVERY = 100
 
 
 def _folder(checkpoint: str, kind: str) -> str:
@@ -33,16 +41,66 @@ def _write(rows: DataFrame, checkpoint: str, kind: str, batch_id: int) -> None:
     rows.write.mode("overwrite").parquet(f"{_folder(checkpoint, kind)}/batch={batch_id}")
 
 
-def _read(spark: SparkSession, checkpoint: str, kind: str, schema: str) -> DataFrame:
+def _there(spark: SparkSession, path: str, schema: str) -> DataFrame:
     reader = spark.read.schema(schema).option("recursiveFileLookup", True)
     try:
-        return reader.parquet(_folder(checkpoint, kind))
+        return reader.parquet(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)  # no batch has finished
 
 
+def _read(spark: SparkSession, checkpoint: str, kind: str, schema: str) -> DataFrame:
+    folder = _folder(checkpoint, kind)
+    last = _merged_up_to(spark, folder)
+    rows = _there(spark, folder, schema)
+    if last < 0:
+        return rows
+    base = spark.read.schema(schema).parquet(f"{folder}-base/{last}")
+    return base.unionByName(rows.filter(F.col("batch_id") > last))
+
+
+def _merged_up_to(spark: SparkSession, folder: str) -> int:
+    """Last batch of the newest base, -1 without one."""
+    return _there(spark, f"{folder}-bases", "last bigint").agg(
+        F.coalesce(F.max("last"), F.lit(-1)).alias("v")).first()["v"]
+
+
+def _remove(spark: SparkSession, parent: str, belongs: Callable[[int], bool]) -> None:
+    """Remove the sub-folders (``batch=<n>`` or ``<n>``) whose number ``belongs``."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(parent)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if store.exists(place):
+        for status in store.listStatus(place):
+            number = status.getPath().getName().rpartition("=")[2]
+            if number.isdigit() and belongs(int(number)):
+                store.delete(status.getPath(), True)
+
+
+def compact(spark: SparkSession, checkpoint: str, every: int = COMPACT_EVERY) -> list[str]:
+    """Merge each kind of entry with more than ``every`` batches since its last base; which ones were.
+    Call it while no batch of this checkpoint runs."""
+    merged = []
+    for kind, schema in KINDS.items():
+        folder = _folder(checkpoint, kind)
+        before = _merged_up_to(spark, folder)
+        found = _there(spark, folder, schema).filter(F.col("batch_id") > before).agg(
+            F.countDistinct("batch_id").alias("n"), F.max("batch_id").alias("last")).first()
+        if found["n"] <= every:
+            continue
+        last = found["last"]
+        _read(spark, checkpoint, kind, schema).filter(F.col("batch_id") <= last).coalesce(8) \
+            .write.mode("overwrite").parquet(f"{folder}-base/{last}")
+        spark.createDataFrame([(last,)], "last bigint").coalesce(1).write.mode("overwrite") \
+            .parquet(f"{folder}-bases/{last}")
+        _remove(spark, folder, lambda n: n <= before)
+        _remove(spark, f"{folder}-base", lambda n: n < before)
+        _remove(spark, f"{folder}-bases", lambda n: n < before)
+        merged.append(kind)
+    return merged
+
+
 def record_files(files: DataFrame, checkpoint: str, batch_id: int) -> None:
     """Store the files of a batch; ``files`` has the ``_metadata`` of every row as ``_file``.
 
@@ -114,20 +172,18 @@ def run_recorded(stream: DataFrame, out: str, checkpoint: str, checks: Sequence[
     )
     query.awaitTermination()
     record_copies(stream.sparkSession, query, checkpoint)
+    compact(stream.sparkSession, checkpoint)
     return query
 
 
 def record_copies(spark: SparkSession, query: StreamingQuery, checkpoint: str) -> None:
     """Store how many copies the keyed state of a finished run has removed, per batch with new rows."""
-    found = {}
     for p in query.recentProgress:
         dropped = [op.customMetrics["numDroppedDuplicateRows"] for op in p.stateOperators
                    if "numDroppedDuplicateRows" in op.customMetrics]
         if dropped and p.numInputRows:
-            found[p.batchId] = (p.batchId, p.numInputRows, sum(dropped))
-    if found:
-        first = min(found)
-        _write(spark.createDataFrame(list(found.values()), COPIES).coalesce(1), checkpoint, "copies", first)
+            row = (p.batchId, p.numInputRows, sum(dropped))
+            _write(spark.createDataFrame([row], COPIES).coalesce(1), checkpoint, "copies", p.batchId)
 
 
 def removed_copies(spark: SparkSession, checkpoint: str) -> DataFrame:

@@ -5,6 +5,7 @@ from datetime import datetime
 import pytest
 
 from lakewarden.session import fresh_dir
+from lakewarden.sources.files import file_inventory
 from lakewarden.streaming import ledger, medallion, merged
 from tests.conftest import rows
 
@@ -88,6 +89,34 @@ def test_only_mergeable_measures_are_taken(spark):
         merged.summary("/tmp/x", ["k"], [("m", "avg", "n")])
 
 
+def test_a_ledger_of_many_batches_stays_small(spark):
+    checkpoint = f"{fresh_dir(spark, 'test-ledger')}/ck"
+
+    def batch(n):
+        ledger._write(spark.createDataFrame([(n, "r", n, 1), (n, "s", 0, n)], ledger.RULES).coalesce(1),
+                      checkpoint, "rules", n)
+
+    def files():
+        return file_inventory(spark, f"{checkpoint}-ledger").filter("file_path like '%.parquet'").count()
+
+    want = []
+    for n in range(40):
+        batch(n)
+        want += [(n, "r", n, 1), (n, "s", 0, n)]
+        if n == 25:
+            earlier = ledger.rule_counts(spark, checkpoint)  # a reader that goes on over a merge
+        ledger.compact(spark, checkpoint, every=9)
+        if n % 13 == 0:
+            assert rows(ledger.rule_counts(spark, checkpoint)) == rows(spark.createDataFrame(want, ledger.RULES))
+        if n == 25:
+            assert rows(earlier) == rows(spark.createDataFrame(want, ledger.RULES))
+    assert files() <= 2 * 10 + 2 * (8 + 1)  # batches of two merges, two bases with their markers
+    batch(39)  # a repeated batch that is in the base already changes nothing
+    assert rows(ledger.rule_counts(spark, checkpoint)) == rows(spark.createDataFrame(want, ledger.RULES))
+    ledger._write(spark.createDataFrame([], ledger.RULES).coalesce(1), f"{checkpoint}", "rules", 40)
+    assert ledger.compact(spark, checkpoint, every=9) == []
+
+
 def test_counters_are_observed_while_rows_are_written(spark):
     root = fresh_dir(spark, "test-observed")
     land(spark, root, [event(None), event("x")])
