@@ -48,7 +48,7 @@ ROWS, BANDS = 8, 48
 NEIGHBOURS = 3
 PIECE = 4096          # members of a bucket that are put in order together
 SLOTS = 1 << 18       # counters of elements; texts that share one only lose selectivity
-BLOCK, STRIP, COLUMNS = 1 << 16, 256, 1024  # elements of a block; rows and elements multiplied at once
+BLOCK, STRIP, COLUMNS = 1 << 18, 256, 1024  # elements of a block; rows and elements multiplied at once
 LEAST = 32            # elements a text counts for at least, so a block has at most BLOCK / LEAST texts
 SLACK = 0.17          # a link is checked when the signatures agree in this much less than asked
 

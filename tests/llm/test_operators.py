@@ -314,7 +314,9 @@ def matrix_classes(texts, similarity=0.8):
     return root.tolist()
 
 
-def test_links_of_large_divided_buckets_are_all_found(spark):
+@pytest.mark.parametrize("block", [dartminhash.BLOCK, 1 << 14])  # one block, and many that meet
+def test_links_of_large_divided_buckets_are_all_found(spark, monkeypatch, block):
+    monkeypatch.setattr(dartminhash, "BLOCK", block)
     rng = random.Random(9)
     base = text(400, 24).split()
     # 0.68 alike, and just above 0.8 to a few that are almost the base.
