@@ -22,6 +22,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from lakewarden.llm.lean import give_back
 from lakewarden.llm.pieces import PieceTable, parts_of
 
 CACHE = 72 << 20  # bytes of the table of pieces
@@ -155,7 +156,7 @@ def encoded(docs: DataFrame, path: str, pattern: str, with_ids: bool = False) ->
                     yield pa.RecordBatch.from_arrays(columns, names)
         finally:
             own.table.clear()
-            pa.default_memory_pool().release_unused()
+            give_back()
 
     kind = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, n_bytes long"
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(

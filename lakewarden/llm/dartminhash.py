@@ -40,6 +40,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakewarden.llm.components import components
 from lakewarden.llm.flat import Flat, mix, occurrence, slices, unit
+from lakewarden.llm.lean import give_back, lean
 from lakewarden.llm.scratch import Scratch
 
 SHINGLE = 5
@@ -122,6 +123,7 @@ def _node_of(lower: Column) -> Column:
         import pandas as pd
 
         keys = [elements(flat)[2].view(np.int64) for _, flat in slices(pa.array(texts, pa.string()), rows=512)]
+        give_back()
         return pd.Series(np.concatenate(keys) if keys else np.zeros(0, np.int64))
 
     return node(lower)
@@ -349,14 +351,14 @@ def _classes(docs: DataFrame, similarity: float) -> DataFrame:
     scratch = Scratch(spark, "near-dup")
     signed = scratch.save(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower("text").alias("text")).mapInArrow(
-            _sign, "doc_id long, node long, sig binary, tiny binary, elements array<int>"), "signed")
+            lean(_sign), "doc_id long, node long, sig binary, tiny binary, elements array<int>"), "signed")
     named = scratch.save(signed.select("doc_id", "node"), "named")
     # One row per distinct text: equal texts have equal signatures and elements.
     texts = named.groupBy("node").agg(F.min("doc_id").alias("first_id"))
     chosen = signed.join(texts, "node") \
         .filter(F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.size("elements") > 0))
     bands = scratch.save(
-        chosen.select("node", "sig").mapInArrow(_band, "bucket long, node long"), "bands")
+        chosen.select("node", "sig").mapInArrow(lean(_band), "bucket long, node long"), "bands")
     shared = bands.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")) \
         .filter("low <> high").select("bucket")
     members = scratch.save(bands.join(shared, "bucket").distinct(), "members")
@@ -419,7 +421,7 @@ def verified(pairs: DataFrame, kept: DataFrame, similarity: float) -> DataFrame:
     likely = pairs \
         .join(tiny.withColumnsRenamed({"node": "a", "tiny": "sa"}), "a") \
         .join(tiny.withColumnsRenamed({"node": "b", "tiny": "sb"}), "b") \
-        .select("a", "b", "sa", "sb").mapInArrow(_agree, "a long, b long, agreement double") \
+        .select("a", "b", "sa", "sb").mapInArrow(lean(_agree), "a long, b long, agreement double") \
         .filter(F.col("agreement") >= similarity - SLACK).select("a", "b")
     sets = kept.select("node", "elements")
     both = F.size(F.array_intersect("ea", "eb"))
@@ -438,12 +440,12 @@ def _exact(open_: DataFrame, kept: DataFrame, similarity: float, scratch: Scratc
     """
     context = open_.sparkSession.sparkContext
     sets = scratch.save(kept.join(open_, "node").select("node", "root", "elements"), "sets")
-    found = sets.select("elements").mapInArrow(_tally, "slot int, n long") \
+    found = sets.select("elements").mapInArrow(lean(_tally), "slot int, n long") \
         .groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(SLOTS, np.int64)
     counts[found.column("slot").to_numpy()] = found.column("n").to_numpy()
     first = scratch.save(
-        sets.mapInArrow(_prefixes(context.broadcast(counts), similarity),
+        sets.mapInArrow(lean(_prefixes(context.broadcast(counts), similarity)),
                         "token int, node long, root long, size int"), "first")
     groups = first.groupBy("token").agg(
         F.count("*").alias("n"), F.sum(F.greatest("size", F.lit(LEAST))).alias("total"),

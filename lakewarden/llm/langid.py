@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lakewarden.llm.flat import Flat, slices
+from lakewarden.llm.lean import give_back, lean
 
 SAMPLE = 4000
 DIMENSIONS = 4096
@@ -178,7 +179,7 @@ def train(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     draw = F.pmod(F.xxhash64(F.lit(4), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
     share = F.create_map(*[F.lit(v) for k, n in counts.items() for v in (k, min(1.0, each / n))])
     found = labelled.filter(draw < share[F.col("lang")]).select("doc_id", "lang", "text") \
-        .mapInArrow(_vectorise, "doc_id long, lang string, x binary").toArrow()
+        .mapInArrow(lean(_vectorise), "doc_id long, lang string, x binary").toArrow()
     if not found.num_rows:
         return Model(np.array([], object), np.zeros((0, DIMENSIONS), np.float32))
     names, raw = found.column("lang").to_pylist(), found.column("x").to_pylist()
@@ -203,6 +204,7 @@ def identify(docs: DataFrame, model: Model, name: str = "lang_pred", score: str
         out = []
         for _, flat in slices(pa.array(texts, pa.string()), SLICE_BYTES, SLICE_ROWS):
             out.append(sent.value.predict(vectors(flat)))
+        give_back()
         langs = np.concatenate([o[0] for o in out]) if out else np.array([], object)
         scores = np.concatenate([o[1] for o in out]) if out else np.zeros(0)
         return pd.DataFrame({name: langs, score: scores})

@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from lakewarden.llm.flat import Flat, mix, occurrence, powers, slices
+from lakewarden.llm.lean import lean
 from lakewarden.llm.scratch import Scratch
 
 SENTENCES, WORDS, WINDOW = 3, 20, 10
@@ -173,7 +174,7 @@ def without_repeated_spans(docs: DataFrame) -> DataFrame:
     scratch = Scratch(spark, "spans")
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
     places = scratch.save(
-        docs.select(key.alias("doc"), "text").mapInArrow(_places, "run long, doc long"),
+        docs.select(key.alias("doc"), "text").mapInArrow(lean(_places), "run long, doc long"),
         "places")
     first = places.groupBy("run").agg(F.min("doc").alias("low"), F.max("doc").alias("high")) \
         .filter("low < high").select("run", "low")
@@ -189,4 +190,4 @@ def without_repeated_spans(docs: DataFrame) -> DataFrame:
                          for c in keep] + report.fields)
     flow = joined.select(*[F.col("_text").alias("text") if c == "text" else F.col(f"`{c}`") for c in keep],
                          "_hits")
-    return flow.mapInArrow(_cleaner(keep.index("text"), len(keep), kind.fieldNames()), kind)
+    return flow.mapInArrow(lean(_cleaner(keep.index("text"), len(keep), kind.fieldNames())), kind)
