@@ -54,11 +54,12 @@ def _there(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def _read(spark: SparkSession, checkpoint: str, kind: str, schema: str) -> DataFrame:
     folder = _folder(checkpoint, kind)
     last = _merged_up_to(spark, folder)
-    rows = _there(spark, folder, schema)
     if last < 0:
-        return rows
+        return _there(spark, folder, schema)
     base = spark.read.schema(schema).parquet(f"{folder}-base/{last}")
-    return base.unionByName(rows.filter(F.col("batch_id") > last))
+    # Only the batches after the base are listed: the others may go while this reader is at work.
+    later = [path for n, path in _folders(spark, folder) if n > last]
+    return base.unionByName(spark.read.schema(schema).parquet(*later)) if later else base
 
 
 def _merged_up_to(spark: SparkSession, folder: str) -> int:
@@ -67,15 +68,21 @@ def _merged_up_to(spark: SparkSession, folder: str) -> int:
         F.coalesce(F.max("last"), F.lit(-1)).alias("v")).first()["v"]
 
 
-def _remove(spark: SparkSession, parent: str, belongs: Callable[[int], bool]) -> None:
-    """Remove the sub-folders (``batch=<n>`` or ``<n>``) whose number ``belongs``."""
+def _folders(spark: SparkSession, parent: str) -> list[tuple[int, str]]:
+    """Number and path of the sub-folders ``batch=<n>`` or ``<n>``."""
     place = spark._jvm.org.apache.hadoop.fs.Path(parent)
     store = place.getFileSystem(spark._jsc.hadoopConfiguration())
-    if store.exists(place):
-        for status in store.listStatus(place):
-            number = status.getPath().getName().rpartition("=")[2]
-            if number.isdigit() and belongs(int(number)):
-                store.delete(status.getPath(), True)
+    names = [s.getPath().getName() for s in store.listStatus(place)] if store.exists(place) else []
+    numbers = [(name.rpartition("=")[2], name) for name in names]
+    return sorted((int(n), f"{parent}/{name}") for n, name in numbers if n.isdigit())
+
+
+def _remove(spark: SparkSession, parent: str, belongs: Callable[[int], bool]) -> None:
+    """Remove the sub-folders whose number ``belongs``."""
+    for number, path in _folders(spark, parent):
+        if belongs(number):
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def compact(spark: SparkSession, checkpoint: str, every: int = COMPACT_EVERY) -> list[str]:
