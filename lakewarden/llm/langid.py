@@ -164,27 +164,30 @@ def _vectorise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             x = vectors(flat)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(low, flat.docs), batch.column(1).slice(low, flat.docs),
-                 pa.array([r.tobytes() for r in x.astype(np.float16)], pa.binary())], ["doc_id", "lang", "x"])
+                 pa.array([r.tobytes() for r in x.astype(np.float16)], pa.binary())], ["mark", "lang", "x"])
 
 
 def train(labelled: DataFrame, sample: int = SAMPLE) -> Model:
-    """Learn from rows (doc_id, text, lang) with a language; at most about ``sample`` of them."""
+    """Learn from rows (doc_id, text, lang) with a language; at most about ``sample`` of them. Different
+    pairs of id and text are drawn, so an id on many rows sends no more to the driver than any other;
+    of equal rows one counts. Languages beyond the ``sample // 2`` most frequent are not learned."""
     labelled = labelled.select("doc_id", F.lower("text").alias("text"), "lang") \
-        .filter("lang is not null and text is not null")
-    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n"))
+        .filter("lang is not null and text is not null").withColumn("mark", F.xxhash64("doc_id", "text"))
+    different = F.approx_count_distinct("mark", 0.02)
+    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(different.alias("n"))
               .orderBy(F.desc("n"), "lang").limit(sample // 2).collect()}
     if not counts:
         return Model(np.array([], object), np.zeros((0, DIMENSIONS), np.float32))
     each = sample / len(counts)
-    draw = F.pmod(F.xxhash64(F.lit(4), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
+    draw = F.pmod(F.xxhash64(F.lit(4), "mark"), F.lit(1 << 30)) / float(1 << 30)
     share = F.create_map(*[F.lit(v) for k, n in counts.items() for v in (k, min(1.0, each / n))])
-    found = labelled.filter(draw < share[F.col("lang")]).select("doc_id", "lang", "text") \
-        .mapInArrow(lean(_vectorise), "doc_id long, lang string, x binary").toArrow()
+    found = labelled.filter(draw < share[F.col("lang")]).select("mark", "lang", "text") \
+        .mapInArrow(lean(_vectorise), "mark long, lang string, x binary").distinct().toArrow()
     if not found.num_rows:
         return Model(np.array([], object), np.zeros((0, DIMENSIONS), np.float32))
     names, raw = found.column("lang").to_pylist(), found.column("x").to_pylist()
-    ids = found.column("doc_id").to_pylist()
-    order = sorted(range(len(raw)), key=lambda i: (ids[i] is not None, ids[i] or 0, names[i], raw[i]))
+    marks = found.column("mark").to_pylist()
+    order = sorted(range(len(raw)), key=lambda i: (marks[i], names[i], raw[i]))
     x = np.empty((len(raw), DIMENSIONS), np.float32)
     for to, i in enumerate(order):
         x[to] = np.frombuffer(raw[i], np.float16)

@@ -186,15 +186,18 @@ def _pool(vectors):
 
 
 def train(docs: DataFrame, labels: DataFrame, vectors, sample: int = SAMPLE) -> Network:
-    """Learn from ``labels`` (doc_id, quality); at most about ``sample`` of them, chosen by a hash."""
+    """Learn from ``labels`` (doc_id, quality). At most ``sample`` different pairs of id and text are
+    drawn by hash, so an id on many rows sends no more to the driver than any other."""
     marked = labels.filter("quality is not null and doc_id is not null").groupBy("doc_id") \
         .agg((F.avg("quality") >= 0.5).cast("double").alias("label"))
-    n = marked.count()
-    draw = F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    chosen = F.broadcast(marked.filter(draw < min(1.0, sample / max(n, 1))))  # about ``sample`` rows
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(chosen, "doc_id") \
-        .select("doc_id", "label", "text") \
-        .mapInArrow(_pool(vectors), "doc_id long, label double, x binary").collect()
+    texts = docs.filter("doc_id is not null").select("doc_id", F.col("text").cast("string").alias("text")) \
+        .withColumn("mark", F.xxhash64("text"))
+    draw = F.xxhash64(F.lit(3), "doc_id", "mark")
+    drawn = texts.select("doc_id", "mark").join(marked, "doc_id").distinct() \
+        .orderBy(draw, "doc_id", "mark").limit(sample)
+    chosen = docs.sparkSession.createDataFrame(drawn.collect(), drawn.schema)  # three numbers a row
+    rows = texts.join(F.broadcast(chosen), ["doc_id", "mark"]).select("doc_id", "label", "text") \
+        .mapInArrow(_pool(vectors), "doc_id long, label double, x binary").distinct().collect()
     rows.sort(key=lambda r: (r["doc_id"], bytes(r["x"])))
     x = np.frombuffer(b"".join(bytes(r["x"]) for r in rows), np.float32)
     return Network(x.reshape(len(rows), 2 * DIMENSIONS + 3).astype(np.float64),

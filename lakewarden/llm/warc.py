@@ -48,7 +48,8 @@ def write(pages: DataFrame, folder: str) -> None:
     """Write pages (page_id, url, html) as archives below ``folder``.
 
     Of equal payloads of at least MIN_BYTES the one with the smallest page_id is the response, the
-    others revisit it.
+    others revisit it. The input is read twice and must be dealt out alike both times, as a table is;
+    where it is not, the write ends in an error.
     """
     full = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
@@ -63,12 +64,17 @@ def write(pages: DataFrame, folder: str) -> None:
         F.min("page_id").alias("first_page"), F.min_by("number", "page_id").alias("first_number"),
         F.max("page_id").alias("last_page"),
     ).filter("first_page < last_page").select("digest", "first_page", "first_number")
-    repeats = slim.join(first, "digest").filter("first_page < page_id") \
-        .select("number", "first_page", "first_number")
+    repeats = slim.join(first, "digest").select(
+        "number", "first_page", "first_number", F.col("page_id").alias("known_page"),
+        F.col("digest").alias("known_digest"))
     size = pages.select(F.sum(F.octet_length("html")).alias("n")).first()["n"] or 0
     files = max(1, math.ceil(size / FILE_BYTES))
     joined = full.repartition(files, "number").join(repeats.repartition(files, "number"), "number", "left")
-    again = F.col("first_page").isNotNull()
+    moved = F.col("known_digest").isNotNull() & (
+        (F.col("known_digest") != F.col("digest")) | ~F.col("known_page").eqNullSafe(F.col("page_id")))
+    again = F.when(moved, F.raise_error(F.lit(
+        "the pages were dealt out differently when read again; store them before writing")).cast("boolean")) \
+        .otherwise(F.coalesce(F.col("first_page") < F.col("page_id"), F.lit(False)))
 
     def urn(kind: str, page: str = "page_id", number: str = "number") -> Column:
         page_text = F.coalesce(F.col(page).cast("string"), F.lit("none"))
