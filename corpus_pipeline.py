@@ -30,13 +30,15 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def span_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes repeated sentences out of the texts; documents that nothing is left of go."""
+    """Takes repeated sentences out of the texts; documents that nothing is left of go. Columns named
+    like those of the operator's report keep the values they came with."""
     ship(spark)
     clean = spans.without_repeated_spans(docs) \
         .filter((F.col("removed_sentences") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return clean.select(*docs.columns)
+    kept = spans.kept_names(docs.columns)
+    return clean.select(*[F.col(f"`{k}`").alias(c) for k, c in zip(kept, docs.columns)])
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
