@@ -101,11 +101,32 @@ def salted_agg(df: DataFrame, key: Sequence[str], spread: str, salts: int,
     return first.groupBy(*key).agg(*final)
 
 
-def join_size(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Rows a keyed join gives and rows it would give without keys, from key counts only."""
+def _rows_per_key(how: str) -> Column:
+    """Rows that a join of kind ``how`` gives for a key with ``_a`` rows left and ``_b`` right."""
+    a, b = F.col("_a"), F.col("_b")
+    one = F.lit(1).cast("long")
+    kinds = {
+        "inner": a * b, "left": a * F.coalesce(b, one), "right": F.coalesce(a, one) * b,
+        "full": F.coalesce(a, one) * F.coalesce(b, one),
+        "semi": F.when(b.isNotNull(), a), "anti": F.when(b.isNull(), a)}
+    kind = how.lower().replace("_", "")
+    kind = {"leftsemi": "semi", "leftanti": "anti"}.get(kind, kind.replace("outer", "") or "full")
+    if kind not in kinds:
+        raise ValueError(f"no join of kind {how!r}; one of {', '.join(kinds)}")
+    return kinds[kind]
+
+
+def join_size(left: DataFrame, right: DataFrame, on: Sequence[str],
+              how: str = "inner") -> DataFrame:
+    """Rows a keyed join gives and rows it would give without keys, from key counts only.
+
+    An outer join counts the rows without a partner, too; rows with a NULL key never have one.
+    """
     a = left.groupBy(*on).agg(F.count("*").alias("_a"))
     b = right.groupBy(*on).agg(F.count("*").alias("_b"))
-    keyed = a.join(b, list(on)).agg(F.coalesce(F.sum(F.col("_a") * F.col("_b")), F.lit(0)).alias("n"))
+    rows = _rows_per_key(how)
+    pairs = a.join(b, list(on), "inner" if how == "inner" else "full")
+    keyed = pairs.agg(F.coalesce(F.sum(rows), F.lit(0)).alias("n"))
     rows_a = a.agg(F.coalesce(F.sum("_a"), F.lit(0)).alias("n"))
     rows_b = b.agg(F.coalesce(F.sum("_b"), F.lit(0)).alias("n"))
     return keyed.select(
@@ -123,7 +144,7 @@ def guarded_join(left: DataFrame, right: DataFrame, on: Sequence[str], max_rows:
     """
     if not on:
         raise ValueError("join without keys refused: every row would meet every other row")
-    rows = join_size(left, right, on).first()["keyed_rows"]
+    rows = join_size(left, right, on, how).first()["keyed_rows"]
     if rows > max_rows:
         raise ValueError(f"join on {list(on)} would give {rows} rows, more than {max_rows}")
     return left.join(right, list(on), how)

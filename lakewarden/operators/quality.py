@@ -144,5 +144,5 @@ def dq_layers(orders: DataFrame, as_of: str, check: bool = True) -> Layers:
     gold = silver.groupBy("order_date", "channel").agg(
         F.count("*").alias("order_count"),
         F.sum(F.col("quantity") * F.col("unit_price")).alias("revenue"))
-    return Layers(orders, silver, require(gold, GOLD_RULES) if check else gold,
+    return Layers(orders, silver, enforce(gold, GOLD_RULES) if check else gold,
                   [r for r in checks if r.action == DROP])

@@ -8,17 +8,26 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys whose row was added, removed or changed. Keys must be unique in each state.
+    """Keys whose row was added, removed or changed. Keys must be unique in each state; a NULL in a
+    key is a value like others. A column that one state lacks is NULL there.
 
     Both states are reduced to key and row hash before the shuffle.
     """
-    values = [c for c in old.columns if c in new.columns and c not in keys]
+    types = {f.name: f.dataType for df in (new, old) for f in df.schema}
+    values = [c for c in dict.fromkeys([*old.columns, *new.columns]) if c not in keys]
 
     def reduced(df: DataFrame, name: str) -> DataFrame:
-        text = F.to_json(F.struct(*values), {"ignoreNullFields": "false"})
-        return df.select(*keys, F.sha2(text, 256).alias(name))
-
-    joined = reduced(old, "_old").join(reduced(new, "_new"), list(keys), "full")
+        cells = [F.col(f"`{c}`") if c in df.columns else F.lit(None).cast(types[c]).alias(c) for c in values]
+        text = F.to_json(F.struct(*cells), {"ignoreNullFields": "false"}) if cells else F.lit("")
+        return df.select(*[F.col(f"`{k}`").alias(f"{name}_{i}") for i, k in enumerate(keys)],
+                         F.sha2(text, 256).alias(name))
+
+    same = F.lit(True)
+    for i in range(len(keys)):
+        same &= F.col(f"_old_{i}").eqNullSafe(F.col(f"_new_{i}"))
+    both = reduced(old, "_old").join(reduced(new, "_new"), same, "full")
+    joined = both.select(
+        *[F.coalesce(f"_old_{i}", f"_new_{i}").alias(k) for i, k in enumerate(keys)], "_old", "_new")
     change = (
         F.when(F.col("_old").isNull(), F.lit("added"))
         .when(F.col("_new").isNull(), F.lit("removed"))

@@ -156,6 +156,25 @@ def test_join_size_and_guard(spark):
     assert joins.guarded_join(left, right, ["k"], 10**6).count() == size["keyed_rows"]
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "right_outer", "full", "outer", "left_semi", "left_anti"])
+def test_join_size_of_every_kind(spark, how):
+    left = spark.createDataFrame([(1, 1), (1, 1), (2, 1), (None, 1), (None, None), (4, 1), (5, 2)], "k int, j int")
+    right = spark.createDataFrame([(1, 1), (1, 1), (1, 1), (2, 1), (2, 9), (None, 1), (7, 1)], "k int, j int")
+    for a, b in [(left, right), (left.limit(0), right), (left, right.limit(0))]:
+        for on in (["k"], ["k", "j"]):
+            size = joins.join_size(a, b, on, how).first()["keyed_rows"]
+            assert size == a.join(b, on, how).count()
+            joins.guarded_join(a, b, on, size, how)
+            if size:
+                with pytest.raises(ValueError, match="more than"):
+                    joins.guarded_join(a, b, on, size - 1, how)
+
+
+def test_join_size_of_an_unknown_kind(spark):
+    with pytest.raises(ValueError, match="no join of kind"):
+        joins.join_size(spark.range(1), spark.range(1), ["id"], "asof")
+
+
 def test_anti_join(spark):
     left = spark.range(5).withColumnRenamed("id", "k")
     right = spark.createDataFrame([(1,), (1,), (3,)], "k long")
@@ -265,6 +284,22 @@ def test_snapshot_diff(spark):
         (2, "changed"), (3, "removed"), (4, "added")]
 
 
+def test_snapshot_diff_of_null_keys_and_columns_on_one_side(spark):
+    old = spark.createDataFrame([(1, None, "a"), (None, 2, "b"), (None, None, "c"), (3, 3, None), (4, 4, "d")],
+                                "id int, part int, gone string")
+    new = spark.createDataFrame([(1, None, None), (None, 2, None), (None, None, 7), (3, 3, None), (5, None, 1)],
+                                "id int, part int, came int")
+    found = rows(snapshot_diff(old, new, ["id", "part"]))
+    assert sorted(found, key=str) == sorted([
+        (1, None, "changed"), (None, 2, "changed"), (None, None, "changed"), (4, 4, "removed"),
+        (5, None, "added")], key=str)
+    assert rows(snapshot_diff(old, old, ["id", "part"])) == []
+    keys = old.select("id", "part")
+    assert rows(snapshot_diff(keys, keys.filter("id = 1"), ["id", "part"])) and \
+        rows(snapshot_diff(keys, keys, ["id", "part"])) == []
+
+
+
 def test_keyless_diff_counts_copies(spark):
     old = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "s string")
     new = spark.createDataFrame([("a",), ("c",), (None,)], "s string")
