@@ -192,7 +192,11 @@ def train(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     for to, i in enumerate(order):
         x[to] = np.frombuffer(raw[i], np.float16)
     del found, raw
-    return Model(np.array([names[i] for i in order], object), x)
+    give_back()  # the driver lives on, too
+    model = Model(np.array([names[i] for i in order], object), x)
+    del x
+    give_back()
+    return model
 
 
 def identify(docs: DataFrame, model: Model, name: str = "lang_pred", score: str = "score") -> DataFrame:
