@@ -17,6 +17,7 @@ repeat a doc_id are predicted each by its text.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -66,27 +67,29 @@ def vectors(flat: Flat) -> np.ndarray:
     return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
 
 
-def machine(x: np.ndarray, positive: np.ndarray, cost: float = 4.0, rounds: int = 30) -> np.ndarray:
-    """Weights (the last one is the bias) of a linear support vector machine, then the two numbers
-    of the logistic curve that turns its margin into a probability."""
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
+def machine(x: np.ndarray, length: np.ndarray, rows: np.ndarray, positive: np.ndarray, cost: float = 4.0,
+            rounds: int = 30) -> np.ndarray:
+    """Weights (the last one is the bias) of a linear support vector machine between the given rows of
+    ``x``, then the two numbers of the logistic curve that turns its margin into a probability.
+    ``length`` is the square of each row's length with the bias. No machine copies ``x``."""
     y = np.where(positive, 1.0, -1.0)
     c = np.where(positive, len(y) / (2 * max(positive.sum(), 1)),
                  len(y) / (2 * max((~positive).sum(), 1))) * cost
-    length = np.einsum("ij,ij->i", x, x)  # no copy of x: the driver holds only a few of them
-    alpha, w = np.zeros(len(y)), np.zeros(x.shape[1], np.float32)
+    alpha, w, bias = np.zeros(len(y)), np.zeros(x.shape[1], np.float32), 0.0
     rng = np.random.RandomState(7)
     for _ in range(rounds):
         moved = 0.0
         for i in rng.permutation(len(y)):
-            new = min(max(alpha[i] - (y[i] * float(x[i] @ w) - 1) / length[i], 0.0), c[i])
+            row = x[rows[i]]
+            new = min(max(alpha[i] - (y[i] * (float(row @ w) + bias) - 1) / length[rows[i]], 0.0), c[i])
             step = new - alpha[i]
             if step:
-                w += np.float32(step * y[i]) * x[i]
+                w += np.float32(step * y[i]) * row
+                bias += step * y[i]
                 alpha[i], moved = new, max(moved, abs(step))
         if moved < 1e-3:
             break
-    return np.concatenate((w, _curve(x @ w, positive)))
+    return np.concatenate((w, [bias], _curve((x @ w)[rows] + bias, positive)))
 
 
 def _curve(margin: np.ndarray, positive: np.ndarray) -> np.ndarray:
@@ -115,13 +118,16 @@ class Model:
         family = np.array([family_of(v) for v in langs])
         self.families = sorted(set(family))
         self.members = [[v for v in self.langs if family_of(v) == f] for f in self.families]
-        self.top = [machine(x, family == f) for f in self.families] if len(self.families) > 1 else []
+        length = np.einsum("ij,ij->i", x, x) + 1.0
+        every = np.arange(len(x))
+        self.top = [machine(x, length, every, family == f) for f in self.families] \
+            if len(self.families) > 1 else []
         self.pairs = {}
         for members in self.members:
             for i, a in enumerate(members):
                 for b in members[i + 1:]:
-                    rows = (langs == a) | (langs == b)
-                    self.pairs[a, b] = machine(x[rows], langs[rows] == a)
+                    rows = np.flatnonzero((langs == a) | (langs == b))
+                    self.pairs[a, b] = machine(x, length, rows, langs[rows] == a)
 
     @staticmethod
     def _margin(x: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -185,13 +191,14 @@ def train(labelled: DataFrame, sample: int = SAMPLE) -> Model:
         .mapInArrow(lean(_vectorise), "mark long, lang string, x binary").distinct().toArrow()
     if not found.num_rows:
         return Model(np.array([], object), np.zeros((0, DIMENSIONS), np.float32))
-    names, raw = found.column("lang").to_pylist(), found.column("x").to_pylist()
-    marks = found.column("mark").to_pylist()
-    order = sorted(range(len(raw)), key=lambda i: (marks[i], names[i], raw[i]))
-    x = np.empty((len(raw), DIMENSIONS), np.float32)
-    for to, i in enumerate(order):
-        x[to] = np.frombuffer(raw[i], np.float16)
-    del found, raw
+    names, marks = found.column("lang").to_pylist(), found.column("mark").to_pylist()
+    order = sorted(range(len(names)), key=lambda i: (marks[i], names[i]))
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    x = np.empty((len(order), DIMENSIONS), np.float32)
+    for to, value in zip(place, itertools.chain.from_iterable(found.column("x").chunks)):
+        x[to] = np.frombuffer(value.as_buffer(), np.float16)  # where it lies, not a copy of it
+    del found, value
     give_back()  # the driver lives on, too
     model = Model(np.array([names[i] for i in order], object), x)
     del x
