@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import query
 from lakewarden.functions import ago, at, bucket, first_present, since, trunc
-from lakewarden.operators.aggregates import count_where, pctl, share
+from lakewarden.operators.aggregates import count_where, distinct_counts, pctl, share
 from lakewarden.operators.sets import keyless_diff, snapshot_diff
 from lakewarden.operators.shape import domain, evolve, first_rows, flatten_params, replicate
 from lakewarden.plans import retail
@@ -402,9 +402,8 @@ def d01(lake):
        "SELECT channel, count(DISTINCT customer_id) AS customers, count(DISTINCT region) AS"
        " regions, count(DISTINCT status) AS states FROM v_orders GROUP BY channel")
 def d02(lake):
-    return lake.orders().groupBy("channel").agg(
-        F.countDistinct("customer_id").alias("customers"),
-        F.countDistinct("region").alias("regions"), F.countDistinct("status").alias("states"))
+    return distinct_counts(lake.orders(), ["channel"], {
+        "customers": "customer_id", "regions": "region", "states": "status"})
 
 
 @query("d03_spread",

@@ -47,3 +47,30 @@ def windowed_metrics(df: DataFrame, ts: str, metrics: dict[str, str],
     return df.groupBy(F.window(ts, width)).agg(
         *[F.expr(text).alias(name) for name, text in metrics.items()]
     ).select(F.col("window.start").alias("window_start"), *metrics)
+
+
+def distinct_counts(df: DataFrame, keys: Sequence[str], counted: dict[str, str],
+                    aggregates: Sequence[Column] = (), rows: str | None = None) -> DataFrame:
+    """Exact distinct counts of several columns per key, next to other aggregates.
+
+    ``counted`` names the result of each column; ``rows`` names the number of rows, if it is wanted.
+    Several distinct counts in one aggregate repeat every row, with all its columns, once for each of
+    them. Here each column is made distinct on its own, from the keys and that column alone, by key
+    and value, so a hot key is divided by its values. One reduction per key follows, which combines
+    before its shuffle. NULL is not counted but is a key like any other. ``df`` is read once per column,
+    each time without the other columns: give a stored table, not a join that would run again.
+
+    ``aggregates`` must skip NULL, as all aggregates of columns do: give no ``count(*)``.
+    """
+    parts = [df.withColumn("_row", F.lit(1))]
+    for name, column in counted.items():
+        parts.append(
+            df.select(*keys, F.col(column).alias(f"_value_{name}"))
+            .filter(F.col(f"_value_{name}").isNotNull()).distinct()
+            .select(*keys, F.lit(1).alias(f"_one_{name}")))
+    both = parts[0]
+    for part in parts[1:]:
+        both = both.unionByName(part, allowMissingColumns=True)
+    ones = [F.count(f"_one_{name}").alias(name) for name in counted]
+    total = [F.count("_row").alias(rows)] if rows else []
+    return both.groupBy(*keys).agg(*total, *ones, *aggregates)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -52,41 +53,71 @@ def left_lookup(fact: DataFrame, dim: DataFrame, key: str, spread: str,
     return left.join(right, [key, "_bucket"], "left").drop("_bucket")
 
 
-def hot_keys(df: DataFrame, key: str, parts: int) -> DataFrame:
-    """Keys that hold more than ``1/parts`` of all rows, so fewer than ``parts`` of them, with the
-    number of parts (``_salts``) that such a share stands for."""
-    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
-    total = counts.agg(F.sum("_n").alias("t")).select("t").scalar()
-    salts = F.ceil(F.col("_n") * F.lit(parts) / total).cast("int")
-    return counts.filter(F.col("_n") * F.lit(parts) > total).select(key, salts.alias("_salts"))
+def hot_keys(df: DataFrame, key: str, parts: int) -> dict:
+    """Keys that hold more than ``1/parts`` of the rows with a key, so fewer than ``parts`` of them,
+    and the number of parts that such a share stands for.
+
+    One mergeable sketch of the frequent values finds them: a row per task goes out, where a count
+    per key would shuffle every key. It tracks 16 values for each part, so a count is off by less than
+    a quarter of the share that is looked for; a key near the edge may be on either side of it.
+    """
+    tracked = 16 * parts
+    found = df.filter(F.col(key).isNotNull()).agg(
+        F.count("*").alias("n"),
+        F.expr(f"approx_top_k(`{key}`, {parts}, {tracked})").alias("top")).first()
+    return {row["item"]: math.ceil(row["count"] * parts / found["n"])
+            for row in found["top"] or [] if row["count"] * parts > found["n"]}
+
+
+def _salts(hot: dict, key: str) -> Column:
+    """Number of salts of a row's key, 1 for all keys that are not hot."""
+    if not hot:
+        return F.lit(1)
+    listed = F.create_map(*[F.lit(v) for item in hot.items() for v in item])
+    return F.coalesce(listed[F.col(key)], F.lit(1))
 
 
 def salted_join(left: DataFrame, right: DataFrame, key: str, spread: str,
-                parts: int | None = None, how: str = "inner") -> DataFrame:
-    """Equi join that divides the hot keys of ``left`` over tasks by their share of the rows.
-
-    Only keys above ``1/parts`` of the rows are salted, each ``parts`` times its share; the default
-    is the number of shuffle partitions or of the cluster's cores, 64 at least. There are fewer
-    than ``parts`` such keys, which bounds the broadcast of the key list, and their rows of
-    ``right`` are repeated as often as they have salts, no others. NULL keys find no partner and
-    are divided too.
+                parts: int | None = None, how: str = "inner",
+                spread_right: str | None = None) -> DataFrame:
+    """Equi join, by shuffle and sort-merge, that divides hot keys over tasks by their share of rows.
+
+    Only keys above ``1/parts`` of the rows of ``left`` are salted, each ``parts`` times its share; the
+    default is the number of shuffle partitions or of the cluster's cores, 64 at least. The rows of
+    ``right`` with such a key are repeated as often as it has salts, no others. With ``spread_right``
+    the hot keys of ``right`` are divided, too: a key that is hot on both sides is cut into a grid, in
+    which each pair of rows meets once. NULL keys find no partner and are divided by ``spread``.
+
+    The lists of hot keys, fewer than ``parts`` each, are found first and are fixed in the plan, so
+    both sides agree on the salts when a lost stage runs again. Neither side is broadcast: a side
+    that is small enough for it needs no salts (see ``lookup_join``).
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join repeats rows of the right side: use inner or left")
+    if spread_right is not None and how != "inner":
+        raise ValueError("salts of the right side repeat rows of the left one: use inner")
     spark = left.sparkSession
     if parts is None:
         parts = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")),
                     spark.sparkContext.defaultParallelism)
-    hot = F.broadcast(hot_keys(left, key, parts))
-    wide = F.when(F.col(key).isNull(), F.lit(parts)).otherwise(F.coalesce("_salts", F.lit(1)))
-    salted = left.join(hot, key, "left") \
-        .withColumn("_salt", F.pmod(F.xxhash64(spread), wide).cast("int")).drop("_salts")
-    last = F.coalesce("_salts", F.lit(1)) - 1
-    repeated = (
-        right.join(hot, key, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), last))).drop("_salts")
-    )
-    return salted.join(repeated, [key, "_salt"], how).drop("_salt")
+    across = _salts(hot_keys(left, key, parts), key)
+    down = _salts(hot_keys(right, key, parts) if spread_right else {}, key)
+    wide = F.when(F.col(key).isNull(), F.lit(parts)).otherwise(across)
+
+    def place(name: str, salts: Column) -> Column:
+        return F.pmod(F.xxhash64(name), salts).cast("int")
+
+    def each(salts: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0), salts - 1))
+
+    salted = left.withColumn("_salt", place(spread, wide))
+    repeated = right.withColumn("_salt", each(across))
+    on = [key, "_salt"]
+    if spread_right is not None:
+        salted = salted.withColumn("_salt_right", each(down))
+        repeated = repeated.withColumn("_salt_right", place(spread_right, down))
+        on.append("_salt_right")
+    return salted.hint("merge").join(repeated, on, how).drop(*on[1:])
 
 
 def salted_agg(df: DataFrame, key: Sequence[str], spread: str, salts: int,

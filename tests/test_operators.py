@@ -1,12 +1,13 @@
 """Joins, current versions, ordered calculations, sets and skew."""
 
+import re
 from datetime import datetime
 
 import pytest
 from pyspark.sql import Window, functions as F
 
 from lakewarden.operators import joins
-from lakewarden.operators.aggregates import consecutive, share
+from lakewarden.operators.aggregates import consecutive, distinct_counts, share
 from lakewarden.operators.latest import latest, top_per_key, with_latest
 from lakewarden.operators.lineage import upstream
 from lakewarden.operators.ranking import ordered_by_key, scd_history
@@ -62,9 +63,9 @@ def test_salted_join_equals_plain_join(spark):
 
 def test_salted_join_divides_the_hot_key(spark):
     left = hot(spark)
-    hot_list = joins.hot_keys(left, "k", 64).collect()
-    assert [r["k"] for r in hot_list if r["k"] == 7] == [7] and len(hot_list) < 64
-    right = spark.range(40).selectExpr("id AS k", "id * 10 AS w").hint("merge")
+    hot_list = joins.hot_keys(left, "k", 64)
+    assert hot_list[7] > 3 and len(hot_list) < 64
+    right = spark.range(40).selectExpr("id AS k", "id * 10 AS w")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         joined = joins.salted_join(left, right, "k", "v")
@@ -74,6 +75,67 @@ def test_salted_join_divides_the_hot_key(spark):
     assert len(counts) > 3
 
 
+def test_salted_join_is_a_sort_merge_join_on_key_and_salt(spark):
+    right = spark.range(40).selectExpr("id AS k", "id * 10 AS w")
+    plan = plan_of(joins.salted_join(hot(spark), right, "k", "v"))
+    assert "BroadcastHashJoin" not in plan
+    assert re.search(r"SortMergeJoin \[k#\w+, _salt#\w+\]", plan)
+
+
+def test_keys_that_are_hot_on_both_sides_meet_in_a_grid(spark):
+    def side(n, value):
+        key = "CASE WHEN id % 3 = 0 THEN 7 WHEN id % 50 = 1 THEN NULL ELSE id END AS k"
+        return spark.range(n).selectExpr(key, f"id AS {value}")
+
+    left, right = side(3000, "v"), side(600, "w")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = joins.salted_join(left, right, "k", "v", spread_right="w")
+        assert rows(joined) == rows(left.join(right, "k"))
+        parts = joined.filter("k = 7").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(parts) == 8 and max(r["count"] for r in parts) < 0.3 * 1000 * 200
+    with pytest.raises(ValueError):
+        joins.salted_join(left, right, "k", "v", how="left", spread_right="w")
+    assert joins.salted_join(left.limit(0), right, "k", "v", spread_right="w").count() == 0
+    assert joins.salted_join(left, right.limit(0), "k", "v", spread_right="w").count() == 0
+
+
+def test_hot_keys_keep_to_the_error_of_the_sketch(spark):
+    # 40 keys of 2 % each are above 1/64, 4,000 keys share the rest.
+    df = spark.range(100_000).selectExpr(
+        "CASE WHEN id % 10 < 8 THEN concat('hot', id div 10 % 40) ELSE concat('k', id div 10 % 4000) END AS k")
+    found = joins.hot_keys(df, "k", 64)
+    assert {f"hot{i}" for i in range(40)} == set(found) and set(found.values()) == {2}
+    assert joins.hot_keys(df.limit(0), "k", 64) == {}
+    assert joins.hot_keys(df.selectExpr("CAST(NULL AS STRING) AS k"), "k", 64) == {}
+
+
+def test_distinct_counts_equal_the_plain_ones(spark):
+    df = spark.range(5000).selectExpr(
+        "CASE WHEN id % 3 > 0 THEN id % 3 END AS a", "CASE WHEN id % 7 > 0 THEN concat('g', id % 7) END AS b",
+        "CASE WHEN id % 5 > 0 AND id % 7 <> 2 THEN id % 101 END AS x", "concat('y', id % 13) AS y",
+        "CASE WHEN id % 11 > 0 THEN id * 1.5D END AS m")
+    measures = [F.sum("m").alias("total"), F.stddev("m").alias("spread"), F.min("m").alias("least")]
+    plain = df.groupBy("a", "b").agg(
+        F.count("*").alias("n"), F.countDistinct("x").alias("xs"), F.countDistinct("y").alias("ys"), *measures)
+    found = distinct_counts(df, ["a", "b"], {"xs": "x", "ys": "y"}, measures, rows="n")
+    assert found.columns == plain.columns
+    for one, other in zip(rows(found), rows(plain)):
+        assert one == pytest.approx(other)
+    assert "Expand" in plan_of(plain) and "Expand" not in plan_of(found)
+    assert distinct_counts(df.limit(0), ["a"], {"xs": "x"}).count() == 0
+
+
+def test_distinct_counts_divide_a_hot_key_by_its_values(spark):
+    df = spark.range(5000).selectExpr("id div 5000 AS a", "id AS x", "id % 2 AS y")
+    found = distinct_counts(df, ["a"], {"xs": "x", "ys": "y"})
+    assert rows(found) == [(0, 5000, 2)]
+    dealt = re.findall(r"hashpartitioning\(([^)]*?), \d+\)", plan_of(found))
+    assert sorted(len(keys.split(", ")) for keys in dealt) == [1, 2, 2]
+
+
 def test_salted_left_join_keeps_null_keys(spark):
     left = spark.range(1000).selectExpr("CASE WHEN id % 2 = 0 THEN id % 10 END AS k", "id AS v")
     right = spark.range(20).selectExpr("id AS k", "id + 1 AS w")
