@@ -596,7 +596,7 @@ def g05_keyless(lake):
        "SELECT event_id, 'W' || coalesce(client_application, '?') AS joined,"
        " substring(statement_text, 1, 12) AS head, instr(statement_text, 'gold') AS place,"
        " regexp_extract(error_message, '\\[(.*?)\\]', 1) AS error_class,"
-       " regexp_replace(statement_text, '[0-9]+', '#') AS masked, lower(statement_text) AS low,"
+       " regexp_replace(statement_text, '[0-9]+', '#', 'g') AS masked, lower(statement_text) AS low,"
        " lpad(CAST(event_id AS VARCHAR), 8, '0') AS padded FROM v_history")
 def h01(lake):
     text = F.col("statement_text")
@@ -605,8 +605,7 @@ def h01(lake):
         .alias("joined"), F.substring(text, 1, 12).alias("head"),
         F.instr(text, "gold").cast("bigint").alias("place"),
         F.regexp_extract("error_message", r"\[(.*?)\]", 1).alias("error_class"),
-        # DuckDB replaces the first match unless told otherwise.
-        F.regexp_replace(text, r"^([^0-9]*)[0-9]+", "$1#").alias("masked"),
+        F.regexp_replace(text, "[0-9]+", "#").alias("masked"),
         F.lower(text).alias("low"),
         F.lpad(F.col("event_id").cast("string"), 8, "0").alias("padded"))
 

@@ -78,10 +78,15 @@ def renamed(lake):
 
 @query("a12_rescue",
        "SELECT event_id, event_type, CASE WHEN ts < TIMESTAMP '2024-01-15' THEN value END AS value,"
-       " ts >= TIMESTAMP '2024-01-15' AS rescued FROM events", "value")
+       " ts >= TIMESTAMP '2024-01-15' AS rescued, CASE WHEN ts >= TIMESTAMP '2024-01-15' THEN value"
+       " END AS amount, CASE WHEN ts >= TIMESTAMP '2024-01-15' THEN 'user' || user_id END AS origin"
+       " FROM events", "value amount")
 def a12(lake):
-    return renamed(lake).select("event_id", "event_type", "value",
-                                F.col("_rescued_data").isNotNull().alias("rescued"))
+    kept = unrescue(renamed(lake), {"amount": "double", "origin": "string"})
+    return kept.select("event_id", "event_type", "value",
+                       F.col("_rescued_data").isNotNull().alias("rescued"),
+                       F.col("rescued_amount").alias("amount"),
+                       F.col("rescued_origin").alias("origin"))
 
 
 @query("a13_fail_on_new", "SELECT event_id, event_type, value FROM events WHERE ts < TIMESTAMP '2024-01-15'",

@@ -21,15 +21,20 @@ def field_types(lines: DataFrame) -> DataFrame:
         F.schema_of_variant_agg("v").alias("kind"), F.count("*").alias("row_count"))
 
 
-def infer_schema(lines: DataFrame, typed: bool = True,
-                 hints: Mapping[str, str] | None = None) -> T.StructType:
+def infer_schema(lines: DataFrame, typed: bool = True, hints: Mapping[str, str] | None = None,
+                 most: int | None = None) -> T.StructType:
     """Fields of JSON lines in order of name, typed by all their values or all strings.
 
     A field whose values have different types, or a nested one, becomes a string. Only one row per
-    field reaches the driver.
+    field reaches the driver. Where the data choose the names, as in maps written out as fields, ``most``
+    bounds these rows: the fields that most lines have (of equal ones the first by name) get columns.
+    The others are not lost, as ``parse`` leaves them in the rescue column. Hints count on top.
     """
     hints = hints or {}
-    found = {r["field"]: r["kind"] for r in field_types(lines).collect()}
+    types = field_types(lines)
+    if most is not None:
+        types = types.orderBy(F.desc("row_count"), "field").limit(most)
+    found = {r["field"]: r["kind"] for r in types.collect()}
     fields = {name: _type_of(kind) if typed else "string" for name, kind in found.items()}
     fields.update(hints)
     return T.StructType([T.StructField(n, T.DataType.fromDDL(fields[n])) for n in sorted(fields)])
@@ -67,7 +72,8 @@ def parse(lines: DataFrame, schema: T.StructType, rescue: bool = True,
     """JSON lines as typed columns.
 
     With ``rescue`` whatever does not fit goes to ``_rescued_data`` as JSON text: unknown fields,
-    values of another type, and whole lines that are not JSON.
+    values of another type, and whole lines that are not JSON. An entry is looked up by its name in
+    the fields of each type and tested against the one type it has, however many fields there are.
     """
     fields = F.from_json("value", "map<string,variant>", {"mode": "PERMISSIVE"})
     rows = lines.withColumn("_fields", fields)
@@ -77,11 +83,15 @@ def parse(lines: DataFrame, schema: T.StructType, rescue: bool = True,
 
     columns = [get(f).alias(f.name) for f in schema.fields]
     if rescue:
+        by_type: dict[str, list[T.StructField]] = {}
+        for f in schema.fields:
+            by_type.setdefault(f.dataType.simpleString(), []).append(f)
+
         def left_over(name: Column, v: Column) -> Column:
-            lost = ~name.isin(schema.names)
-            for f in schema.fields:
-                misfit = (name == f.name) & _typed(v, f.dataType).isNull() & ~F.is_variant_null(v)
-                lost = lost | misfit
+            lost = F.lit(True)  # a name that no type has
+            for same in by_type.values():
+                misfit = _typed(v, same[0].dataType).isNull() & ~F.is_variant_null(v)
+                lost = F.when(name.isin([f.name for f in same]), misfit).otherwise(lost)
             return lost
 
         rest = F.map_filter("_fields", left_over)

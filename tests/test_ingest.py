@@ -375,3 +375,29 @@ def test_files_of_any_age_arrive(spark, tmp_path):
         os.utime(path, (past, past))
         setup.run(spark)
     assert ingest.read_ingested(spark, setup).count() == 3
+
+
+def test_fields_beyond_the_most_frequent_go_to_the_rescue_column(spark):
+    # 3,000 names that the data choose, each on one line, beside three that all lines have.
+    lines = spark.range(3000).selectExpr(
+        """concat('{"id":', id, ',"name":"n', id, '","score":', CASE WHEN id % 10 = 0 THEN '"bad"' ELSE '1.5' END,
+           ',"tag', id, '":', id, '}') AS value""")
+    schema = jsonlines.infer_schema(lines, hints={"score": "double"}, most=2)
+    assert schema.simpleString() == "struct<id:bigint,name:string,score:double>"
+    found = jsonlines.parse(lines, schema)
+    assert found.columns == ["id", "name", "score", "_rescued_data"]
+    got = {r["id"]: (r["name"], r["score"], json.loads(r["_rescued_data"])) for r in found.collect()}
+    assert got == {i: (f"n{i}", None, {"score": "bad", f"tag{i}": i}) if i % 10 == 0
+                   else (f"n{i}", 1.5, {f"tag{i}": i}) for i in range(3000)}
+    assert len(jsonlines.infer_schema(lines).fields) == 3003
+    assert jsonlines.infer_schema(lines.limit(0), most=2).fields == []
+
+
+def test_rescue_tests_each_type_once(spark):
+    fields = [T.StructField(f"f{i}", T.LongType() if i % 2 else T.BooleanType()) for i in range(40)]
+    lines = spark.createDataFrame([('{"f0":true,"f1":1,"f2":5,"f3":null,"g":2}',), ("no json",)], "value string")
+    found = jsonlines.parse(lines, T.StructType(fields))
+    got = {(r["f0"], r["f1"], r["f2"], r["f3"], r["_rescued_data"]) for r in found.collect()}
+    assert got == {(True, 1, None, None, '{"f2":5,"g":2}'), (None, None, None, None, "no json")}
+    rescued = found.select("_rescued_data")._jdf.queryExecution().optimizedPlan().toString()
+    assert 2 <= rescued.count("variant_get(") <= 4  # two types, and not 40 fields
