@@ -31,8 +31,7 @@ from lakewarden.llm.pieces import CUT, PieceTable
 
 END_ID = 0
 SHARD_IDS = 1 << 20
-ROUNDS, MIN_COUNT = 4, 16
-SLOTS = 1 << 17
+MIN_COUNT = 2
 CACHE = 128 << 20  # bytes of the table of pieces
 JOINED = 4096
 
@@ -41,84 +40,124 @@ SHARD = ("part int, shard int, ids_before long, n_ids int, vocabulary int, doc_i
          "symbol_bytes int, symbols binary")
 
 
-def compress(ids: np.ndarray, ends: np.ndarray, vocabulary: int, rounds: int = ROUNDS,
+def compress(ids: np.ndarray, ends: np.ndarray, vocabulary: int, rounds: int | None = None,
              min_count: int = MIN_COUNT) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Re-Pair over documents laid end to end (``ends``: exclusive ends). Returns the rules (shape
-    (n, 2)), the expansion length of each, the symbols, and the documents' ends in symbols."""
-    seq = ids.astype(np.int64)
-    last = np.zeros(len(seq), bool)
-    last[ends[ends > 0] - 1] = True
+    (n, 2)), the expansion length of each, the symbols, and the documents' ends in symbols.
+
+    Pairs are ranked by their exact count, ties by a fixed scramble of their numbers. A round replaces
+    all pairs that rank above every pair they overlap with anywhere: no replacement elsewhere can
+    change their count, and none makes a pair that ranks above them, so the most frequent pair first
+    would replace them just so. Counts are kept up to date at the replaced places only. It ends when
+    no pair occurs ``min_count`` times; ``rounds`` ends it earlier.
+    """
+    n = len(ids)
+    seq = np.append(ids.astype(np.int32), np.int32(0))
+    last = np.zeros(n + 1, bool)
+    last[ends[ends > 0] - 1] = last[n] = True
+    after, before = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32)  # neighbours; place n is a border
+    after[n] = before[0] = n
+    kept, skip = np.ones(n, bool), np.zeros(n + 1, bool)
+    # The pair that begins at a place: 0 for none and for those that cannot be replaced any more.
+    pair = np.zeros(n + 1, np.int32)
+    left, right, count = (np.zeros(1, np.int64) for _ in range(3))
     rules: list[np.ndarray] = []
     lengths = np.ones(vocabulary, np.int64)
-    known: dict[int, int] = {}
-    for turn in range(rounds):
-        if len(seq) < 2:
+    live, fresh, turn = np.zeros(0, np.int32), np.flatnonzero(~last).astype(np.int32), 0
+    while True:
+        # Number the pairs at the fresh places: each holds a symbol of the last round, so none is known.
+        codes, which, times = np.unique(seq[fresh].astype(np.int64) << 32 | seq[after[fresh]],
+                                        return_inverse=True, return_counts=True)
+        often = times >= min_count
+        number = np.where(often, np.cumsum(often) + len(count) - 1, 0)
+        pair[fresh] = number[which]
+        left, right = np.append(left, codes[often] >> 32), np.append(right, codes[often] & 0xFFFFFFFF)
+        count = np.append(count, times[often])
+        live = np.concatenate((live, fresh[often[which]]))
+        # In a row of equal symbols every other pair counts.
+        own, real = pair[live], count.copy()
+        alike = left[own] == right[own]
+        odd = np.zeros(0, np.int32)
+        if alike.any():
+            row = np.sort(live[alike])
+            place = np.arange(len(row))
+            begins = (pair[before[row]] != pair[row]) | (before[row] == n)
+            even = (place - np.maximum.accumulate(np.where(begins, place, 0))) % 2 == 0
+            odd = row[~even]
+            real -= np.bincount(pair[odd], minlength=len(real))
+        stays = real[own] >= min_count
+        pair[live[~stays]] = 0
+        live, own = live[stays], own[stays]
+        if not len(live) or turn == rounds:
             break
-        # Pairs are counted by hash; of pairs with one hash only one is looked at in a round, and
-        # the hash differs from round to round.
-        pair = seq[:-1] << 32 | seq[1:]
-        slot = ((seq[:-1] * (0x9E3779B1 + 2 * turn) + seq[1:] * 0x85EBCA77) >> 9) & (SLOTS - 1)
-        free = np.flatnonzero(~last[:-1])
-        held = np.zeros(SLOTS, np.int64)
-        held[slot[free]] = pair[free]
-        free = free[held[slot[free]] == pair[free]]
-        n = np.bincount(slot[free], minlength=SLOTS)
-        good = np.flatnonzero(n >= min_count)
-        if not len(good):
-            break
-        rank = np.full(SLOTS, len(good), np.int32)
-        rank[good[np.argsort(-n[good], kind="stable")]] = np.arange(len(good))
-        at = free[rank[slot[free]] < len(good)]
-        order = np.full(len(seq) + 1, len(good), np.int32)  # one more on the right as a border
-        order[at] = rank[slot[at]]
-        # Of overlapping pairs the more frequent one is replaced; in a row of equal pairs every other.
-        here, left, right = order[:-1], np.append(np.int32(len(good)), order[:-2]), order[1:]
-        new_run = here != left
-        place = np.arange(len(here))
-        even = (place - np.maximum.accumulate(np.where(new_run, place, 0))) % 2 == 0
-        chosen = (here < len(good)) & even & ((here < left) | ~new_run) & (here <= right)
-        first = np.flatnonzero(chosen)
-        # A pair whose left neighbour was chosen has lost its first symbol.
-        if not len(first):
-            break
-        first = first[np.append(True, np.diff(first) > 1)]
-        used = np.flatnonzero(np.bincount(slot[first], minlength=SLOTS))
-        codes = held[used].tolist()
-        new = np.array([c for c in codes if c not in known], np.int64)
-        if len(new):
-            known.update(zip(new.tolist(), range(len(lengths), len(lengths) + len(new))))
-            rules.append(np.stack([new >> 32, new & 0xFFFFFFFF], axis=1))
-            lengths = np.append(lengths, lengths[new >> 32] + lengths[new & 0xFFFFFFFF])
-        symbol = np.zeros(SLOTS, np.int64)
-        symbol[used] = [known[c] for c in codes]
-        seq[first] = symbol[slot[first]]
-        last[first] = last[first + 1]
-        keep = np.ones(len(seq), bool)
-        keep[first + 1] = False
-        seq, last = seq[keep], last[keep]
-    flat = rules_flat(rules)
-    filled = np.flatnonzero(last) + 1
+        turn += 1
+        rank = real << 32 | np.arange(len(real)) * 0x9E3779B1 & 0xFFFFFFFF
+        rank[0] = 0
+        mine = rank[own]
+        lower = (rank[pair[before[live]]] > mine) | (rank[pair[after[live]]] > mine)
+        chosen = np.zeros(len(real), bool)
+        chosen[own] = True
+        chosen[own[lower]] = False
+        skip[odd] = True
+        at = live[chosen[own] & ~skip[live]]
+        skip[odd] = False
+        used = np.flatnonzero(chosen)
+        rules.append(np.stack((left[used], right[used]), axis=1))
+        name = np.zeros(len(real), np.int64)
+        name[used] = np.arange(len(lengths), len(lengths) + len(used))
+        lengths = np.append(lengths, lengths[left[used]] + lengths[right[used]])
+        second = after[at]
+        new = name[pair[at]]
+        for gone in (at, second, before[at]):  # a place is in each once; pairs there are no more
+            np.subtract.at(count, pair[gone], 1)
+            pair[gone] = 0
+        seq[at], last[at], kept[second] = new, last[second], False
+        after[at] = after[second]
+        before[after[at]] = at
+        live = live[pair[live] > 0]
+        fresh = np.union1d(at, before[at])
+        fresh = fresh[~last[fresh]]
+    filled = np.flatnonzero(last[:n][kept]) + 1
     out = np.zeros(len(ends), np.int64)
     sizes = np.diff(np.concatenate(([0], ends)))
     out[sizes > 0] = filled
-    return flat, lengths[vocabulary:], seq, np.maximum.accumulate(out) if len(out) else out
+    return (rules_flat(rules), lengths[vocabulary:], seq[:n][kept].astype(np.int64),
+            np.maximum.accumulate(out) if len(out) else out)
 
 
 def rules_flat(rules: list[np.ndarray]) -> np.ndarray:
     return np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
 
 
-def expand(symbols: np.ndarray, rules: np.ndarray, vocabulary: int) -> np.ndarray:
-    """The ids that symbols stand for."""
+def rule_lengths(rules: np.ndarray, vocabulary: int) -> np.ndarray:
+    """How many ids each symbol stands for; a rule holds ids and rules before it."""
+    out = np.append(np.ones(vocabulary, np.int64), np.zeros(len(rules), np.int64))
+    open_rules = np.arange(len(rules))
+    while len(open_rules):
+        parts = out[rules[open_rules]]
+        ready = parts.all(axis=1)
+        out[vocabulary + open_rules[ready]] = parts[ready].sum(axis=1)
+        open_rules = open_rules[~ready]
+    return out
+
+
+def expand(symbols: np.ndarray, rules: np.ndarray, vocabulary: int,
+           lengths: np.ndarray | None = None) -> np.ndarray:
+    """The ids that symbols stand for; ``lengths`` of the rules are found if they are not given."""
+    size = rule_lengths(rules, vocabulary) if lengths is None else \
+        np.append(np.ones(vocabulary, np.int64), lengths)
     seq = symbols.astype(np.int64)
-    while len(big := np.flatnonzero(seq >= vocabulary)):
-        pairs = rules[seq[big] - vocabulary]
-        times = np.ones(len(seq), np.int64)
-        times[big] = 2
-        start = np.cumsum(times) - times
-        seq = np.repeat(seq, times)
-        seq[start[big]], seq[start[big] + 1] = pairs[:, 0], pairs[:, 1]
-    return seq
+    ends = np.cumsum(size[seq])
+    start = ends - size[seq]
+    out = np.zeros(ends[-1] if len(ends) else 0, np.int64)
+    while len(seq):  # only rules go on
+        plain = seq < vocabulary
+        out[start[plain]] = seq[plain]
+        seq, start = seq[~plain], start[~plain]
+        pairs = rules[seq - vocabulary]
+        start = np.concatenate((start, start + size[pairs[:, 0]]))
+        seq = np.concatenate((pairs[:, 0], pairs[:, 1]))
+    return out
 
 
 class Encoder:
@@ -244,7 +283,8 @@ def document(shard: dict, at: int) -> np.ndarray:
     symbols = np.frombuffer(shard["symbols"], f"<u{shard['symbol_bytes']}")
     starts = list(shard["first_symbol"]) + [len(symbols)]
     rules = np.frombuffer(shard["rules"], "<u4").astype(np.int64).reshape(-1, 2)
-    return expand(symbols[starts[at]:starts[at + 1]], rules, shard["vocabulary"])
+    lengths = np.frombuffer(shard["lengths"], "<u4").astype(np.int64)
+    return expand(symbols[starts[at]:starts[at + 1]], rules, shard["vocabulary"], lengths)
 
 
 def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,7 +293,8 @@ def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             row = batch.slice(i, 1).to_pylist()[0]
             symbols = np.frombuffer(row["symbols"], f"<u{row['symbol_bytes']}")
             rules = np.frombuffer(row["rules"], "<u4").astype(np.int64).reshape(-1, 2)
-            ids = expand(symbols, rules, row["vocabulary"]).astype("<u4")
+            lengths = np.frombuffer(row["lengths"], "<u4").astype(np.int64)
+            ids = expand(symbols, rules, row["vocabulary"], lengths).astype("<u4")
             starts = np.append(np.array(row["first_id"], np.int64), len(ids))
             raw = memoryview(ids.tobytes())
             crc = [zlib.crc32(raw[4 * a:4 * b]) for a, b in zip(starts[:-1], starts[1:])]

@@ -218,6 +218,62 @@ def test_grammar_round_trip_and_random_access():
     assert len(symbols) < 100 and (repair.expand(symbols, rules, 5) == same).all()
 
 
+def most_frequent_first(ids, ends, min_count):
+    """Re-Pair one pair at a time; counts of the pairs that it replaced, and the symbols left."""
+    docs = [list(ids[a:b]) for a, b in zip([0, *ends[:-1]], ends)]
+    replaced, name = [], 1000
+    while True:
+        count = collections.Counter()
+        for d in docs:
+            i, last = 0, None
+            for i, pair in enumerate(zip(d, d[1:])):
+                if last != (i - 1, pair):
+                    count[pair] += 1
+                    last = (i, pair)
+                else:
+                    last = None
+        pair, n = max(count.items(), key=lambda kv: kv[1], default=(None, 0))
+        if n < min_count:
+            return replaced, sum(map(len, docs))
+        replaced.append(n)
+        for k, d in enumerate(docs):
+            new, i = [], 0
+            while i < len(d):
+                hit = tuple(d[i:i + 2]) == pair
+                new.append(name if hit else d[i])
+                i += 1 + hit
+            docs[k] = new
+        name += 1
+
+
+def test_grammar_goes_on_until_no_pair_is_left_twice():
+    passage = np.random.RandomState(3).permutation(400)
+    ids = np.tile(passage, 300)
+    rules, lengths, symbols, _ = repair.compress(ids, np.array([len(ids)]), 400)
+    assert lengths.max() > 400 and len(symbols) < 20 and (repair.expand(symbols, rules, 400) == ids).all()
+    # The symbols are numbered as they are made; none of their pairs is left twice.
+    rng = np.random.RandomState(4)
+    for trial in range(20):
+        ends = np.cumsum(rng.randint(1, 300, 8))
+        ids = np.minimum(rng.geometric(0.15, ends[-1]), 40)
+        rules, _, symbols, stops = repair.compress(ids, ends, 41)
+        left = collections.Counter()
+        for a, b in zip(np.append(0, stops[:-1]), stops):
+            left.update(p for p in zip(symbols[a:b], symbols[a + 1:b]) if p[0] != p[1])
+        assert max(left.values(), default=0) < 2
+        # One at a time, ties in another order: the same size but for what ties decide.
+        replaced, size = most_frequent_first(ids, ends, 2)
+        assert abs(len(symbols) - size) <= 0.03 * size and abs(len(rules) - len(replaced)) <= 0.08 * len(replaced)
+
+
+def test_most_frequent_pair_is_replaced_first():
+    # (1, 2) is counted 40 times, (2, 3) 30, (0, 1) 20: only the first may be replaced whole.
+    ids = np.array([0, 1, 2] * 20 + [1, 2, 3] * 20 + [9, 2, 3] * 10)
+    rules, _, _, _ = repair.compress(ids, np.array([len(ids)]), 10, rounds=1)
+    assert (1, 2) in set(map(tuple, rules.tolist()))
+    assert not {(2, 3), (0, 1)} & set(map(tuple, rules.tolist()))
+
+
 def test_shards_equal_the_tokenizer(spark):
     from tokenizers import Tokenizer
 
