@@ -260,6 +260,26 @@ def test_products_without_orders_are_kept(spark):
         ("c", 2, 1)]
 
 
+def test_daily_wide_counts_without_repeating_rows(spark):
+    kinds = ("order_id int, customer_id int, product_category string, product_color string,"
+             " customer_region string, customer_country string, loyalty_tier string, channel string,"
+             " order_timestamp timestamp_ntz, total_amount double, profit double, unit_price double")
+    some = [(o, c, cat, "x", "r", "n", None, "Web", t, float(a), 1.0, None if a % 3 else 2.0)
+            for a, (o, c, cat, t) in enumerate([
+                (1, 1, "k", days(1)), (1, 1, "k", days(1)), (1, 2, "k", days(1)), (2, 2, "k", days(1)),
+                (3, None, "k", days(1)), (None, None, "k", days(1)), (4, 1, None, days(2)),
+                (1, 1, "k", days(2)), (5, 1, "m", None), (5, 1, "m", None)])]
+    gold = spark.createDataFrame(some, kinds)
+    found = retail.daily_wide(gold)
+    plain = gold.groupBy("product_category", "product_color", "customer_region", "customer_country",
+                         "loyalty_tier", "channel",
+                         F.date_trunc("day", "order_timestamp").cast("timestamp_ntz").alias("day")).agg(
+        F.count("*"), F.countDistinct("customer_id"), F.countDistinct("order_id"), F.sum("total_amount"),
+        F.sum("profit"), F.avg("unit_price"), F.min("unit_price"), F.max("unit_price"), F.stddev("total_amount"))
+    assert rows(found) == rows(plain) and found.count() == 4
+    assert "Expand" not in plan_of(found)
+
+
 def test_daily_sales_rounds(orders):
     got = {(r["order_date"], r["channel"]): r for r in retail.daily_sales(orders).collect()}
     assert got[days(2).date(), "Web"]["avg_order_value"] == 60.0
