@@ -260,6 +260,21 @@ def test_products_without_orders_are_kept(spark):
         ("c", 2, 1)]
 
 
+def test_distinct_lines_of_products_are_dealt_in_parts_of_their_own(spark):
+    products = spark.createDataFrame([(1, "a", "c", "x"), (2, "b", "c", "y")],
+                                     "product_id int, product_name string, category string,"
+                                     " color string")
+    lines = spark.createDataFrame(
+        [(1, 7, 1, days(1)), (1, 7, 1, days(3)), (1, 8, None, days(2)), (1, 9, 1, None), (None, 1, 1, days(9))],
+        "product_id int, order_id int, customer_id int, order_timestamp timestamp_ntz")
+    found = retail.product_performance(products, lines)
+    assert rows(found.select("product_id", "order_count", "unique_buyers", "first_sale", "last_sale")) == rows(
+        spark.createDataFrame([(1, 3, 1, days(3), days(1)), (2, 0, 0, None, None)],
+                              "a int, b long, c long, d timestamp_ntz, e timestamp_ntz"))
+    plan = plan_of(retail.category_rollup(found))
+    assert "Expand" not in plan and "REPARTITION_BY_NUM" in plan
+
+
 def test_daily_wide_counts_without_repeating_rows(spark):
     kinds = ("order_id int, customer_id int, product_category string, product_color string,"
              " customer_region string, customer_country string, loyalty_tier string, channel string,"
