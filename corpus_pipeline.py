@@ -51,9 +51,12 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, with hashes of the ids and of the bytes they decode to."""
     ship(spark)
     return bytepiece.encoded(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
-                             public_tokenizers.PATTERN, with_ids=True)
+                             public_tokenizers.PATTERN, with_ids=True, cache=CACHE)
 
 
+#: The last stage finds executors that four stages have filled, so its tables of pieces are small.
+CACHE = 16 << 20
+
 STAGES = [("language", language), ("near_dedup", near_dedup), ("span_dedup", span_dedup),
           ("mix", mix), ("encode", encode)]
 

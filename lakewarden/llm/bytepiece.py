@@ -125,13 +125,15 @@ def codec(path: str, pattern: str) -> Codec:
     return _codecs[path, pattern]
 
 
-def encoded(docs: DataFrame, path: str, pattern: str, with_ids: bool = False) -> DataFrame:
+def encoded(docs: DataFrame, path: str, pattern: str, with_ids: bool = False, cache: int = CACHE) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_tokens, ids_sha256 (of the decimal ids joined by commas),
-    decoded_sha256 (of the bytes that the ids decode to), n_bytes (of them) and, if asked, ids."""
+    decoded_sha256 (of the bytes that the ids decode to), n_bytes (of them) and, if asked, ids. ``cache``
+    bounds the bytes of the table of pieces in each worker: a smaller one takes more time."""
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_bytes"] + ["ids"] * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
+        own.table.budget = cache
         try:
             for batch in batches:
                 for low in range(0, batch.num_rows, 64):

@@ -444,6 +444,14 @@ def test_byte_pieces_equal_the_rank_library(spark):
     assert bytepiece.encoded(documents(spark, []), path, public_tokenizers.PATTERN).count() == 0
 
 
+def test_a_small_table_of_pieces_gives_the_same(spark):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    docs = documents(spark, [*ODD, *[text(i) for i in range(50)]])
+    plain, small = (by_id(bytepiece.encoded(docs, path, public_tokenizers.PATTERN, with_ids=True, cache=cache))
+                    for cache in (bytepiece.CACHE, 1 << 12))
+    assert small == plain and len(plain) == len(ODD) + 50
+
+
 # Compression bands ----------------------------------------------------------------------------
 
 def test_base_counts_and_bands(spark):
