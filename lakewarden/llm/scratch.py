@@ -16,10 +16,11 @@ class Scratch:
     def __init__(self, spark: SparkSession, label: str):
         self.spark, self.root, self.count = spark, fresh_dir(spark, label), 0
 
-    def save(self, df: DataFrame, name: str) -> DataFrame:
+    def save(self, df: DataFrame, name: str, rows: int = 0) -> DataFrame:
+        """``rows`` is the most of one file (0: any number), for rows that are work for a task each."""
         self.count += 1
         path = f"{self.root}/{self.count:03d}-{name}"
-        df.write.parquet(path)
+        df.write.option("maxRecordsPerFile", rows).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch = path
         return out

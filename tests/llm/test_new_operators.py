@@ -192,6 +192,74 @@ def test_toxicity_sample_counts_pairs_of_id_and_text(spark):
     assert toxicity.scored(same.union(other), labels).count() == 3050
 
 
+def test_toxicity_learns_from_every_labelled_text(spark, monkeypatch):
+    rng = random.Random(5)
+    n = 7200
+    rows = [("vile " if i % 2 else "kind ") + " ".join(rng.choice("abcdefgh") * 3 for _ in range(4)) for i in range(n)]
+    rows[:10] = [r + " word" * 5000 for r in rows[:10]]
+    docs = documents(spark, rows)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(n)], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "TEXTS", 1000)
+    seen = []
+    monkeypatch.setattr(toxicity, "learned", lambda blocks, words, few, inner=toxicity.learned: (
+        seen.append(blocks.toPandas()), inner(blocks, words, few))[1])
+    score = {r["doc_id"]: r["score"] for r in toxicity.scored(docs, labels).collect()}
+    [blocks] = seen
+    assert len(blocks) >= 7 and sum(len(b) // 4 for b in blocks["sizes"]) == n
+    assert sum(len(b) // 4 for b in blocks["codes"]) == sum(len(r.split()) for r in rows)
+    assert all((score[i] >= 0.7) == bool(i % 2) for i in range(n))
+
+
+def test_toxicity_learns_from_long_texts(spark):
+    rows = [text(i, 2) + " word" * 4500 + (" vile" if i % 2 else " kind") * 3 for i in range(160)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(160)], "doc_id long, toxic int")
+    score = {r["doc_id"]: r["score"] for r in toxicity.scored(documents(spark, rows), labels).collect()}
+    assert min(score[i] for i in range(1, 160, 2)) >= 0.7 > max(score[i] for i in range(0, 160, 2))
+
+
+def test_toxicity_blocks_end_at_so_many_words(monkeypatch):
+    monkeypatch.setattr(toxicity, "WORDS", 10)
+    texts = [np.arange(n, dtype="<i4") for n in (4, 6, 1, 25, 0, 3)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([0, 0, 0, 0, 0, 1], pa.int32()), pa.array([0, 1, 0, 1, 0, 1]), pa.array([0, 0, 1, 0, 0, 0]),
+         pa.array([toxicity._planes(t) for t in texts], pa.binary())], ["part", "label", "apart", "codes"])
+    rows = [r for b in toxicity._pack([batch]) for r in b.to_pylist()]
+    assert [(r["part"], r["block"]) for r in rows] == [(0, 0), (0, 1), (0, 2), (0, 3), (1, 0)]
+    found = [toxicity._block(r) for r in rows]
+    assert [np.diff(e, prepend=0).tolist() for _, e, _, _ in found] == [[4, 6], [1], [25], [0], [3]]
+    assert np.concatenate([c for c, _, _, _ in found]).tolist() == np.concatenate(texts).tolist()
+
+
+def test_word_counts_equal_a_plain_count():
+    rng = random.Random(2)
+    texts = [" ".join(rng.choice(["ab", "abcde", "abcdf", "x", "über"]) for _ in range(rng.randint(0, 9)))
+             for _ in range(300)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    found = {}
+    for out in toxicity._count(iter([batch.slice(0, 100), batch.slice(100)])):
+        for h, s, n in zip(*(c.to_pylist() for c in out.columns)):
+            if s:
+                found[h] = found.get(h, 0) + n
+    plain = {}
+    for t in texts:
+        for w in set(t.split()):
+            plain[w] = plain.get(w, 0) + 1
+    assert {int(toxicity._hashes_of([w])[0].view(np.int64)[0]): n for w, n in plain.items()} == found
+
+
+def test_peaks_do_not_depend_on_blocks(monkeypatch):
+    rng = np.random.RandomState(9)
+    net = toxicity.Network(50)
+    texts = [rng.randint(0, 50, (2, n)) for n in (0, 1, 2, 40, 7, 300)]
+    doc = np.repeat(np.arange(len(texts)), [t.shape[1] for t in texts])
+    line, start = toxicity.sequence(len(texts), doc, np.concatenate(texts, axis=1))
+    top, place = net.peaks(line, start)
+    assert np.allclose(top, net.largest(line, start))
+    monkeypatch.setattr(toxicity, "BLOCK", 16)
+    again, where = net.peaks(line, start)
+    assert np.allclose(again, top) and (where == place).all()
+
+
 def test_largest_responses_do_not_depend_on_blocks():
     rng = np.random.RandomState(9)
     net = toxicity.Network(50)
