@@ -48,8 +48,10 @@ def compress(ids: np.ndarray, ends: np.ndarray, vocabulary: int, rounds: int | N
     Pairs are ranked by their exact count, ties by a fixed scramble of their numbers. A round replaces
     all pairs that rank above every pair they overlap with anywhere: no replacement elsewhere can
     change their count, and none makes a pair that ranks above them, so the most frequent pair first
-    would replace them just so. Counts are kept up to date at the replaced places only. It ends when
-    no pair occurs ``min_count`` times; ``rounds`` ends it earlier.
+    would replace them just so. Counts are kept up to date at the replaced places only. Rounds look at
+    the places of pairs seen ``least`` times alone, which is halved when none of these can be replaced:
+    rarer pairs rank below them. It ends when no pair occurs ``min_count`` times; ``rounds`` ends it
+    earlier.
     """
     n = len(ids)
     seq = np.append(ids.astype(np.int32), np.int32(0))
@@ -63,8 +65,8 @@ def compress(ids: np.ndarray, ends: np.ndarray, vocabulary: int, rounds: int | N
     left, right, count = (np.zeros(1, np.int64) for _ in range(3))
     rules: list[np.ndarray] = []
     lengths = np.ones(vocabulary, np.int64)
-    live, fresh, turn = np.zeros(0, np.int32), np.flatnonzero(~last).astype(np.int32), 0
-    while True:
+    live, fresh, turn, least = np.zeros(0, np.int32), np.flatnonzero(~last).astype(np.int32), 0, 0
+    while turn != rounds:
         # Number the pairs at the fresh places: each holds a symbol of the last round, so none is known.
         codes, which, times = np.unique(seq[fresh].astype(np.int64) << 32 | seq[after[fresh]],
                                         return_inverse=True, return_counts=True)
@@ -73,9 +75,13 @@ def compress(ids: np.ndarray, ends: np.ndarray, vocabulary: int, rounds: int | N
         pair[fresh] = number[which]
         left, right = np.append(left, codes[often] >> 32), np.append(right, codes[often] & 0xFFFFFFFF)
         count = np.append(count, times[often])
-        live = np.concatenate((live, fresh[often[which]]))
+        if not least:
+            least = max(min_count, int(count.max()) // 2)
+            live = np.flatnonzero(count[pair] >= least).astype(np.int32)
+        else:
+            live = np.concatenate((live, fresh[(times >= max(least, min_count))[which]]))
         # In a row of equal symbols every other pair counts.
-        own, real = pair[live], count.copy()
+        own, real = pair[live], count
         alike = left[own] == right[own]
         odd = np.zeros(0, np.int32)
         if alike.any():
@@ -84,24 +90,31 @@ def compress(ids: np.ndarray, ends: np.ndarray, vocabulary: int, rounds: int | N
             begins = (pair[before[row]] != pair[row]) | (before[row] == n)
             even = (place - np.maximum.accumulate(np.where(begins, place, 0))) % 2 == 0
             odd = row[~even]
-            real -= np.bincount(pair[odd], minlength=len(real))
+            real = count - np.bincount(pair[odd], minlength=len(count))
         stays = real[own] >= min_count
+        count[own[~stays]] = 0
         pair[live[~stays]] = 0
         live, own = live[stays], own[stays]
-        if not len(live) or turn == rounds:
-            break
-        turn += 1
-        rank = real << 32 | np.arange(len(real)) * 0x9E3779B1 & 0xFFFFFFFF
-        rank[0] = 0
-        mine = rank[own]
-        lower = (rank[pair[before[live]]] > mine) | (rank[pair[after[live]]] > mine)
+
+        def rank(numbers: np.ndarray) -> np.ndarray:
+            return real[numbers] << 32 | numbers.astype(np.int64) * 0x9E3779B1 & 0xFFFFFFFF
+
+        mine = rank(own)
+        lower = (rank(pair[before[live]]) > mine) | (rank(pair[after[live]]) > mine)
         chosen = np.zeros(len(real), bool)
         chosen[own] = True
         chosen[own[lower]] = False
+        used = np.flatnonzero(chosen)
+        if not len(used):
+            if least <= min_count:
+                break
+            least = max(min_count, least // 2)
+            live, fresh = np.flatnonzero(count[pair] >= least).astype(np.int32), fresh[:0]
+            continue
+        turn += 1
         skip[odd] = True
         at = live[chosen[own] & ~skip[live]]
         skip[odd] = False
-        used = np.flatnonzero(chosen)
         rules.append(np.stack((left[used], right[used]), axis=1))
         name = np.zeros(len(real), np.int64)
         name[used] = np.arange(len(lengths), len(lengths) + len(used))
@@ -111,11 +124,15 @@ def compress(ids: np.ndarray, ends: np.ndarray, vocabulary: int, rounds: int | N
         for gone in (at, second, before[at]):  # a place is in each once; pairs there are no more
             np.subtract.at(count, pair[gone], 1)
             pair[gone] = 0
+        count[0] = 0
         seq[at], last[at], kept[second] = new, last[second], False
         after[at] = after[second]
         before[after[at]] = at
-        live = live[pair[live] > 0]
-        fresh = np.union1d(at, before[at])
+        live = live[count[pair[live]] >= least]
+        skip[at] = True
+        ahead = before[at]
+        fresh = np.concatenate((at, ahead[~skip[ahead]]))
+        skip[at] = False
         fresh = fresh[~last[fresh]]
     filled = np.flatnonzero(last[:n][kept]) + 1
     out = np.zeros(len(ends), np.int64)

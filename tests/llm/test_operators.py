@@ -266,6 +266,32 @@ def test_grammar_goes_on_until_no_pair_is_left_twice():
         assert abs(len(symbols) - size) <= 0.03 * size and abs(len(rules) - len(replaced)) <= 0.08 * len(replaced)
 
 
+def test_rare_pairs_wait_for_frequent_ones():
+    """Rounds of frequent pairs leave the places of rare ones alone, so they cost little."""
+    rng = np.random.RandomState(6)
+    ids = np.minimum(rng.zipf(1.3, 60_000), 5000)
+    looked = []
+
+    class Counting:
+        def __getattr__(self, name):
+            return getattr(np, name)
+
+        def concatenate(self, parts, *args, **kwargs):
+            out = np.concatenate(parts, *args, **kwargs)
+            looked.append(len(out))
+            return out
+
+    own, repair.np = repair.np, Counting()
+    try:
+        rules, _, symbols, _ = repair.compress(ids, np.array([len(ids)]), 5001)
+    finally:
+        repair.np = own
+    assert (repair.expand(symbols, rules, 5001) == ids).all()
+    assert sum(looked) < 5 * len(ids)
+    left = collections.Counter(p for p in zip(symbols, symbols[1:]) if p[0] != p[1])
+    assert max(left.values()) < 2
+
+
 def test_most_frequent_pair_is_replaced_first():
     # (1, 2) is counted 40 times, (2, 3) 30, (0, 1) 20: only the first may be replaced whole.
     ids = np.array([0, 1, 2] * 20 + [1, 2, 3] * 20 + [9, 2, 3] * 10)
