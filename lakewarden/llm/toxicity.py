@@ -490,7 +490,7 @@ def _unpacked(dense: list[np.ndarray]) -> tuple[list, list, np.ndarray, np.ndarr
     return own[:n], own[n:2 * n], own[-2], own[-1]
 
 
-def learned(blocks: DataFrame, words, few: bool) -> Network:
+def learned(blocks: DataFrame, words, few: bool, store: Scratch) -> Network:
     """The network after EPOCHS turns over all blocks."""
     context, size = blocks.sparkSession.sparkContext, words.value.size
     net = Network(size)
@@ -517,6 +517,8 @@ def learned(blocks: DataFrame, words, few: bool) -> Network:
         half = len(both) // 2
         dense, memory = _from_rows(both[:half], dense), _from_rows(both[half:], memory)
         sent.destroy()
+        del found
+        store.release()  # of the turn's shuffle
     out = Network(0)
     out.size, out.embedding = size, np.where(seen[:, None], embedding, 0)
     out.filters, out.shift, out.out, out.bias = _unpacked(dense)
@@ -579,6 +581,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     context = docs.sparkSession.sparkContext
     lexicon = lexicon_of(texts)
     words = context.broadcast(lexicon)
+    store.release()
     parts = -(-n // TEXTS)
 
     def draw(seed: int, most: int):
@@ -593,7 +596,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
         .select("part", "label", "apart", "codes").mapInArrow(_pack, BLOCKS), "blocks", 1)
     store.drop(keys)
     store.release()
-    network = learned(blocks, words, few)
+    network = learned(blocks, words, few, store)
     thresholds = thresholds_of(blocks, lexicon, network, few)
     store.drop(blocks)
     store.release()

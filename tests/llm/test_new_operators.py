@@ -201,8 +201,8 @@ def test_toxicity_learns_from_every_labelled_text(spark, monkeypatch):
     labels = spark.createDataFrame([(i, i % 2) for i in range(n)], "doc_id long, toxic int")
     monkeypatch.setattr(toxicity, "TEXTS", 1000)
     seen = []
-    monkeypatch.setattr(toxicity, "learned", lambda blocks, words, few, inner=toxicity.learned: (
-        seen.append(blocks.toPandas()), inner(blocks, words, few))[1])
+    monkeypatch.setattr(toxicity, "learned", lambda blocks, *rest, inner=toxicity.learned: (
+        seen.append(blocks.toPandas()), inner(blocks, *rest))[1])
     score = {r["doc_id"]: r["score"] for r in toxicity.scored(docs, labels).collect()}
     [blocks] = seen
     assert len(blocks) >= 7 and sum(len(b) // 4 for b in blocks["sizes"]) == n
