@@ -18,22 +18,29 @@ their text. Null doc_ids come first. An empty table gives no rows.
 
 from __future__ import annotations
 
+import itertools
 import os
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from lakewarden.llm.ordered import in_parts, order_key, part_bounds, part_of
-from lakewarden.llm.pieces import CUT, PieceTable
+from lakewarden.llm.pieces import CHARACTER_BYTES, CUT, PIECE_BYTES, PieceTable
 
 END_ID = 0
 SHARD_IDS = 1 << 20
 MIN_COUNT = 2
-CACHE = 128 << 20  # bytes of the table of pieces
-JOINED = 4096
+CACHE = 128 << 20  # bytes of the table of words; half as many of that of pieces
+BLOCK = 4 << 20  # bytes of texts encoded together
+JOINED = 4096  # pieces in a string for the tokenizer
+WORDS = 512  # words in a string for its model
+SCAN = 1 << 15  # places looked through at a time, so that they stay near the processor
+ONCE = 1 << 32  # one occurrence in a rank
 
 SHARD = ("part int, shard int, ids_before long, n_ids int, vocabulary int, doc_id array<long>, "
          "first_id array<int>, first_symbol array<int>, rules binary, lengths binary, "
@@ -53,95 +60,167 @@ def compress(ids: np.ndarray, ends: np.ndarray, vocabulary: int, rounds: int | N
     rarer pairs rank below them. It ends when no pair occurs ``min_count`` times; ``rounds`` ends it
     earlier.
     """
-    n = len(ids)
-    seq = np.append(ids.astype(np.int32), np.int32(0))
-    last = np.zeros(n + 1, bool)
-    last[ends[ends > 0] - 1] = last[n] = True
-    after, before = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32)  # neighbours; place n is a border
-    after[n] = before[0] = n
-    kept, skip = np.ones(n, bool), np.zeros(n + 1, bool)
-    # The pair that begins at a place: 0 for none and for those that cannot be replaced any more.
-    pair = np.zeros(n + 1, np.int32)
-    left, right, count = (np.zeros(1, np.int64) for _ in range(3))
+    ends = np.asarray(ends, np.int64)
+    sizes = np.diff(ends, prepend=0)
+    full = np.flatnonzero(sizes > 0)
+    n = len(ids) + len(full) + 1
+    border = np.append(ends[full] - sizes[full] + np.arange(len(full)), n - 1)  # places around documents
+    within = np.ones(n, bool)
+    within[border] = False
+    seq = np.full(n, -1, np.int32)  # below 0: a border or no symbol any more
+    seq[within] = ids
+    after, before = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32)  # neighbours
+    after[-1], before[0] = n - 1, 0
+    pair = np.zeros(n, np.int32)  # the pair that begins at a place: 0 for none and for those seen too rarely
+    skip = np.zeros(n, bool)
+    # By the number of a pair: its count and scramble, its symbols, and room for a name and a mark.
+    rank, known = np.zeros(n // 4 + 16, np.int64), 1
+    left, right, name = (np.zeros(len(rank), np.int32) for _ in range(3))
+    mark = np.zeros(len(rank), bool)
     rules: list[np.ndarray] = []
-    lengths = np.ones(vocabulary, np.int64)
-    live, fresh, turn, least = np.zeros(0, np.int32), np.flatnonzero(~last).astype(np.int32), 0, 0
-    while turn != rounds:
-        # Number the pairs at the fresh places: each holds a symbol of the last round, so none is known.
-        codes, which, times = np.unique(seq[fresh].astype(np.int64) << 32 | seq[after[fresh]],
-                                        return_inverse=True, return_counts=True)
-        often = times >= min_count
-        number = np.where(often, np.cumsum(often) + len(count) - 1, 0)
-        pair[fresh] = number[which]
-        left, right = np.append(left, codes[often] >> 32), np.append(right, codes[often] & 0xFFFFFFFF)
-        count = np.append(count, times[often])
-        if not least:
-            least = max(min_count, int(count.max()) // 2)
-            live = np.flatnonzero(count[pair] >= least).astype(np.int32)
+    top, turn, place_bits = vocabulary, 0, n.bit_length()
+
+    def numbered(places: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Number the pairs (x, y) at places, none of which is known; returns the places of those seen
+        ``min_count`` times, their numbers and how often each is seen."""
+        nonlocal rank, left, right, name, mark, known
+        bits = int(top).bit_length()
+        if 2 * bits + place_bits < 64:  # sorted in one word with their places
+            code = (x.astype(np.int64) << bits | y) << place_bits | places
+            code.sort()
+            places = code & (1 << place_bits) - 1
+            code >>= place_bits
+        else:
+            bits = 32
+            code = x.astype(np.int64) << 32 | y
+            order = np.argsort(code, kind="stable")
+            code, places = code[order], places[order]
+        again = np.zeros(len(code) + 1, bool)
+        np.equal(code[1:], code[:-1], out=again[1:-1])
+        if min_count > 1:
+            some = np.flatnonzero(again[1:] | again[:-1])
         else:
-            live = np.concatenate((live, fresh[(times >= max(least, min_count))[which]]))
+            some = np.arange(len(code))
+        starts = np.flatnonzero(~again.take(some))
+        times = np.diff(starts, append=len(some))
+        code, places = code.take(some.take(starts)), places.take(some)
+        often = times >= min_count
+        if not often.all():
+            places, code, times = places[np.repeat(often, times)], code[often], times[often]
+        old, known = known, known + len(times)
+        rank, left, right, name, mark = (_grown(a, known) for a in (rank, left, right, name, mark))
+        numbers = np.arange(old, known)
+        left[old:known], right[old:known] = code >> bits, code & (1 << bits) - 1
+        rank[old:known] = times << 32 | numbers * 0x9E3779B1 & 0xFFFFFFFF
+        own = np.repeat(numbers, times)
+        pair[places] = own
+        return places, own, times
+
+    def look() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places of the pairs seen ``least`` times, their numbers and ranks."""
+        often = rank[:known] >= least << 32
+        found = np.concatenate([np.flatnonzero(often.take(pair[low:low + SCAN])) + low for low in range(0, n, SCAN)])
+        own = pair.take(found)
+        return found, own, rank.take(own)
+
+    first = np.flatnonzero((seq[:-1] | seq[1:]) >= 0)
+    times = numbered(first, seq.take(first), seq.take(first + 1))[2]
+    least = max(min_count, int(times.max(initial=0)) // 2)
+    live, own, mine = look()
+    while turn != rounds:
         # In a row of equal symbols every other pair counts.
-        own, real = pair[live], count
-        alike = left[own] == right[own]
-        odd = np.zeros(0, np.int32)
-        if alike.any():
-            row = np.sort(live[alike])
+        odd = live[:0]
+        alike = np.flatnonzero((left[:known] == right[:known]).take(own))
+        if len(alike):
+            row = np.sort(live.take(alike))
             place = np.arange(len(row))
-            begins = (pair[before[row]] != pair[row]) | (before[row] == n)
-            even = (place - np.maximum.accumulate(np.where(begins, place, 0))) % 2 == 0
-            odd = row[~even]
-            real = count - np.bincount(pair[odd], minlength=len(count))
-        stays = real[own] >= min_count
-        count[own[~stays]] = 0
-        pair[live[~stays]] = 0
-        live, own = live[stays], own[stays]
-
-        def rank(numbers: np.ndarray) -> np.ndarray:
-            return real[numbers] << 32 | numbers.astype(np.int64) * 0x9E3779B1 & 0xFFFFFFFF
-
-        mine = rank(own)
-        lower = (rank(pair[before[live]]) > mine) | (rank(pair[after[live]]) > mine)
-        chosen = np.zeros(len(real), bool)
-        chosen[own] = True
-        chosen[own[lower]] = False
-        used = np.flatnonzero(chosen)
-        if not len(used):
+            begins = pair.take(before.take(row)) != pair.take(row)
+            odd = row[(place - np.maximum.accumulate(np.where(begins, place, 0))) % 2 == 1]
+            if len(odd):
+                of = pair.take(odd)
+                np.subtract.at(rank, of, ONCE)
+                rare = rank.take(of) < min_count << 32  # these cannot be replaced any more
+                rank[of[rare]] = 0
+                odd = odd[~rare]
+                mine = rank.take(own)
+        mark[:known] = rank[:known] >= min_count << 32
+        chosen = np.flatnonzero(mark.take(own))
+        for side in (before, after):
+            lower = rank.take(pair.take(side.take(live.take(chosen)))) > mine.take(chosen)
+            mark[own.take(chosen[lower])] = False
+            chosen = chosen[mark.take(own.take(chosen))]
+        np.add.at(rank, pair.take(odd), ONCE)
+        if not len(chosen):
             if least <= min_count:
                 break
             least = max(min_count, least // 2)
-            live, fresh = np.flatnonzero(count[pair] >= least).astype(np.int32), fresh[:0]
+            live, own, mine = look()
             continue
         turn += 1
-        skip[odd] = True
-        at = live[chosen[own] & ~skip[live]]
-        skip[odd] = False
-        rules.append(np.stack((left[used], right[used]), axis=1))
-        name = np.zeros(len(real), np.int64)
-        name[used] = np.arange(len(lengths), len(lengths) + len(used))
-        lengths = np.append(lengths, lengths[left[used]] + lengths[right[used]])
-        second = after[at]
-        new = name[pair[at]]
-        for gone in (at, second, before[at]):  # a place is in each once; pairs there are no more
-            np.subtract.at(count, pair[gone], 1)
+        at, which = live.take(chosen), own.take(chosen)
+        if len(odd):
+            skip[odd] = True
+            even = ~skip.take(at)
+            at, which = at[even], which[even]
+            skip[odd] = False
+        mark[:known] = False
+        mark[which] = True
+        used = np.flatnonzero(mark[:known])
+        rules.append(np.stack((left[used], right[used]), axis=1).astype(np.int64))
+        base, top = top, top + len(used)
+        name[used] = np.arange(base, top)
+        new = name.take(which)
+        second = after.take(at)
+        pair[at] = 0
+        for gone in (second, before.take(at)):  # a place is in each once; pairs there are no more
+            np.subtract.at(rank, pair.take(gone), ONCE)
             pair[gone] = 0
-        count[0] = 0
-        seq[at], last[at], kept[second] = new, last[second], False
-        after[at] = after[second]
-        before[after[at]] = at
-        live = live[count[pair[live]] >= least]
-        skip[at] = True
-        ahead = before[at]
-        fresh = np.concatenate((at, ahead[~skip[ahead]]))
-        skip[at] = False
-        fresh = fresh[~last[fresh]]
-    filled = np.flatnonzero(last[:n][kept]) + 1
+        rank[0] = 0
+        rank[used] = 0
+        own = pair.take(live)
+        mine = rank.take(own)
+        still = np.flatnonzero(mine >= least << 32)
+        live, own, mine = live.take(still), own.take(still), mine.take(still)
+        seq[at], seq[second] = new, -1
+        behind = after.take(second)
+        after[at], before[behind] = behind, at
+        ahead = before.take(at)
+        x, y = seq.take(ahead), seq.take(behind)
+        to_right, to_left = y >= 0, (x >= 0) & (x < base)  # two new symbols meet at the place of the left one
+        places, of, times = numbered(np.concatenate((at[to_right], ahead[to_left])),
+                                     np.concatenate((new[to_right], x[to_left])),
+                                     np.concatenate((y[to_right], new[to_left])))
+        often = times >= max(least, min_count)
+        if often.any():
+            some = np.flatnonzero(np.repeat(often, times))
+            of = of.take(some)
+            live = np.concatenate((live, places.take(some)))
+            own, mine = np.concatenate((own, of)), np.concatenate((mine, rank.take(of)))
+    flat = rules_flat(rules)
+    kept = np.flatnonzero(seq >= 0)
     out = np.zeros(len(ends), np.int64)
-    sizes = np.diff(np.concatenate(([0], ends)))
-    out[sizes > 0] = filled
-    return (rules_flat(rules), lengths[vocabulary:], seq[:n][kept].astype(np.int64),
+    out[full] = np.searchsorted(kept, border[1:])
+    return (flat, _lengths(rules, vocabulary), seq.take(kept).astype(np.int64),
             np.maximum.accumulate(out) if len(out) else out)
 
 
+def _grown(array: np.ndarray, size: int) -> np.ndarray:
+    if size <= len(array):
+        return array
+    out = np.zeros(max(size, 2 * len(array)), array.dtype)
+    out[:len(array)] = array
+    return out
+
+
+def _lengths(rules: list[np.ndarray], vocabulary: int) -> np.ndarray:
+    """How many ids each rule stands for; rules of a round hold those of earlier rounds only."""
+    out, top = np.ones(vocabulary + sum(map(len, rules)), np.int64), vocabulary
+    for some in rules:
+        out[top:top + len(some)] = out[some[:, 0]] + out[some[:, 1]]
+        top += len(some)
+    return out[vocabulary:]
+
+
 def rules_flat(rules: list[np.ndarray]) -> np.ndarray:
     return np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
 
@@ -177,21 +256,98 @@ def expand(symbols: np.ndarray, rules: np.ndarray, vocabulary: int,
     return out
 
 
+#: Characters whose kind (letter, digit, sign or white space) no version of Unicode changes, and the split
+#: pattern of byte-level tokenizers written out for them.
+LETTER = "A-Za-zÀ-ÖØ-öø-ſА-ҁ"
+KNOWN = re.compile(f"[\t\n\r -~{LETTER}\u2010-\u2027]*")
+SPLIT = re.compile(f"'(?:s|t|re|ve|m|ll|d)| ?[{LETTER}]+| ?[0-9]+| ?[^\\s{LETTER}0-9]+|\\s+(?!\\S)|\\s+")
+#: Texts with a space that begins no piece, as ``pieces.OTHER``.
+ODD = " (?:[^!-~¡-ᙿ]|\\z)"
+
+
+def picked(ids: np.ndarray, ends: np.ndarray, counts: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """The ids of some runs, in turn; runs are given by their ends and how many ids each has."""
+    sizes = counts.take(which)
+    place = np.repeat(ends.take(which) - np.cumsum(sizes), sizes)
+    place += np.arange(len(place))
+    return ids.take(place)
+
+
+class WordTable:
+    """Ids of words, found by ``learn`` for many new words at once. When it takes more than about
+    ``budget`` bytes it begins anew."""
+
+    def __init__(self, learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], budget: int):
+        self.learn, self.budget = learn, budget
+        self.clear()
+
+    def clear(self) -> None:
+        self.at: dict[str, int] = {}
+        self.ids, self.counts, self.bytes = np.zeros(0, "<u4"), np.zeros(0, np.int64), 0
+
+    def lookup(self, words: list[str]) -> np.ndarray:
+        which = np.fromiter(map(self.at.get, words, itertools.repeat(-1)), np.int64, len(words))
+        unknown = which < 0
+        if unknown.any():
+            new = list(itertools.compress(words, unknown))
+            names = list(dict.fromkeys(new))
+            self.at.update(zip(names, range(len(self.at), len(self.at) + len(names))))
+            which[unknown] = np.fromiter(map(self.at.__getitem__, new), np.int64, len(new))
+            ids, counts = self.learn(names)
+            self.ids, self.counts = np.concatenate((self.ids, ids)), np.concatenate((self.counts, counts))
+            self.bytes += PIECE_BYTES * len(names) + CHARACTER_BYTES * sum(map(len, names))
+        out = picked(self.ids, np.cumsum(self.counts), self.counts, which)
+        if self.bytes > self.budget:
+            self.clear()
+        return out
+
+
 class Encoder:
-    """Ids of texts by a tokenizers file."""
+    """Ids of texts by a tokenizers file.
+
+    Texts are cut into pieces as in ``pieces``, each different piece is split into the words that the
+    tokenizer's own split would give, and the tokenizer's model finds the ids of many new words in one
+    string, with a byte between them that no text holds and nothing merges with. Pieces with other characters
+    than KNOWN go to the whole tokenizer, and so does all where the file asks for more than this split.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size()
-        self.table = PieceTable(self._learn, CACHE)
+        self.words, self.table = WordTable(self._merge, CACHE), PieceTable(self._learn, CACHE // 2)
         # Bytes of every id: a token of the byte-level alphabet has one character per byte.
         added = self.tokenizer.get_added_tokens_decoder()
+        self.added = [a.content for a in added.values()]
         self.wide = np.zeros(self.size, np.int64)
-        for token, i in self.tokenizer.get_vocab().items():
+        vocabulary = self.tokenizer.get_vocab()
+        for token, i in vocabulary.items():
             self.wide[i] = len(added[i].content.encode()) if i in added else len(token)
+        # The alphabet: printable bytes stand for themselves, the others for what follows U+00FF in turn.
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        other = [b for b in range(256) if b not in plain]
+        self.letters = np.zeros(256, "<u2")
+        self.letters[plain], self.letters[other] = plain, 256 + np.arange(len(other))
+        between = chr(self.letters[0])
+        first = self.tokenizer.pre_tokenizer
+        asked = self.tokenizer.normalizer is None and isinstance(first, pre_tokenizers.ByteLevel) \
+            and first.use_regex and not first.add_prefix_space
+        self.model = Tokenizer(self.tokenizer.model) if asked and [t for t in vocabulary if between in t] == [between] \
+            else None
+        self.between = vocabulary.get(between)
+
+    def _merge(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words that are not split any more, one after the other, and how many each has."""
+        texts = []
+        for low in range(0, len(words), WORDS):
+            raw = np.frombuffer("\0".join(words[low:low + WORDS]).encode(), np.uint8)
+            texts.append(self.letters.take(raw).tobytes().decode("utf-16-le"))
+        found = self.model.encode_batch_fast(texts, add_special_tokens=False)
+        ids = np.concatenate([np.array(e.ids + [self.between], "<u4") for e in found])
+        stops = np.flatnonzero(ids == self.between)
+        return np.delete(ids, stops), np.diff(stops, prepend=-1) - 1
 
     def _learn(self, parts: list[str]) -> list[bytes]:
         """Pieces that begin with a space are encoded many in one string, which the tokenizer splits
@@ -199,7 +355,7 @@ class Encoder:
         out: list[bytes | None] = [None] * len(parts)
         joined, alone = [], []
         for i, p in enumerate(parts):
-            (joined if p[0] == " " and CUT.match(p) else alone).append(i)
+            (joined if p[:1] == " " and CUT.match(p) else alone).append(i)
         found = self.tokenizer.encode_batch_fast([parts[i] for i in alone], add_special_tokens=False)
         for i, e in zip(alone, found):
             out[i] = np.array(e.ids, "<u4").tobytes()
@@ -208,21 +364,82 @@ class Encoder:
             words = [parts[i] for i in some]
             text = "".join(words)
             ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.cumsum([len(p) if p.isascii() else len(p.encode()) for p in words])
-            reach = np.cumsum(self.wide[ids])
-            cut = np.searchsorted(reach, ends) + 1
-            if not (reach[cut - 1] == ends).all():
-                raise ValueError("an id crosses the end of a piece")
+            cut = self._cuts(ids, np.array([len(p) if p.isascii() else len(p.encode()) for p in words]))
             raw, last = ids.tobytes(), 0
             for i, c in zip(some, cut.tolist()):
                 out[i], last = raw[4 * last:4 * c], c
         return out
 
+    def _cuts(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Where the ids of each of some pieces end, by the bytes of the pieces."""
+        ends, reach = np.cumsum(sizes), np.concatenate(([0], np.cumsum(self.wide.take(ids))))
+        cut = np.searchsorted(reach, ends)
+        if len(cut) and (reach[-1] != ends[-1] or (reach[cut] != ends).any()):
+            raise ValueError("an id crosses the end of a piece")
+        return cut
+
+    def _plain(self, text: str) -> bool:
+        return self.model is not None and KNOWN.fullmatch(text) is not None and not any(a in text for a in self.added)
+
+    def _tails(self, tails: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of different pieces, given without the space that each begins with, one after the other,
+        and how many each has. A visible character follows the space, so they are split alike when they
+        follow one another."""
+        if not len(tails):
+            return np.zeros(0, "<u4"), np.zeros(0, np.int64)
+        text = " " + pc.binary_join(pa.ListArray.from_arrays([0, len(tails)], tails), " ")[0].as_py()
+        if self._plain(text):
+            ids = self.words.lookup(SPLIT.findall(text))
+            sizes = pc.binary_length(tails).to_numpy().astype(np.int64) + 1
+            return ids, np.diff(self._cuts(ids, sizes), prepend=0)
+        parts = [" " + t for t in tails.to_pylist()]
+        plain = np.array([self._plain(p) for p in parts])
+        found = np.zeros(len(parts), object)
+        found[~plain] = np.array([*self.table.lookup([p for p, yes in zip(parts, plain) if not yes]), None], object)[:-1]
+        ids, counts = self._tails(tails.filter(pa.array(plain)))
+        raw, ends = ids.tobytes(), 4 * np.cumsum(counts)
+        found[plain] = np.array([*(raw[a:b] for a, b in zip((ends - 4 * counts).tolist(), ends.tolist())), None], object)[:-1]
+        return np.frombuffer(b"".join(found), "<u4"), np.array([len(p) // 4 for p in found], np.int64)
+
     def encode(self, text: str) -> bytes:
         return self.encode_all([text])[0]
 
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        return [b"".join(found) for found in self.table.lookup_texts(texts)]
+    def encode_all(self, texts: list[str] | pa.Array) -> list[bytes]:
+        """Little-endian 32-bit ids of every text; new pieces of all the texts are learned together."""
+        texts = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        if not len(texts):
+            return []
+        odd = pc.match_substring_regex(texts, ODD).to_numpy(zero_copy_only=False)
+        order = np.argsort(odd, kind="stable")
+        pieces = pa.chunked_array([
+            pc.split_pattern(texts.filter(pa.array(~odd)), " ").cast(pa.list_(pa.string())),
+            pa.array([CUT.split(t) for t in texts.filter(pa.array(odd)).to_pylist()], pa.list_(pa.string()))]).combine_chunks()
+        many = pc.list_value_length(pieces).to_numpy().astype(np.int64)
+        heads = np.cumsum(many) - many
+        flat = pieces.flatten()
+        coded = flat.dictionary_encode()
+        codes = coded.indices.to_numpy().astype(np.int64)
+        follows = np.ones(len(codes), bool)
+        follows[heads] = False
+        used = np.zeros(len(coded.dictionary), bool)
+        used[codes[follows]] = True
+        codes = (np.cumsum(used) - 1 + len(heads)).take(codes)
+        codes[heads] = np.arange(len(heads))
+        first = self.table.lookup(flat.take(pa.array(heads)).to_pylist())
+        ids, counts = self._tails(coded.dictionary.filter(pa.array(used)))
+        ids = np.concatenate((np.frombuffer(b"".join(first), "<u4"), ids))
+        counts = np.concatenate((np.array([len(f) // 4 for f in first], np.int64), counts))
+        raw = picked(ids, np.cumsum(counts), counts, codes).tobytes()
+        stops = 4 * np.cumsum(counts.take(codes))[heads + many - 1]
+        out: list[bytes] = [b""] * len(texts)
+        last = 0
+        for i, stop in zip(order.tolist(), stops.tolist()):
+            out[i], last = raw[last:stop], stop
+        return out
+
+    def clear(self) -> None:
+        self.words.clear()
+        self.table.clear()
 
 
 _encoders: dict[str, Encoder] = {}
@@ -248,6 +465,16 @@ def _shard(part: int, number: int, before: int, vocabulary: int, docs: list, raw
             "symbol_bytes": wide, "symbols": symbols.astype(f"<u{wide}").tobytes()}
 
 
+def _blocks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch, together while their texts have at most BLOCK bytes."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(2)), 0).to_numpy().astype(np.int64))
+    low = 0
+    while low < len(sizes):
+        high = max(low + 1, int(np.searchsorted(sizes, (sizes[low - 1] if low else 0) + BLOCK, side="right")))
+        yield batch.slice(low, high - low)
+        low = high
+
+
 def _pack(path: str):
     kinds = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("ids_before", pa.int64()),
                        ("n_ids", pa.int32()), ("vocabulary", pa.int32()), ("doc_id", pa.list_(pa.int64())),
@@ -266,9 +493,8 @@ def _pack(path: str):
 
         try:
             for batch in batches:
-                for low in range(0, batch.num_rows, 64):
-                    some = batch.slice(low, 64)
-                    ids = own.encode_all(some.column(2).to_pylist())
+                for some in _blocks(batch):
+                    ids = own.encode_all(some.column(2))
                     for here, doc, raw in zip(some.column(0).to_pylist(), some.column(1).to_pylist(), ids):
                         if raws and (here != part or size >= SHARD_IDS):
                             yield out()
@@ -281,7 +507,7 @@ def _pack(path: str):
             if raws:
                 yield out()
         finally:
-            own.table.clear()
+            own.clear()
     return run
 
 
