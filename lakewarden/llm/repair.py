@@ -18,7 +18,6 @@ their text. Null doc_ids come first. An empty table gives no rows.
 
 from __future__ import annotations
 
-import itertools
 import os
 import re
 import zlib
@@ -29,17 +28,20 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
+from lakewarden.llm.lean import give_back, lean
 from lakewarden.llm.ordered import in_parts, order_key, part_bounds, part_of
-from lakewarden.llm.pieces import CHARACTER_BYTES, CUT, PIECE_BYTES, PieceTable
+from lakewarden.llm.pieces import CUT, PieceTable
 
 END_ID = 0
 SHARD_IDS = 1 << 20
 MIN_COUNT = 2
-CACHE = 128 << 20  # bytes of the table of words; half as many of that of pieces
+CACHE = 64 << 20  # bytes of the table of pieces
+WORD_CACHE = 24 << 20  # of that of words
 BLOCK = 4 << 20  # bytes of texts encoded together
 JOINED = 4096  # pieces in a string for the tokenizer
-WORDS = 512  # words in a string for its model
-SCAN = 1 << 15  # places looked through at a time, so that they stay near the processor
+SHORT = 32  # ids of a rule that is spelled out once
+WORDS = 128  # words in a string for its model
+STRINGS = 8  # of those at a time
 ONCE = 1 << 32  # one occurrence in a rank
 
 SHARD = ("part int, shard int, ids_before long, n_ids int, vocabulary int, doc_id array<long>, "
@@ -56,8 +58,8 @@ def compress(ids: np.ndarray, ends: np.ndarray, vocabulary: int, rounds: int | N
     all pairs that rank above every pair they overlap with anywhere: no replacement elsewhere can
     change their count, and none makes a pair that ranks above them, so the most frequent pair first
     would replace them just so. Counts are kept up to date at the replaced places only. Rounds look at
-    the places of pairs seen ``least`` times alone, which is halved when none of these can be replaced:
-    rarer pairs rank below them. It ends when no pair occurs ``min_count`` times; ``rounds`` ends it
+    pairs seen ``least`` times alone, which is halved when none of these can be replaced: rarer pairs
+    rank below them. It ends when no pair occurs ``min_count`` times; ``rounds`` ends it
     earlier.
     """
     ends = np.asarray(ends, np.int64)
@@ -77,30 +79,36 @@ def compress(ids: np.ndarray, ends: np.ndarray, vocabulary: int, rounds: int | N
     rank, known = np.zeros(n // 4 + 16, np.int64), 1
     left, right, name = (np.zeros(len(rank), np.int32) for _ in range(3))
     mark = np.zeros(len(rank), bool)
+    # Where the places of a pair begin in ``pool``, how many were found, and one where another ranks above it.
+    start, size, blocked = (np.zeros(len(rank), np.int32) for _ in range(3))
+    pool, filled = np.zeros(n + 16, np.int32), 0
     rules: list[np.ndarray] = []
     top, turn, place_bits = vocabulary, 0, n.bit_length()
 
-    def numbered(places: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Number the pairs (x, y) at places, none of which is known; returns the places of those seen
-        ``min_count`` times, their numbers and how often each is seen."""
-        nonlocal rank, left, right, name, mark, known
+    def number(places: np.ndarray, x: np.ndarray, y: np.ndarray) -> None:
+        """Number the pairs (x, y) at places, none of which is known, if they are seen ``min_count``
+        times; no pair holds a symbol below 0."""
+        nonlocal rank, left, right, name, mark, start, size, blocked, pool, known, filled
         bits = int(top).bit_length()
         if 2 * bits + place_bits < 64:  # sorted in one word with their places
-            code = (x.astype(np.int64) << bits | y) << place_bits | places
+            code = x.astype(np.int64)
+            code <<= bits
+            code |= y
+            code <<= place_bits
+            code |= places
             code.sort()
-            places = code & (1 << place_bits) - 1
+            code = code[np.searchsorted(code, 0):]
+            places = (code & (1 << place_bits) - 1).astype(np.int32)
             code >>= place_bits
         else:
             bits = 32
-            code = x.astype(np.int64) << 32 | y
+            real = (x | y) >= 0
+            code, places = x[real].astype(np.int64) << 32 | y[real], places[real]
             order = np.argsort(code, kind="stable")
             code, places = code[order], places[order]
         again = np.zeros(len(code) + 1, bool)
         np.equal(code[1:], code[:-1], out=again[1:-1])
-        if min_count > 1:
-            some = np.flatnonzero(again[1:] | again[:-1])
-        else:
-            some = np.arange(len(code))
+        some = np.flatnonzero(again[1:] | again[:-1]) if min_count > 1 else np.arange(len(code))
         starts = np.flatnonzero(~again.take(some))
         times = np.diff(starts, append=len(some))
         code, places = code.take(some.take(starts)), places.take(some)
@@ -108,64 +116,75 @@ def compress(ids: np.ndarray, ends: np.ndarray, vocabulary: int, rounds: int | N
         if not often.all():
             places, code, times = places[np.repeat(often, times)], code[often], times[often]
         old, known = known, known + len(times)
-        rank, left, right, name, mark = (_grown(a, known) for a in (rank, left, right, name, mark))
+        rank, left, right, name, mark, start, size, blocked = (
+            _grown(a, known) for a in (rank, left, right, name, mark, start, size, blocked))
         numbers = np.arange(old, known)
         left[old:known], right[old:known] = code >> bits, code & (1 << bits) - 1
         rank[old:known] = times << 32 | numbers * 0x9E3779B1 & 0xFFFFFFFF
-        own = np.repeat(numbers, times)
-        pair[places] = own
-        return places, own, times
-
-    def look() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Places of the pairs seen ``least`` times, their numbers and ranks."""
-        often = rank[:known] >= least << 32
-        found = np.concatenate([np.flatnonzero(often.take(pair[low:low + SCAN])) + low for low in range(0, n, SCAN)])
-        own = pair.take(found)
-        return found, own, rank.take(own)
-
-    first = np.flatnonzero((seq[:-1] | seq[1:]) >= 0)
-    times = numbered(first, seq.take(first), seq.take(first + 1))[2]
-    least = max(min_count, int(times.max(initial=0)) // 2)
-    live, own, mine = look()
+        start[old:known], size[old:known] = filled + np.cumsum(times) - times, times
+        pool = _grown(pool, filled + len(places))
+        pool[filled:filled + len(places)] = places
+        filled += len(places)
+        pair[places] = np.repeat(numbers, times)
+
+    def found(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The places of some pairs, and the pair of each."""
+        sizes = size.take(pairs)
+        own = np.repeat(pairs, sizes)
+        at = np.repeat(start.take(pairs) - (np.cumsum(sizes) - sizes), sizes)
+        at += np.arange(len(at))
+        at = pool.take(at)
+        there = np.flatnonzero(pair.take(at) == own)
+        return at.take(there), own.take(there)
+
+    number(np.arange(n - 1, dtype=np.int32), seq[:-1], seq[1:])
+    least = max(min_count, int(size[:known].max()) // 2)
+    live = np.flatnonzero(rank[:known] >= least << 32)
     while turn != rounds:
         # In a row of equal symbols every other pair counts.
-        odd = live[:0]
-        alike = np.flatnonzero((left[:known] == right[:known]).take(own))
+        odd = pool[:0]
+        alike = live[left.take(live) == right.take(live)]
         if len(alike):
-            row = np.sort(live.take(alike))
+            row = np.sort(found(alike)[0])
             place = np.arange(len(row))
             begins = pair.take(before.take(row)) != pair.take(row)
             odd = row[(place - np.maximum.accumulate(np.where(begins, place, 0))) % 2 == 1]
-            if len(odd):
-                of = pair.take(odd)
-                np.subtract.at(rank, of, ONCE)
-                rare = rank.take(of) < min_count << 32  # these cannot be replaced any more
-                rank[of[rare]] = 0
-                odd = odd[~rare]
-                mine = rank.take(own)
-        mark[:known] = rank[:known] >= min_count << 32
-        chosen = np.flatnonzero(mark.take(own))
+            of = pair.take(odd)
+            np.subtract.at(rank, of, ONCE)
+            rare = rank.take(of) < min_count << 32  # these cannot be replaced any more
+            rank[of[rare]] = 0
+            odd = odd[~rare]
+        # A pair that ranks below another at the place where it did before need not be looked at elsewhere.
+        mine, place = rank.take(live), blocked.take(live)
+        lower = rank.take(pair.take(before.take(place))) > mine
+        lower |= rank.take(pair.take(after.take(place))) > mine
+        lower &= pair.take(place) == live
+        free = live[~lower & (mine >= min_count << 32)]
+        at, which = found(free)
+        mine = rank.take(which)
+        mark[free] = True
         for side in (before, after):
-            lower = rank.take(pair.take(side.take(live.take(chosen)))) > mine.take(chosen)
-            mark[own.take(chosen[lower])] = False
-            chosen = chosen[mark.take(own.take(chosen))]
+            lower = rank.take(pair.take(side.take(at))) > mine
+            of = which[lower]
+            mark[of], blocked[of] = False, at[lower]
+            still = np.flatnonzero(mark.take(which))
+            at, which, mine = at.take(still), which.take(still), mine.take(still)
         np.add.at(rank, pair.take(odd), ONCE)
-        if not len(chosen):
+        used = free[mark.take(free)]
+        mark[used] = False
+        if not len(used):
             if least <= min_count:
                 break
             least = max(min_count, least // 2)
-            live, own, mine = look()
+            live = np.flatnonzero(rank[:known] >= least << 32)
             continue
         turn += 1
-        at, which = live.take(chosen), own.take(chosen)
         if len(odd):
             skip[odd] = True
             even = ~skip.take(at)
             at, which = at[even], which[even]
             skip[odd] = False
-        mark[:known] = False
-        mark[which] = True
-        used = np.flatnonzero(mark[:known])
+        used.sort()
         rules.append(np.stack((left[used], right[used]), axis=1).astype(np.int64))
         base, top = top, top + len(used)
         name[used] = np.arange(base, top)
@@ -177,25 +196,16 @@ def compress(ids: np.ndarray, ends: np.ndarray, vocabulary: int, rounds: int | N
             pair[gone] = 0
         rank[0] = 0
         rank[used] = 0
-        own = pair.take(live)
-        mine = rank.take(own)
-        still = np.flatnonzero(mine >= least << 32)
-        live, own, mine = live.take(still), own.take(still), mine.take(still)
         seq[at], seq[second] = new, -1
         behind = after.take(second)
         after[at], before[behind] = behind, at
         ahead = before.take(at)
-        x, y = seq.take(ahead), seq.take(behind)
-        to_right, to_left = y >= 0, (x >= 0) & (x < base)  # two new symbols meet at the place of the left one
-        places, of, times = numbered(np.concatenate((at[to_right], ahead[to_left])),
-                                     np.concatenate((new[to_right], x[to_left])),
-                                     np.concatenate((y[to_right], new[to_left])))
-        often = times >= max(least, min_count)
-        if often.any():
-            some = np.flatnonzero(np.repeat(often, times))
-            of = of.take(some)
-            live = np.concatenate((live, places.take(some)))
-            own, mine = np.concatenate((own, of)), np.concatenate((mine, rank.take(of)))
+        x = seq.take(ahead)
+        x[x >= base] = -1  # two new symbols meet: at the place of the left one
+        old = known
+        number(np.concatenate((at, ahead)), np.concatenate((new, x)), np.concatenate((seq.take(behind), new)))
+        live = np.concatenate((live, np.arange(old, known)))
+        live = live[rank.take(live) >= least << 32]
     flat = rules_flat(rules)
     kept = np.flatnonzero(seq >= 0)
     out = np.zeros(len(ends), np.int64)
@@ -242,16 +252,38 @@ def expand(symbols: np.ndarray, rules: np.ndarray, vocabulary: int,
     """The ids that symbols stand for; ``lengths`` of the rules are found if they are not given."""
     size = rule_lengths(rules, vocabulary) if lengths is None else \
         np.append(np.ones(vocabulary, np.int64), lengths)
-    seq = symbols.astype(np.int64)
-    ends = np.cumsum(size[seq])
-    start = ends - size[seq]
+    # Where symbols are many, those of at most SHORT ids are spelled out once and copied.
+    short = vocabulary + np.flatnonzero(size[vocabulary:] <= SHORT) if len(symbols) > len(rules) else rules[:0, 0]
+    ids = _spelled(short, rules, vocabulary, size)
+    sizes = size.take(short)
+    name = np.full(len(size), -1, np.int32)
+    name[short] = np.arange(len(short))
+    return _spelled(symbols.astype(np.int64), rules, vocabulary, size, name, ids, sizes)
+
+
+def _spelled(seq: np.ndarray, rules: np.ndarray, vocabulary: int, size: np.ndarray, name: np.ndarray | None = None,
+             ids: np.ndarray | None = None, sizes: np.ndarray | None = None) -> np.ndarray:
+    """``expand``; the ids of the rules that ``name`` numbers are copied from ``ids``, ``sizes`` each."""
+    ends = np.cumsum(size.take(seq))
+    start = ends - size.take(seq)
     out = np.zeros(ends[-1] if len(ends) else 0, np.int64)
     while len(seq):  # only rules go on
-        plain = seq < vocabulary
-        out[start[plain]] = seq[plain]
-        seq, start = seq[~plain], start[~plain]
+        plain = np.flatnonzero(seq < vocabulary)
+        out[start.take(plain)] = seq.take(plain)
+        rest = np.flatnonzero(seq >= vocabulary)
+        seq, start = seq.take(rest), start.take(rest)
+        if name is not None and len(sizes):
+            which = name.take(seq)
+            told = np.flatnonzero(which >= 0)
+            which = which.take(told)
+            many = sizes.take(which)
+            step = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            place = (np.cumsum(sizes) - sizes).take(which)
+            out[np.repeat(start.take(told), many) + step] = ids.take(np.repeat(place, many) + step)
+            rest = np.flatnonzero(name.take(seq) < 0)
+            seq, start = seq.take(rest), start.take(rest)
         pairs = rules[seq - vocabulary]
-        start = np.concatenate((start, start + size[pairs[:, 0]]))
+        start = np.concatenate((start, start + size.take(pairs[:, 0])))
         seq = np.concatenate((pairs[:, 0], pairs[:, 1]))
     return out
 
@@ -274,30 +306,29 @@ def picked(ids: np.ndarray, ends: np.ndarray, counts: np.ndarray, which: np.ndar
 
 
 class WordTable:
-    """Ids of words, found by ``learn`` for many new words at once. When it takes more than about
-    ``budget`` bytes it begins anew."""
+    """Ids of words, found by ``learn`` for many new words at once. When it takes more than ``budget``
+    bytes it begins anew."""
 
-    def __init__(self, learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], budget: int):
+    def __init__(self, learn: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], budget: int):
         self.learn, self.budget = learn, budget
         self.clear()
 
     def clear(self) -> None:
-        self.at: dict[str, int] = {}
-        self.ids, self.counts, self.bytes = np.zeros(0, "<u4"), np.zeros(0, np.int64), 0
+        self.words = pa.array([], pa.string())
+        self.ids, self.counts = np.zeros(0, "<u4"), np.zeros(0, np.int64)
 
     def lookup(self, words: list[str]) -> np.ndarray:
-        which = np.fromiter(map(self.at.get, words, itertools.repeat(-1)), np.int64, len(words))
-        unknown = which < 0
-        if unknown.any():
-            new = list(itertools.compress(words, unknown))
-            names = list(dict.fromkeys(new))
-            self.at.update(zip(names, range(len(self.at), len(self.at) + len(names))))
-            which[unknown] = np.fromiter(map(self.at.__getitem__, new), np.int64, len(new))
-            ids, counts = self.learn(names)
+        coded = pa.array(words, pa.string()).dictionary_encode()
+        found = pc.index_in(coded.dictionary, value_set=self.words)
+        new = coded.dictionary.filter(pc.is_null(found))
+        which = pc.fill_null(found, -1).to_numpy().astype(np.int64)
+        which[which < 0] = len(self.words) + np.arange(len(new))
+        if len(new):
+            ids, counts = self.learn(new)
+            self.words = pa.concat_arrays([self.words, new])
             self.ids, self.counts = np.concatenate((self.ids, ids)), np.concatenate((self.counts, counts))
-            self.bytes += PIECE_BYTES * len(names) + CHARACTER_BYTES * sum(map(len, names))
-        out = picked(self.ids, np.cumsum(self.counts), self.counts, which)
-        if self.bytes > self.budget:
+        out = picked(self.ids, np.cumsum(self.counts), self.counts, which.take(coded.indices.to_numpy()))
+        if self.words.nbytes + self.ids.nbytes + self.counts.nbytes > self.budget:
             self.clear()
         return out
 
@@ -317,7 +348,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size()
-        self.words, self.table = WordTable(self._merge, CACHE), PieceTable(self._learn, CACHE // 2)
+        self.words, self.table = WordTable(self._merge, WORD_CACHE), PieceTable(self._learn, CACHE)
         # Bytes of every id: a token of the byte-level alphabet has one character per byte.
         added = self.tokenizer.get_added_tokens_decoder()
         self.added = [a.content for a in added.values()]
@@ -337,17 +368,18 @@ class Encoder:
         self.model = Tokenizer(self.tokenizer.model) if asked and [t for t in vocabulary if between in t] == [between] \
             else None
         self.between = vocabulary.get(between)
+        del vocabulary
+        give_back()
 
-    def _merge(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _merge(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words that are not split any more, one after the other, and how many each has."""
-        texts = []
-        for low in range(0, len(words), WORDS):
-            raw = np.frombuffer("\0".join(words[low:low + WORDS]).encode(), np.uint8)
-            texts.append(self.letters.take(raw).tobytes().decode("utf-16-le"))
-        found = self.model.encode_batch_fast(texts, add_special_tokens=False)
-        ids = np.concatenate([np.array(e.ids + [self.between], "<u4") for e in found])
+        stops = [*range(0, len(words), WORDS), len(words)]
+        joined = pc.binary_join(pa.ListArray.from_arrays(stops, words), "\0").cast(pa.binary()).to_pylist()
+        texts = [self.letters.take(np.frombuffer(raw, np.uint8)).tobytes().decode("utf-16-le") for raw in joined]
+        ids = np.concatenate([np.array(e.ids + [self.between], "<u4") for low in range(0, len(texts), STRINGS)
+                              for e in self.model.encode_batch_fast(texts[low:low + STRINGS], add_special_tokens=False)])
         stops = np.flatnonzero(ids == self.between)
-        return np.delete(ids, stops), np.diff(stops, prepend=-1) - 1
+        return ids[ids != self.between], np.diff(stops, prepend=-1) - 1
 
     def _learn(self, parts: list[str]) -> list[bytes]:
         """Pieces that begin with a space are encoded many in one string, which the tokenizer splits
@@ -427,6 +459,7 @@ class Encoder:
         codes[heads] = np.arange(len(heads))
         first = self.table.lookup(flat.take(pa.array(heads)).to_pylist())
         ids, counts = self._tails(coded.dictionary.filter(pa.array(used)))
+        del pieces, flat, coded, follows
         ids = np.concatenate((np.frombuffer(b"".join(first), "<u4"), ids))
         counts = np.concatenate((np.array([len(f) // 4 for f in first], np.int64), counts))
         raw = picked(ids, np.cumsum(counts), counts, codes).tobytes()
@@ -452,6 +485,7 @@ def encoder(path: str) -> Encoder:
 
 
 def _shard(part: int, number: int, before: int, vocabulary: int, docs: list, raws: list[bytes]) -> dict:
+    give_back()  # what encoding took
     sizes = np.array([len(r) // 4 for r in raws], np.int64)
     ends = np.cumsum(sizes)
     rules, lengths, symbols, symbol_ends = compress(
@@ -518,7 +552,7 @@ def write(docs: DataFrame, path: str, folder: str) -> None:
                         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                         order_key().alias("_key"), F.xxhash64("text").alias("_tie"))
     in_parts(keyed, bounds, "_key", "_tie").select("_part", "doc_id", "text") \
-        .mapInArrow(_pack(path), SHARD).write.parquet(folder)
+        .mapInArrow(lean(_pack(path)), SHARD).write.parquet(folder)
 
 
 def document(shard: dict, at: int) -> np.ndarray:
@@ -552,7 +586,7 @@ def read(spark, folder: str) -> DataFrame:
     """One row per document of the files: doc_id, start (ids of all documents before it), n_tokens and
     the crc32 of its ids as little-endian 32-bit integers."""
     rows = spark.read.schema(SHARD).parquet(folder)
-    found = rows.mapInArrow(_unpack, "part int, doc_id long, start long, n_tokens long, ids_crc32 long")
+    found = rows.mapInArrow(lean(_unpack), "part int, doc_id long, start long, n_tokens long, ids_crc32 long")
     # One row per part, from columns that need no decoding.
     sizes = rows.groupBy("part").agg(F.sum("n_ids").alias("ids"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

@@ -292,6 +292,75 @@ def test_rare_pairs_wait_for_frequent_ones():
     assert max(left.values()) < 2
 
 
+def test_rounds_do_not_look_through_all_places():
+    """Pairs keep their places, so no round searches the whole text for them."""
+    rng = np.random.RandomState(7)
+    ids = np.minimum(rng.zipf(1.3, 60_000), 5000)
+    looked = []
+
+    class Counting:
+        def __getattr__(self, name):
+            return getattr(np, name)
+
+        def flatnonzero(self, a):
+            looked.append(len(a))
+            return np.flatnonzero(a)
+
+    own, repair.np = repair.np, Counting()
+    try:
+        rules, _, symbols, _ = repair.compress(ids, np.array([len(ids)]), 5001)
+    finally:
+        repair.np = own
+    assert (repair.expand(symbols, rules, 5001) == ids).all()
+    assert sum(n >= len(ids) - 1 for n in looked) <= 4
+
+
+def test_pairs_too_wide_for_one_word_are_replaced_alike():
+    rng = np.random.RandomState(8)
+    ends = np.cumsum(rng.randint(0, 300, 20))
+    ids = np.minimum(rng.geometric(0.15, ends[-1]), 40)
+    narrow, wide = (repair.compress(ids, ends, size) for size in (41, 1 << 27))
+    rules = np.where(wide[0] >= 1 << 27, wide[0] - (1 << 27) + 41, wide[0])
+    symbols = np.where(wide[2] >= 1 << 27, wide[2] - (1 << 27) + 41, wide[2])
+    assert (rules == narrow[0]).all() and (symbols == narrow[2]).all()
+    assert (wide[1] == narrow[1]).all() and (wide[3] == narrow[3]).all()
+
+
+def test_words_are_encoded_once_whatever_follows_them():
+    own = repair.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    given = []
+
+    class Counting:
+        def __init__(self, tokenizer):
+            self.tokenizer = tokenizer
+
+        def encode_batch_fast(self, texts, **options):
+            given.extend(map(len, texts))
+            return self.tokenizer.encode_batch_fast(texts, **options)
+
+    plain = own.tokenizer
+    for name in ("tokenizer", "model"):
+        if hasattr(own, name):
+            setattr(own, name, Counting(getattr(own, name)))
+    words = [f"w{chr(97 + i % 26)}{'xyz' * (i // 26 + 1)}" for i in range(200)]
+    texts = [" ".join(w + end for w in words) for end in ("", ",", ".", ";", "!", "?", ":", "\n")]
+    want = [e.ids for e in plain.encode_batch_fast(texts, add_special_tokens=False)]
+    assert [np.frombuffer(raw, "<u4").tolist() for raw in own.encode_all(texts)] == want
+    assert sum(given) < 3 * len(texts[0])
+
+
+def test_encoder_equals_the_library_on_mixed_texts():
+    own = repair.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = np.random.RandomState(9)
+    signs = [*"ab Z  \n\t\r'19.,éßſА’_-", "'s", "'re", " don't", " the"]
+    strange = [*"\0\x1c\x0b\u0085\xa0\u2028漢🙂\u0301²½ªҁ҂", " <|endoftext|>", "<|endoftext|>"]
+    for some in (signs, signs * 9 + strange, signs + strange):
+        texts = ["".join(rng.choice(some, rng.randint(0, 40))) for _ in range(500)] + ["", " ", "  ", " a"]
+        want = [e.ids for e in own.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        assert [np.frombuffer(raw, "<u4").tolist() for raw in own.encode_all(texts)] == want
+    assert own.encode_all([]) == [] and own.encode_all([None, "a"]) == [b"", own.encode("a")]
+
+
 def test_most_frequent_pair_is_replaced_first():
     # (1, 2) is counted 40 times, (2, 3) 30, (0, 1) 20: only the first may be replaced whole.
     ids = np.array([0, 1, 2] * 20 + [1, 2, 3] * 20 + [9, 2, 3] * 10)
