@@ -364,7 +364,7 @@ class Encoder:
         between = chr(self.letters[0])
         first = self.tokenizer.pre_tokenizer
         asked = self.tokenizer.normalizer is None and isinstance(first, pre_tokenizers.ByteLevel) \
-            and first.use_regex and not first.add_prefix_space
+            and first.use_regex and not first.add_prefix_space and not any(" " in a for a in self.added)
         self.model = Tokenizer(self.tokenizer.model) if asked and [t for t in vocabulary if between in t] == [between] \
             else None
         self.between = vocabulary.get(between)
