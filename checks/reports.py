@@ -670,7 +670,7 @@ def j40(lake):
 
 
 def gold(lake):
-    return retail.gold_orders(lake.order_lines(), lake.customers(), lake.products())
+    return retail.gold_orders(lake.line_items(), lake.customers(), lake.products(), lake.order_heads())
 
 
 @query("j41_weekly_region",

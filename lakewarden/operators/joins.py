@@ -8,9 +8,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
-def many_parts(spark: SparkSession) -> int:
-    """Number of parts for rows that an operator deals out itself: the shuffle partitions, 64 at least."""
-    return max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
+def many_parts(spark: SparkSession, least: int = 64) -> int:
+    """Number of parts for rows that an operator deals out itself: the shuffle partitions, ``least`` at least."""
+    return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def fits(df: DataFrame, max_rows: int = 100_000, max_bytes: int = 32 << 20) -> bool:

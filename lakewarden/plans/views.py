@@ -78,15 +78,20 @@ class Lake:
             "CASE WHEN p_partkey % 4 = 0 THEN 'Discontinued' ELSE 'Active' END AS status",
         )
 
-    def order_lines(self) -> DataFrame:
-        """Orders at line grain, which is where the product is known."""
-        lines = self.table("lineitem").selectExpr(
+    def line_items(self) -> DataFrame:
+        return self.table("lineitem").selectExpr(
             "l_orderkey AS order_id", "l_partkey AS product_id", "l_linenumber AS line_number",
             "CAST(l_quantity AS INT) AS quantity", "l_extendedprice / l_quantity AS unit_price",
             "l_extendedprice AS total_amount",
         )
-        heads = self.orders().drop("quantity", "unit_price", "total_amount")
-        return lines.join(heads, "order_id")
+
+    def order_heads(self) -> DataFrame:
+        """Orders without the columns that a line has of its own."""
+        return self.orders().drop("quantity", "unit_price", "total_amount")
+
+    def order_lines(self) -> DataFrame:
+        """Orders at line grain, which is where the product is known."""
+        return self.line_items().join(self.order_heads(), "order_id")
 
     def dirty_orders(self) -> DataFrame:
         """Order lines with planted defects for the quality layers."""

@@ -295,6 +295,47 @@ def test_daily_wide_counts_without_repeating_rows(spark):
     assert "Expand" not in plan_of(found)
 
 
+def test_daily_wide_moves_rows_once(spark):
+    kinds = ("order_id int, customer_id int, product_category string, product_color string,"
+             " customer_region string, customer_country string, loyalty_tier string, channel string,"
+             " order_timestamp timestamp_ntz, total_amount double, profit double, unit_price double")
+    odd = [None, "", "a", "\x01", "\x02", "\x01n", "a\x02", "\x01g"]
+    some = [(n % 5, n % 3 or None, a, b, "r", None, b, "Web", days(n % 2), float(n), 1.0, 2.0)
+            for n, (a, b) in enumerate([(a, b) for a in odd for b in odd] * 3)]
+    gold = spark.createDataFrame(some, kinds)
+    keys = ["product_category", "product_color", "customer_region", "customer_country", "loyalty_tier", "channel"]
+    found = retail.daily_wide(gold)
+    plain = gold.groupBy(*keys, F.date_trunc("day", "order_timestamp").cast("timestamp_ntz").alias("day")).agg(
+        F.count("*"), F.countDistinct("customer_id"), F.countDistinct("order_id"), F.sum("total_amount"),
+        F.sum("profit"), F.avg("unit_price"), F.min("unit_price"), F.max("unit_price"), F.stddev("total_amount"))
+    assert rows(found) == rows(plain)
+    assert found.columns == [*keys, "day", "order_count", "unique_customers", "unique_orders", "total_revenue",
+                             "total_profit", "avg_price", "min_price", "max_price", "stddev_amount"]
+    plan = plan_of(found)
+    assert plan[plan.rindex("HashAggregate"):].count("Exchange") == 1
+
+
+def test_gold_of_bare_lines_is_the_same(spark):
+    lines = spark.createDataFrame(
+        [(1, 10, 2, 5.0, 10.0), (1, 10, 2, 5.0, 10.0), (1, 11, 1, 3.0, 3.0), (2, None, 1, 1.0, 1.0),
+         (3, 12, 4, 1.0, 4.0), (4, 10, 1, 9.0, 9.0), (None, 10, 1, 9.0, 9.0)],
+        "order_id int, product_id int, quantity int, unit_price double, total_amount double")
+    orders = spark.createDataFrame(
+        [(1, 7, "Web", "O", days(1), "EMEA"), (2, None, "Web", "F", days(2), "APAC"),
+         (3, 8, "App", "O", days(1), "EMEA"), (3, 9, "App", "O", days(3), None), (None, 7, "App", "O", days(1), "EMEA")],
+        "order_id int, customer_id int, channel string, status string, order_timestamp timestamp_ntz, region string")
+    customers = spark.createDataFrame(
+        [(7, "a@x", "ASIA", "CHINA", "Gold"), (9, "b@x", "ASIA", "JAPAN", "Gold"), (9, "c@x", "ASIA", "INDIA", None)],
+        "customer_id int, email string, region string, country string, loyalty_tier string")
+    products = spark.createDataFrame(
+        [(10, "p", "k", "red", 2.0), (11, "q", "k", None, None), (11, "q", "m", "blue", 1.0)],
+        "product_id int, product_name string, category string, color string, cost_price double")
+    found = retail.gold_orders(lines, customers, products, orders)
+    plain = retail.gold_orders(lines.join(orders, "order_id"), customers, products)
+    assert found.columns == plain.columns
+    assert rows(found) == rows(plain) and found.count() == 8
+
+
 def test_daily_sales_rounds(orders):
     got = {(r["order_date"], r["channel"]): r for r in retail.daily_sales(orders).collect()}
     assert got[days(2).date(), "Web"]["avg_order_value"] == 60.0
